@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, embed_dedup, langid, ngram_join, sharding, substring_dedup, url_filter
+from . import bpe, decontaminate, embed_dedup, langid, ngram_join, secrets, sharding, substring_dedup, token_counts, url_filter
 from .base import table
 
-#: The vocabulary that op4 uses, by its name in the installed package of public tokenizers.
-BPE_FILE = "byte_bpe_50k.json"
+#: The vocabularies of op4 and op5, by their names in the installed package of public tokenizers.
+BPE_FILE, UNIGRAM_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,10 +27,18 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(BPE_FILE))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(UNIGRAM_FILE))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -53,7 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_sharding, op4_bpe_round_trip, op6_language_id, op7_substring_dedup, op8_url_filter, op9_embedding_near_dedup, op10_decontamination)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_sharding, op3_secret_scan, op4_bpe_round_trip, op5_token_counts, op6_language_id, op7_substring_dedup, op8_url_filter, op9_embedding_near_dedup, op10_decontamination)
 }
 ORACLES = {"op8_url_filter": url_filter.sql(), "op9_embedding_near_dedup": embed_dedup.SQL}
 
