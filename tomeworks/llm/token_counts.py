@@ -7,7 +7,7 @@ A character that is no piece costs the least score less 10 and counts as its UTF
 together with its unknown neighbours as one piece.
 
 Text is treated as by a "▁" metaspace pre-tokenizer that prepends always and splits: spaces become ▁, and words begin with it.
-Words come from a bounded dictionary once they are counted.
+Words come from two bounded dictionaries once they are counted, an old one and a new one that takes its place when full.
 
 Defined results: null and empty texts have 0 tokens. Repeated rows and null doc_ids are rows like any other; an
 empty table gives no rows. Only doc_id and text are read.
@@ -15,6 +15,7 @@ empty table gives no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPACE, PENALTY, KEPT = "▁", 10.0, 400_000
+SPACE, PENALTY, KEPT = "▁", 10.0, 600_000
 
 
 class UnigramCounter:
@@ -39,10 +40,22 @@ class UnigramCounter:
         self.unknown = min(s for _, s in vocab) - PENALTY
         self.bytes = byte_fallback
         self.known: dict[str, int] = {}
+        self.old: dict[str, int] = {}
+        #: No piece holds a line feed: then a path can't cross one, and texts may be cut there.
+        self.lines = byte_fallback and not any("\n" in p for p, _ in vocab)
 
     def viterbi(self, word: str) -> int:
         """The number of pieces on the best path."""
         n = len(word)
+        if self.single.issuperset(word):  # no unknown characters
+            score, count = [0.0, *[-math.inf] * n], [0] * (n + 1)
+            for last, (size, s) in self.trie.iter(word):
+                start = last + 1 - size
+                s += score[start]
+                if s > score[last + 1]:
+                    score[last + 1] = s
+                    count[last + 1] = count[start] + 1
+            return count[n]
         score, count, lone = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
         done = 0  # places up to here are settled
         best: float | None = None
@@ -80,16 +93,22 @@ class UnigramCounter:
         if not text:
             return 0
         text = text.replace(" ", SPACE)
-        words = text[text.startswith(SPACE) :].split(SPACE)
+        words = [SPACE + w for w in text[text.startswith(SPACE) :].split(SPACE)]
+        feeds = 0
+        if self.lines and "\n" in text:
+            feeds = text.count("\n")
+            words = "\n".join(words).split("\n")
         known = self.known
-        new = set(words) - known.keys()
+        new = [w for w in set(words) if w not in known]
         if new:
-            if len(known) + len(new) > KEPT:
-                known.clear()
-                new = set(words)
+            if len(known) + len(new) > KEPT:  # words that are met again move from the old dictionary to the new one
+                self.old, self.known = known, {}
+                known, new = self.known, list(set(words))
+            old = self.old
             for w in new:
-                known[w] = self.viterbi(SPACE + w)
-        return sum(map(known.__getitem__, words))
+                n = old.get(w)
+                known[w] = self.viterbi(w) if n is None else n
+        return sum(map(known.__getitem__, words)) + feeds
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
