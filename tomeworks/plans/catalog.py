@@ -455,9 +455,8 @@ def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
-SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events, m
-GROUP BY ALL HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= any_value(mark)""")
+SELECT w.* FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2) w,
+  (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events) m WHERE w.window_start + INTERVAL 1 HOUR <= m.mark""")
 def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = listen.table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     out = run_dir(spark)
