@@ -26,7 +26,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: A space where the pattern always cuts: between two characters that aren't white space.
 SAFE = regex.compile(r"(?<=\S) (?=\S)")
 #: Characters of a text that are handled at once, and pieces kept in the dictionary.
-SPAN, KEPT = 1 << 20, 400_000
+SPAN, KEPT = 1 << 20, 300_000
 
 
 def byte_letters() -> list[str]:
@@ -68,6 +68,7 @@ class BytePairCodec:
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.pieces = regex.compile(PATTERN)
         self.known: dict[str, str] = {}
+        self.old: dict[str, str] = {}
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after the other, and where each word begins (n + 1)."""
@@ -113,13 +114,19 @@ class BytePairCodec:
         return sym[order], np.searchsorted(word[order], np.arange(n + 1))
 
     def learn(self, pieces: set[str]) -> None:
-        """Put pieces into the dictionary: their ids as decimal numbers joined by commas."""
+        """Put pieces into the dictionary: their ids as decimal numbers joined by commas.
+
+        A full dictionary becomes the old one, from which pieces that are met again move to the new one."""
         new = [p for p in pieces if p not in self.known]
         if not new:
             return
         if len(self.known) + len(new) > KEPT:
-            self.known.clear()
+            self.old, self.known = self.known, {}
             new = list(pieces)
+        if self.old:
+            again = {p: self.old[p] for p in new if p in self.old}
+            self.known.update(again)
+            new = [p for p in new if p not in again]
         for i in range(0, len(new), 50_000):
             part = new[i : i + 50_000]
             ids, at = self.merge([p.encode() for p in part])
@@ -137,21 +144,53 @@ class BytePairCodec:
             at = m.start()
         yield text[at:] if at else text
 
-    def ids_text(self, text: str) -> Iterator[str]:
-        """Ids of the text as decimal numbers joined by commas, by parts."""
+    def parts(self, text: str) -> Iterator[str | list[str]]:
+        """The pieces of each span of the text, and the ids of added tokens between them."""
         for part in self.split.split(text) if self.split else (text,):
             if part in self.added:
                 yield str(self.added[part])
             elif part:
                 for span in self.spans(part):
-                    pieces = self.pieces.findall(span)
-                    self.learn(set(pieces))
-                    yield ",".join(map(self.known.__getitem__, pieces))
+                    yield self.pieces.findall(span)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        got = [np.fromstring(x, np.int64, sep=",") for x in self.ids_text(text or "")]
+    def ids_text(self, text: str) -> Iterator[str]:
+        """Ids of the text as decimal numbers joined by commas, by parts."""
+        for part in self.parts(text):
+            if not isinstance(part, str):
+                self.learn(set(part))
+                part = ",".join(map(self.known.__getitem__, part))
+            yield part
+
+    def ids_texts(self, texts: Iterator[str]) -> Iterator[Iterator[str]]:
+        """ids_text of each text; the new pieces of many short texts are merged together."""
+
+        def flush() -> Iterator[Iterator[str]]:
+            docs = [list(self.parts(t)) for t in held]
+            self.learn(set().union(*(p for d in docs for p in d if not isinstance(p, str))))
+            for d in docs:
+                yield (p if isinstance(p, str) else ",".join(map(self.known.__getitem__, p)) for p in d)
+
+        held, size = [], 0
+        for t in texts:
+            if held and size + len(t) > SPAN:
+                yield from flush()
+                held, size = [], 0
+            if len(t) > SPAN:
+                yield self.ids_text(t)
+            else:
+                held.append(t)
+                size += len(t)
+        if held:
+            yield from flush()
+
+    @staticmethod
+    def numbers(parts: Iterator[str]) -> np.ndarray:
+        got = [np.fromstring(x, np.int64, sep=",") for x in parts]
         return np.concatenate(got) if got else np.zeros(0, np.int64)
 
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.numbers(self.ids_text(text or ""))
+
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
@@ -170,7 +209,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.encode(t.as_py()).astype(np.int32) for t in b.column(1)], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.numbers(parts).astype(np.int32) for parts in c.ids_texts(t.as_py() or "" for t in b.column(1))], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -193,9 +232,9 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         c = codec(path)
         for b in batches:
             counts, ids_sha, text_sha = [], [], []
-            for t in b.column(1):
+            for parts in c.ids_texts(t.as_py() or "" for t in b.column(1)):
                 a, d, n = hashlib.sha256(), [], 0
-                for part in c.ids_text(t.as_py() or ""):
+                for part in parts:
                     a.update(("," if n else "").encode() + part.encode())
                     ids = np.fromstring(part, np.int64, sep=",")
                     n += len(ids)
