@@ -255,17 +255,26 @@ def _covered(size: int):
                 seg = np.frombuffer(s.tobytes(), SEGMENT)
                 m = seg["n"].astype(np.int64) - size + 1
                 flags[f] = (np.unpackbits(x, count=int(m.sum())).astype(bool), np.cumsum(m) - m)
-        cover: list[list] = [[] for _ in range(len(heads))]
-        for doc, first, m, shard, at in places.tolist():
-            bits, begin = flags[shard]
-            own = np.flatnonzero(bits[begin[at] : begin[at] + m])
-            if len(own):
-                cut = np.flatnonzero(np.diff(own) > size)
-                a = own[np.concatenate(([0], cut + 1))] + first
-                z = own[np.concatenate((cut, [len(own) - 1]))] + first + size
-                cover[doc].extend(zip(a.tolist(), z.tolist(), strict=True))
-        keep = [i for i, c in enumerate(cover) if c]
-        return pa.table([pa.array(heads["doc_id"][keep], mask=~heads["known"][keep]), pa.array(heads["h"][keep]), pa.array([np.array(cover[i], np.int32).tobytes() for i in keep], pa.binary())], schema=SPANS)
+        base, at = {}, 0
+        for f, (bits, _) in flags.items():
+            base[f] = at
+            at += len(bits)
+        bits = np.concatenate([x for x, _ in flags.values()]) if flags else np.zeros(0, bool)
+        begin = np.zeros(len(places), np.int64)
+        for f, (_, first) in flags.items():
+            own = places["shard"] == f
+            begin[own] = base[f] + first[places["at"][own]]
+        # places come in the order of documents and words
+        m = places["windows"].astype(np.int64)
+        nth = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        use = bits[np.repeat(begin, m) + nth]
+        doc, pos = np.repeat(places["doc"], m)[use], (np.repeat(places["first"].astype(np.int64), m) + nth)[use]
+        head = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (pos[1:] - pos[:-1] > size)))) if len(pos) else np.zeros(0, np.int64)
+        tail = np.append(head[1:] - 1, len(pos) - 1) if len(pos) else head
+        cover = np.stack((pos[head], pos[tail] + size), axis=1).astype(np.int32)
+        bounds = np.searchsorted(doc[head], np.arange(len(heads) + 1))
+        keep = np.flatnonzero(np.diff(bounds))
+        return pa.table([pa.array(heads["doc_id"][keep], mask=~heads["known"][keep]), pa.array(heads["h"][keep]), pa.array([blob(cover[bounds[i] : bounds[i + 1]]) for i in keep], pa.binary())], schema=SPANS)
 
     return run
 
