@@ -6,8 +6,10 @@ so x is replicated to all pivots of lower number for which that holds (and whose
 and each pair meets in exactly one cell, that of the lower home. Cells join independently of each other: a cell
 of many vectors is cut into blocks, and each pair of blocks is a task of bounded size.
 
-Equal vectors of a label are collapsed first and take part once, with their multiplicity. Pivots are at most
-PIVOTS vectors of lowest hash; they only steer the partition, every vector is compared with all it may link with.
+Equal vectors of a label are collapsed first and take part once, with their multiplicity. Pivots are the vectors of
+lowest hash, one for each PER_PIVOT distinct vectors and PIVOTS at most: in many dimensions most pivots are about as far
+from a vector as each other, so more of them means more replicas. They only steer the partition, every vector is
+compared with all it may link with.
 
 Defined results: a vector with null label, null itself, empty, of zero norm, or with null, NaN or infinite
 components links with nothing; vectors of different length don't link; null vec_id: no links, null component, kept.
@@ -28,7 +30,8 @@ from .base import stash
 from .components import components
 from .kernels import labels
 
-PIVOTS, BLOCK, SLACK = 256, 768, 1e-9
+#: Pivots at most, distinct vectors for each of them, vectors in a block, and what rounding may add to a distance.
+PIVOTS, PER_PIVOT, BLOCK, SLACK = 1024, 2048, 768, 1e-9
 OUT = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -111,7 +114,7 @@ def embedding_near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col:
     same = base.where("sound").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"))
     same = stash(same)
     n = same.count()
-    top = min(max_pivots, max(1, n // 128))
+    top = min(max_pivots, max(1, n // PER_PIVOT))
     pivots: dict[int, np.ndarray] = {}
     sizes = [r[0] for r in same.select(F.size("embedding")).distinct().limit(1000).collect()]
     for d in sizes:
