@@ -91,7 +91,8 @@ def _join(cosine: float):
             r, c = np.nonzero(ok)
             p.append(rows[r])
             q.append(b[c])
-        p, q = np.concatenate(p), np.concatenate(q)
+        none = [np.zeros(0, np.int64)]  # a block may be empty
+        p, q = np.concatenate(p or none), np.concatenate(q or none)
         np.add.at(links, p, mult[q])
         np.add.at(links, q, mult[p])
         up = labels(len(ids), p, q)
