@@ -31,7 +31,7 @@ from .components import components
 from .kernels import labels
 
 #: Pivots at most, distinct vectors for each of them, vectors in a block, and what rounding may add to a distance.
-PIVOTS, PER_PIVOT, BLOCK, SLACK = 1024, 2048, 768, 1e-9
+PIVOTS, PER_PIVOT, BLOCK, SLACK = 1024, 2048, 4096, 1e-9
 OUT = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
 
