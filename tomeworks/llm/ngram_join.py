@@ -36,7 +36,7 @@ from .components import components
 from .kernels import labels, lower_ascii, mix, shingles
 
 #: Sets in a block; a task compares two blocks.
-BLOCK = 768
+BLOCK = 256
 #: Families above this many sets have blocks of their own, smaller ones are packed together.
 SMALL = 256
 #: Shingles of a family that more sets than this have are counted by matrix products, others by listing pairs.
