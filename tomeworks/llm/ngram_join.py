@@ -329,3 +329,17 @@ def one_of_each(docs: DataFrame, joined: DataFrame) -> DataFrame:
     """The documents whose doc_id stands for their component; repeated rows of it once."""
     keep = joined.where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("keep_id")).distinct()
     return docs.dropDuplicates(["doc_id"]).join(keep, F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
+
+
+#: The same rows in DuckDB's SQL, by joining all shingles: for small tables.
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT a AS v, b AS m FROM l UNION SELECT r.v, l.b FROM r JOIN l ON l.a = r.m),
+c AS (SELECT v, min(m) AS m FROM r GROUP BY 1), d AS (SELECT a, count(*) AS k FROM l GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(c.m, w.doc_id)) AS component_id, coalesce(d.k, 0)::BIGINT AS n_links
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.v = w.doc_id LEFT JOIN d ON d.a = w.doc_id
+"""
