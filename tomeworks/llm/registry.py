@@ -63,7 +63,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_jaccard_join, op2_sharding, op3_secret_scan, op4_bpe_round_trip, op5_token_counts, op6_language_id, op7_substring_dedup, op8_url_filter, op9_embedding_near_dedup, op10_decontamination)
 }
-ORACLES = {"op1_ngram_jaccard_join": ngram_join.SQL, "op8_url_filter": url_filter.sql(), "op9_embedding_near_dedup": embed_dedup.SQL}
+ORACLES = {"op1_ngram_jaccard_join": ngram_join.SQL, "op7_substring_dedup": substring_dedup.SQL, "op8_url_filter": url_filter.sql(), "op9_embedding_near_dedup": embed_dedup.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -326,3 +326,16 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
     whole = whole.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("string").alias("kept"))
     out = whole.unionByName(cut)
     return out if texts else out.drop("kept")
+
+
+#: The same rows in DuckDB's SQL, by counting all windows: for small tables.
+SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+h AS (SELECT doc_id, list_transform(range(1, len(ws) - 33), lambda i: md5(array_to_string(ws[i:i + 34], ' '))) AS hs FROM w WHERE len(ws) >= 35),
+g AS (SELECT doc_id, unnest(hs) AS g, generate_subscripts(hs, 1) AS i FROM h),
+t AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY g) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS k FROM t),
+x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS k FROM w),
+y AS (SELECT x.doc_id, count(gone.k) AS n, string_agg(word, ' ' ORDER BY x.k) FILTER (WHERE gone.k IS NULL) AS kept FROM x LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.k = x.k GROUP BY x.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(y.n, 0)::BIGINT AS n_removed, sha256(coalesce(y.kept, '')) AS kept_sha256 FROM w LEFT JOIN y ON y.doc_id = w.doc_id
+"""
