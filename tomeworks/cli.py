@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import file_name, path_allowed
-from .operators import dedupe
-from .sources import archives, files
+from .operators import dedupe, pages
+from .plans import books, normalise
+from .providers.base import ContextLimits, PipelineConfig
+from .sources import archives, files, run_log
+from .sources.staging import staged
 
 
 def _count(text: str) -> int:
@@ -39,6 +42,36 @@ def parser() -> argparse.ArgumentParser:
     f = sub.add_parser("flatten", help="move files to the parent of their folder as <folder>_<file>")
     f.add_argument("roots", nargs="+")
     f.add_argument("--dry-run", action="store_true")
+    r = sub.add_parser("run", help="make records of documents from a table of their pages (pdf_hash, path, page_number, results) and log them")
+    r.add_argument("pages")
+    r.add_argument("--log", required=True)
+    r.add_argument("--mode", choices=("full", "bookinfo"), default="full")
+    r.add_argument("--prompt", default="default", help="the name of a prompt, or its text")
+    r.add_argument("--extractor", default="outline")
+    r.add_argument("--selector", default="first")
+    r.add_argument("--search", nargs="*", default=[], help="search methods in order")
+    r.add_argument("--search-max-results", type=_count, default=3)
+    r.add_argument("--num-front-ocr-pages", type=_count, default=5)
+    r.add_argument("--num-back-ocr-pages", type=_count, default=3)
+    r.add_argument("--max-pdfs", type=_count)
+    for side in ("first", "last"):
+        r.add_argument(f"--context-{side}-ocr-pages", type=_count)
+    s = sub.add_parser("show", help="print the results of a log as JSON lines")
+    s.add_argument("log")
+    n = sub.add_parser("normalise", help="make keywords and publishers of a log canonical and save the table")
+    n.add_argument("log")
+    n.add_argument("out")
+    how = n.add_mutually_exclusive_group()
+    how.add_argument("--clusters", type=_count)
+    how.add_argument("--distance", type=float)
+    n.add_argument("--linkage", choices=("average", "complete", "single", "ward"), default="average")
+    n.add_argument("--labeller", help="the provider that names clusters; without one, the shortest keyword does")
+    n.add_argument("--publisher-threshold", type=float, default=75.0)
+    w = sub.add_parser("write", help="write payloads and XMP beside the files of a folder")
+    w.add_argument("table", help="what normalise saved")
+    w.add_argument("folder")
+    w.add_argument("target")
+    w.add_argument("--failures", help="a folder for the log of what failed")
     for name, text in (("check", "list files that aren't sound PDFs"), ("members", "list what archives hold"), ("count", "count PDFs")):
         s = sub.add_parser(name, help=text)
         s.add_argument("folder")
@@ -51,9 +84,52 @@ def duplicates_plan(found: DataFrame, root: str, dest: str) -> DataFrame:
     return dedupe.free_names(gone.withColumn("target", F.replace("path", F.lit(os.path.abspath(root)), F.lit(os.path.abspath(dest)))), "target", "path").select("path", "dest")
 
 
+def run_pages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """pdf_hash, status, error of the documents in the table a.pages: its first and last pages that aren't blank are read."""
+    config = PipelineConfig(a.num_front_ocr_pages, a.num_back_ocr_pages, a.extractor, a.selector, tuple(a.search), a.search_max_results, ContextLimits(first_pages=a.context_first_ocr_pages, last_pages=a.context_last_ocr_pages))
+    table = spark.read.parquet(a.pages)
+    if a.max_pdfs is not None:
+        table = table.join(table.select("pdf_hash").distinct().orderBy("pdf_hash").limit(a.max_pdfs), "pdf_hash", "left_semi")
+    blank = ~F.exists("results", lambda r: F.trim(F.coalesce(r["text"], F.lit(""))) != "")
+    shown = pages.sample_pages(table, "pdf_hash", "page_number", blank, config.first_pages, config.last_pages)
+    whole = table.groupBy("pdf_hash").agg(F.min("path").alias("path"))
+    docs = whole.join(books.documents(shown, "pdf_hash"), "pdf_hash", "left")
+    none = F.array().cast("array<struct<page_number:int,results:array<struct<method:string,text:string>>>>")
+    docs = docs.withColumns({"doc": F.col("pdf_hash"), "pages": F.coalesce("pages", none), "has_text": F.coalesce("has_text", F.lit(False)), "info": F.create_map().cast("map<string,string>")})
+    return books.run_batch(docs, config, a.log, a.mode, prompt=a.prompt)
+
+
+def normalise_log(spark: SparkSession, a: argparse.Namespace) -> None:
+    clusters = 1000 if a.clusters is None and a.distance is None else a.clusters
+    rows = staged(run_log.parsed(run_log.read_runs(spark, a.log)))
+    mapping = normalise.canonical_keywords(normalise.distinct_keywords(rows), clusters, a.distance, a.linkage, labeller=a.labeller)
+    normalise.save(normalise.normalised(rows, staged(mapping), a.publisher_threshold), a.out)
+
+
+def write_back(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    found = files.with_hash(files.discover(spark, a.folder)).select("path", F.col("content_hash").alias("file_hash"), file_name(F.col("path")).alias("file_name"))
+    meta = normalise.load(spark, a.table).select(F.col("pdf_hash").alias("file_hash"), F.col("pdf_name").alias("file_name"), "entity", F.col("run_timestamp").alias("order"))
+    done = staged(normalise.write_sidecars(found, meta, a.folder, a.target))  # staged, since writing is not to be done twice
+    if a.failures:
+        normalise.failures(done, a.failures)
+    return done
+
+
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("tomeworks").getOrCreate()
+    if a.command == "normalise":
+        normalise_log(spark, a)
+        return 0
+    if a.command == "show":
+        for r in run_log.latest(run_log.read_runs(spark, a.log).select("pdf_hash", "result", "run_timestamp"), "pdf_hash", "run_timestamp").orderBy("pdf_hash").toLocalIterator():
+            print(r["result"])
+        return 0
+    if a.command in ("run", "write"):
+        status = (run_pages if a.command == "run" else write_back)(spark, a)
+        for r in status.groupBy(F.regexp_extract("status", "^[^:]*", 0).alias("status")).count().orderBy("status").collect():
+            print(r["status"], r["count"])
+        return 0
     if a.command == "count":
         print(files.count_files(spark, a.folder))
         return 0

@@ -36,7 +36,8 @@ def label_clusters(clusters: DataFrame) -> DataFrame:
 
 
 def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance: float | None = None, linkage: str = "average") -> np.ndarray:
-    """Agglomerative clustering under cosine distance by nearest-neighbour chains; ties go to the lower index.
+    """Agglomerative clustering under cosine distance (Euclidean for ward) by nearest-neighbour chains; ties go to the
+    lower index.
 
     Exactly one of clusters and distance must be given. Clusters are numbered by their first member."""
     if (clusters is None) == (distance is None):
@@ -44,6 +45,10 @@ def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance:
     n = len(vectors)
     unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     d = 1 - unit @ unit.T
+    if linkage == "ward":
+        x = np.asarray(vectors, float)
+        squares = (x * x).sum(1)
+        d = np.maximum(squares[:, None] + squares - 2 * x @ x.T, 0)
     np.fill_diagonal(d, np.inf)
     size, live, merges, chain = np.ones(n), np.ones(n, bool), [], []
     for _ in range(n - 1):
@@ -66,6 +71,8 @@ def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance:
             row = np.maximum(d[lo], d[hi])
         elif linkage == "single":
             row = np.minimum(d[lo], d[hi])
+        elif linkage == "ward":  # on squares, which are undone in the heights
+            row = ((size[lo] + size) * d[lo] + (size[hi] + size) * d[hi] - size * d[lo, hi]) / (size[lo] + size[hi] + size)
         else:
             raise ValueError(f"no such linkage: {linkage}")
         row[lo] = np.inf
@@ -73,6 +80,8 @@ def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance:
         d[hi] = d[:, hi] = np.inf
         size[lo] += size[hi]
         live[hi] = False
+    if linkage == "ward":
+        merges = [(m[0] ** 0.5, *m[1:]) for m in merges]
     merges.sort(key=lambda m: m[0])
     keep = n - min(clusters, n) if clusters is not None else sum(m[0] < distance for m in merges)
     up = np.arange(n)

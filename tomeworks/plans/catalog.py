@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import xmp
-from ..operators import dedupe, keywords, lookup, pages, publishers
+from ..operators import dedupe, keywords, lookup, pages, projection, publishers
+from ..providers.base import ContextLimits, PipelineConfig
 from ..sources import run_log
 from ..sources.staging import staged
 from ..streaming import listen
+from . import books, normalise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -472,3 +474,78 @@ def listen_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_dir(spark)
     listen.run_available(listen.distinct_events(twice, delay="3650 days").select("event_id", "user_id"), f"{out}/events", f"{out}/state")
     return spark.read.schema("event_id long, user_id long").parquet(f"{out}/events")
+
+
+# The books: conversations stand in for documents, turns for pages, roles for OCR methods.
+CONFIG = PipelineConfig(extractor="outline", search_methods=("naive",), limits=ContextLimits(first_pages=3, last_pages=1))
+
+
+def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = t(spark, sf_dir, "conversations")
+    rows = c.groupBy(F.col("conv_id").alias("doc"), (F.col("turn") + 1).alias("page_number")).agg(F.array_sort(F.collect_list(F.struct(F.col("role").alias("method"), "text"))).alias("results"))
+    docs = books.documents(rows)
+    return docs.withColumns({"pdf_hash": F.sha2("combined_text", 256), "path": F.concat(F.lit("/books/"), F.col("doc").cast("string"), F.lit(".pdf")), "info": F.create_map(F.lit("producer"), F.lit("scan"))})
+
+
+_S_RECORDS = r"""
+WITH p AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS a, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS z FROM conversations),
+k AS (SELECT * FROM p WHERE a <= 3 OR z <= 1),
+b AS (SELECT conv_id, bool_or(trim(coalesce(text, '')) <> '') AS has_text FROM conversations GROUP BY conv_id),
+l AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM k WHERE text IS NOT NULL),
+h AS (SELECT conv_id, arg_min(trim(line), (turn, i)) AS title FROM l WHERE trim(line) <> '' GROUP BY conv_id),
+w AS (SELECT DISTINCT conv_id, unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) AS word FROM k WHERE text IS NOT NULL),
+r AS (SELECT conv_id, string_agg(word, '|' ORDER BY word) AS keywords FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY word) AS n FROM w) WHERE n <= 10 GROUP BY conv_id)
+SELECT b.conv_id AS doc, CASE WHEN has_text THEN title END AS title, CASE WHEN has_text THEN coalesce(keywords, '') END AS keywords,
+CASE WHEN NOT has_text THEN 'no text on any page' END AS error FROM b LEFT JOIN h USING (conv_id) LEFT JOIN r USING (conv_id)"""
+
+
+def _records(done: DataFrame) -> DataFrame:
+    words = F.from_json(F.get_json_object("result", "$.keywords"), "array<string>")
+    return done.select("doc", F.get_json_object("result", "$.title").alias("title"), j(words).alias("keywords"), "error")
+
+
+@query(_S_RECORDS)
+def books_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(books.run(_books(spark, sf_dir), CONFIG))
+
+
+@query(_S_RECORDS)
+def books_info_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(books.run(_books(spark, sf_dir), CONFIG, "bookinfo"))
+
+
+@query("""
+WITH d AS (SELECT conv_id, bool_or(trim(coalesce(text, '')) <> '') AS has_text, string_agg(coalesce(text, ''), '|' ORDER BY turn) AS content FROM conversations GROUP BY conv_id)
+SELECT content, min(CASE WHEN has_text THEN 'processed' ELSE 'failed' END) AS first, min(CASE WHEN has_text THEN 'cached' ELSE 'failed' END) AS again FROM d GROUP BY content""")
+def books_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, docs = f"{run_dir(spark)}/log", _books(spark, sf_dir)
+    docs = staged(docs.withColumn("pdf_hash", F.array_join(F.transform("pages", lambda p: F.coalesce(p["results"][0]["text"], F.lit(""))), "|")))
+    first = staged(books.run_batch(docs, CONFIG, log).select("pdf_hash", F.col("status").alias("first")))
+    again = books.run_batch(docs, CONFIG, log).select("pdf_hash", F.col("status").alias("again"))
+    return first.join(again, "pdf_hash").select(F.col("pdf_hash").alias("content"), "first", "again")
+
+
+@query()
+def normalise_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = t(spark, sf_dir, "part")
+    words = F.concat(F.split("p_name", r"\s+"), F.split("p_type", r"\s+"))
+    result = F.to_json(F.struct(F.col("p_name").alias("title"), F.col("p_brand").alias("publisher"), words.alias("keywords"), F.array("p_brand", "p_name").alias("author")))
+    at = F.timestamp_seconds(F.col("p_partkey"))
+    parts = p.select(F.col("p_partkey").cast("string").alias("pdf_name"), F.md5(F.col("p_partkey").cast("string")).alias("pdf_hash"), F.lit("{}").alias("pipeline_config"), result.alias("result"), at.alias("run_timestamp"))
+    rows = staged(run_log.parsed(parts))
+    mapping = staged(normalise.canonical_keywords(normalise.distinct_keywords(rows), distance=0.4))
+    out = normalise.normalised(rows, mapping)
+    return out.select("pdf_hash", "canonical_publisher", j(F.col("canonical_keywords")).alias("canonical_keywords"), F.to_json(lookup.writer_payload(F.col("entity"))).alias("payload"))
+
+
+@query()
+def cluster_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = t(spark, sf_dir, "embeddings").where("embedding is not null")
+    return projection.cluster_map(_blocks(e), "block", "vec_id", "embedding", min_cluster_size=10)
+
+
+def _blocks(e: DataFrame, most: int = 400) -> DataFrame:
+    """A label's vectors in blocks of about `most` by hash; those without a label are parted likewise."""
+    sizes = e.groupBy("label").agg(F.ceil(F.count("*") / most).alias("parts"))
+    got = e.join(sizes.withColumnRenamed("label", "_l"), F.col("label").eqNullSafe(F.col("_l")))
+    return got.withColumn("block", F.concat_ws("-", F.coalesce(F.col("label").cast("string"), F.lit("none")), F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("string")))

@@ -84,10 +84,15 @@ def register(name: str, make: Callable[[], TextProvider]) -> None:
     REGISTRY[name] = make
 
 
-def provider(name: str) -> TextProvider:
+def factory(name: str) -> Callable[[], TextProvider]:
+    """What makes the provider. Resolved on the driver and sent along, so that what is registered there serves executors."""
     if name not in REGISTRY:
         raise ValueError(f"no such provider: {name}")
-    return REGISTRY[name]()
+    return REGISTRY[name]
+
+
+def provider(name: str) -> TextProvider:
+    return factory(name)()
 
 
 @dataclass(frozen=True)
@@ -105,9 +110,10 @@ register("echo", Echo)
 
 def ask(requests: DataFrame, key: str, request: str, name: str, attempts: int = 3) -> DataFrame:
     """key, response, error: the provider's answers."""
+    make = factory(name)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = retrying(provider(name), attempts)
+        call = retrying(make(), attempts)
         for pdf in batches:
             got, bad = [], []
             for x in pdf[request]:
