@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_keyword
+from ..sources.staging import staged
 
 
 def keyword_counts(docs: DataFrame, keywords: Column, key: Column) -> DataFrame:
@@ -130,19 +131,27 @@ def hashing_embedding(text: Column, size: int = 64) -> Column:
     return run(text)
 
 
-def silhouette(df: DataFrame, item: str, vector: str, cluster: str) -> DataFrame:
+def silhouette(df: DataFrame, item: str, vector: str, cluster: str, most: int = 256) -> DataFrame:
     """cluster, silhouette: mean cosine silhouette of the items by cluster.
 
-    Mean cosine distances to a cluster follow from the sum of its unit vectors, so no pairs are made."""
+    Mean cosine distances to a cluster follow from the sum of its unit vectors, so no pairs of items are made. The sums
+    travel in blocks of about `most` clusters, and an item meets each block once; blocks are repeated over salts, so that no task
+    has all items of one."""
     norm = F.sqrt(F.aggregate(F.transform(vector, lambda v: v.cast("double") * v.cast("double")), F.lit(0.0), lambda s, v: s + v))
     unit = df.select(item, cluster, F.transform(vector, lambda v: v.cast("double") / norm).alias("u"))
     sums = unit.select(cluster, F.posexplode("u")).groupBy(cluster, "pos").agg(F.sum("col").alias("s"), F.count("*").alias("n"))
-    sums = sums.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda p: p["s"]).alias("s"), F.first("n").alias("n"))
-    other = sums.select(F.col(cluster).alias("other"), "s", "n")
-    dot = F.aggregate(F.zip_with("u", "s", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    # the sums are one row for each cluster; every item meets each of them once
-    met = unit.join(F.broadcast(other), F.lit(True)).withColumn("dot", dot)
-    a = F.max(F.when((F.col("other") == F.col(cluster)) & (F.col("n") > 1), (F.col("n") - F.col("dot")) / (F.col("n") - 1)))
-    b = F.min(F.when(F.col("other") != F.col(cluster), 1 - F.col("dot") / F.col("n")))
-    each = met.groupBy(item, cluster).agg(a.alias("a"), b.alias("b"))
+    sums = staged(sums.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda p: p["s"]).alias("s"), F.first("n").alias("n")))
+    blocks, salts = max(1, -(-sums.count() // most)), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = sums.groupBy(F.pmod(F.xxhash64(cluster), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct(F.col(cluster).alias("c"), "s", "n")).alias("others"))
+    parted = parted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    asked = unit.select("*", F.pmod(F.xxhash64(item), F.lit(salts)).alias("salt"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    dot = lambda o: F.aggregate(F.zip_with("u", o["s"], lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    own = F.filter("others", lambda o: (o["c"] == F.col(cluster)) & (o["n"] > 1))
+    rest = F.filter("others", lambda o: o["c"] != F.col(cluster))
+    met = asked.join(parted, ["block", "salt"]).select(
+        item, cluster,
+        F.array_max(F.transform(own, lambda o: (o["n"] - dot(o)) / (o["n"] - 1))).alias("a"),
+        F.array_min(F.transform(rest, lambda o: 1 - dot(o) / o["n"])).alias("b"),
+    )
+    each = met.groupBy(item, cluster).agg(F.max("a").alias("a"), F.min("b").alias("b"))
     return each.groupBy(cluster).agg(F.avg(F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))).alias("silhouette"))

@@ -290,10 +290,7 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cluster_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # blocks of bounded size: a label's vectors in groups of about 400 by hash
-    e = t(spark, sf_dir, "embeddings").where("embedding is not null and label is not null")
-    sizes = e.groupBy("label").agg(F.ceil(F.count("*") / 400).alias("parts"))
-    e = e.join(F.broadcast(sizes), "label").withColumn("block", F.concat_ws("-", F.col("label").cast("string"), F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("string")))
+    e = _blocks(t(spark, sf_dir, "embeddings").where("embedding is not null and label is not null"))
     return keywords.cluster_within(e, "block", "vec_id", "embedding", clusters=8)
 
 
