@@ -324,6 +324,13 @@ def test_op9(spark, monkeypatch, pivots, block):
     assert embed_dedup.embedding_near_duplicates(df.where("false")).count() == 0
 
 
+def test_op9_many_lengths(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "LENGTHS", 2)
+    df = spark.createDataFrame([(10 * d + k, [1.0] * d + [0.01 * k], 0) for d in range(1, 8) for k in range(3)], "vec_id long, embedding array<float>, label int")
+    got = embed_dedup.embedding_near_duplicates(df).toPandas()
+    assert len(got) == 21 and (got.n_links == 2).all() and (got.component_id == got.vec_id // 10 * 10).all()
+
+
 def test_op10(spark, docs, empty):
     rng = np.random.default_rng(8)
     word = lambda: "".join(rng.choice(list("abcdefgh"), 5))

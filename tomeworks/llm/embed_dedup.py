@@ -31,7 +31,9 @@ from .components import components
 from .kernels import labels
 
 #: Pivots at most, distinct vectors for each of them, vectors in a block, and what rounding may add to a distance.
-PIVOTS, PER_PIVOT, BLOCK, SLACK = 1024, 2048, 4096, 1e-9
+PIVOTS, PER_PIVOT, BLOCK, SLACK = 1024, 2048, 4096, 1e-7
+#: Vector lengths that have pivots of their own, the most common ones; the vectors of any other length are one cell.
+LENGTHS = 64
 OUT = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -52,7 +54,7 @@ def _place(pivots, radius: float):
             row, cell, home = [], [], []
             for d in np.unique(size):
                 own = np.flatnonzero(size == d)
-                p = by_size[int(d)]
+                p = by_size.get(int(d), np.eye(1, int(d)))
                 x = np.stack([unit[i] for i in own])
                 dist = np.sqrt(np.maximum(0, 2 - 2 * (x @ p.T)))
                 near = dist.argmin(axis=1)
@@ -117,7 +119,7 @@ def embedding_near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col:
     n = same.count()
     top = min(max_pivots, max(1, n // PER_PIVOT))
     pivots: dict[int, np.ndarray] = {}
-    sizes = [r[0] for r in same.select(F.size("embedding")).distinct().limit(1000).collect()]
+    sizes = [r["d"] for r in same.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(LENGTHS).collect()]
     for d in sizes:
         got = same.where(F.size("embedding") == d).select("embedding", F.xxhash64("embedding").alias("h")).orderBy("h").limit(top).toArrow()
         pivots[d] = np.stack(_unit(got["embedding"].combine_chunks()))
