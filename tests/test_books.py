@@ -86,6 +86,15 @@ def test_full_run(docs):
     assert got[2] == got[3] == (None, "no text on any page")
 
 
+def test_search(docs):
+    found = lambda n: books.search(books.extract(docs, c := base.PipelineConfig(extractor="outline", search_methods=("naive", "broken", "shelf"), max_results=n)), c)
+    for n in (0, 3):
+        got = {r["doc"]: r["candidates"] for r in found(n).collect()}
+        assert [c["method"] for c in got[1]] == ["naive", "shelf"] and got[2] == got[3] == []
+        payload = json.loads(got[1][0]["payload"])
+        assert payload["query"] == "Dune" and payload["result_count"] == len(payload["items"]) == min(n, 1)
+
+
 def test_modes_and_replies(docs):
     got = results(books.run(docs, base.PipelineConfig(extractor="fenced"), "bookinfo"))
     assert got[1][0]["author"] == ["Ann"] and got[1][0]["title"] == "T"

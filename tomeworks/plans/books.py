@@ -103,10 +103,11 @@ def extract(docs: DataFrame, config: PipelineConfig, attempts: int = 3, prompt:
 
 def search(infos: DataFrame, config: PipelineConfig, attempts: int = 3) -> DataFrame:
     """infos with candidates, an array of (method, payload) in the order of the methods; one that fails or finds nothing
-    is left out. A payload is JSON of source, query, result_count and items."""
+    is left out. A method is asked for JSON of `info` and `max_results`; a payload is JSON of source, query, result_count
+    and items."""
     found = None
     for i, name in enumerate(config.search_methods):
-        got = _asked(infos.where("info_reply is not null"), F.col("info_reply"), name, attempts, ["doc"])
+        got = _asked(infos.where("info_reply is not null"), F.struct(F.col("info_reply").alias("info"), F.lit(config.max_results).alias("max_results")), name, attempts, ["doc"])
         got = got.where(F.trim("response") != "").select("doc", F.struct(F.lit(i).alias("i"), F.lit(name).alias("method"), F.col("response").alias("payload")).alias("c"))
         found = got if found is None else found.unionByName(got)
     kind = "array<struct<method:string,payload:string>>"

@@ -31,8 +31,9 @@ class EchoSearch:
     name: str = "naive"
 
     def __call__(self, request: str) -> str | None:
-        record = json.loads(request)
-        return json.dumps({"source": self.name, "query": record.get("title"), "result_count": 1, "items": [record]}, ensure_ascii=False)
+        asked = json.loads(request)
+        items = [asked["info"]][: asked["max_results"]]
+        return json.dumps({"source": self.name, "query": asked["info"].get("title"), "result_count": len(items), "items": items}, ensure_ascii=False)
 
 
 @dataclass(frozen=True)
