@@ -18,15 +18,19 @@ def metadata_lookup(files: DataFrame, meta: DataFrame, order: str, by_hash: str
 
 
 def catalogue_search(queries: DataFrame, catalogue: DataFrame, rank: str, limit: int = 5, page: int = 1) -> DataFrame:
-    """Catalogue rows for (query_id, title, author): by both, or where that finds none, by title alone; by falling rank."""
-    c = catalogue.withColumnsRenamed({"title": "c_title", "author": "c_author"})
-    both = queries.join(c, (F.col("title") == F.col("c_title")) & (F.col("author") == F.col("c_author"))).withColumn("matched_by", F.lit("title+author"))
-    rest = queries.join(both.select("query_id").distinct(), "query_id", "left_anti")
-    alone = rest.join(c, F.col("title") == F.col("c_title")).withColumn("matched_by", F.lit("title"))
+    """Catalogue rows for (query_id, title, author): by both, or where that finds none, by title alone; by falling rank.
+
+    What a query can get are the first rows of its title and author, or of its title, so the catalogue is cut to those
+    before it meets the queries: rows grow with the queries, not with the pairs."""
     keys = [k for k in catalogue.columns if k not in ("title", "author", rank)]
-    w = Window.partitionBy("query_id").orderBy(F.desc(rank), *keys)
     skip = max((page - 1) * limit, 0)
-    return both.unionByName(alone).withColumn("rank", F.row_number().over(w)).where((F.col("rank") > skip) & (F.col("rank") <= skip + limit))
+    ranked = lambda df, *by: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(rank), *keys))).where(F.col("rank") <= skip + limit)
+    c = catalogue.withColumnsRenamed({"title": "c_title", "author": "c_author"}).where("c_title is not null")
+    named = ranked(c.where("c_author is not null"), "c_title", "c_author").drop("rank")
+    both = queries.join(named, (F.col("title") == F.col("c_title")) & (F.col("author") == F.col("c_author"))).withColumn("matched_by", F.lit("title+author"))
+    rest = queries.join(both.select("query_id").distinct(), "query_id", "left_anti")
+    alone = rest.join(ranked(c, "c_title").drop("rank"), F.col("title") == F.col("c_title")).withColumn("matched_by", F.lit("title"))
+    return ranked(both.unionByName(alone), "query_id").where(F.col("rank") > skip)
 
 
 def cache_key(*parts: Column) -> Column:

@@ -236,6 +236,15 @@ def catalog_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.catalogue_search(q, c, "users", 3).select("query_id", "item", "matched_by", F.col("rank").cast("long").alias("rank"))
 
 
+@query()
+def catalog_search_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """catalog_search with every order as a query against every order; its pairs are too many for SQL that joins them."""
+    o = t(spark, sf_dir, "orders")
+    q = o.select(F.col("o_orderkey").alias("query_id"), F.col("o_orderpriority").alias("title"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).otherwise("nobody").alias("author"))
+    c = o.select(F.col("o_orderkey").alias("item"), F.col("o_orderpriority").alias("title"), F.col("o_orderstatus").alias("author"), F.col("o_totalprice").alias("users"))
+    return lookup.catalogue_search(q, c, "users", 3).select("query_id", "item", "matched_by", F.col("rank").cast("long").alias("rank"))
+
+
 _S_NAMES = f"SELECT norm, min(pos) AS pos FROM (SELECT {s_publisher('name')} AS norm, pos FROM (SELECT p_name AS name, min(p_partkey) AS pos FROM part WHERE trim(p_name) <> '' GROUP BY 1)) GROUP BY 1"
 #: The dynamic program of the longest common subsequence, one character of the first name at a time.
 _S_RATIO = f"""
