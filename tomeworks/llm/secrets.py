@@ -1,7 +1,8 @@
 """Secret scan with a random forest that removes false positives.
 
 Candidates are found in flat byte arrays: words that hold a digit, an assignment or many capitals and are long enough, cut to key and
-value and freed from the punctuation around them. A forest trained from labelled findings judges each by its length,
+value and freed from the punctuation around them; the parts of words of any length, between quotes, commas, brackets, &, ;, ?, =, :, @ and
+non-ASCII characters (and between slashes in urls), are candidates too, and what holds another one is preferred to it. A forest trained from labelled findings judges each by its length,
 its character transitions (classes, and log probability of letter pairs against dictionary words), how much of it dictionary words cover,
 the path it comes from, and the words beside it.
 
@@ -58,19 +59,53 @@ INTEREST[[*range(48, 58)]] = 1
 INTEREST[[ord("="), ord(":")]] = 1
 
 
-def candidate(word: str, before: str) -> tuple[str, int, str] | None:
-    """(value, its place in the word, key name) of a word that may be a secret."""
+#: What parts a word, and a part with the padding of base64; in urls slashes part too.
+SEPARATORS = "\"'`,;&=:@?|(){}<>\\\\\\[\\]\x80-\U0010ffff"
+PART = re.compile(f"[^{SEPARATORS}]+(?:(?<=[^{SEPARATORS}]{{16}})={{1,2}}(?=[\"'`,;&)}}\\]]|$))?")
+URL_PART = re.compile(f"[^{SEPARATORS}/#]+")
+#: Several pairs or quoted values: not one value.
+PAIRS = re.compile(r"[\"'`][\]},:;]|[,;&?]\W{0,2}[\w.\-]{1,40}[\"'`]?[=:]")
+USER = re.compile(r"://[^/?#:@\"'`<>,\s]*:([^/?#\"'`<>,\s]+)@")
+KEY = re.compile(r"[A-Za-z][\w.\-]{1,40}")
+
+
+def _worth(value: str, name: str, near: str) -> bool:
+    """Whether the forest is to see it."""
+    return len(value) >= LEAST and value.isascii() and (any(c.isdigit() for c in value) or bool(name) and bool(NAMED.search(near)) or value.startswith(ISSUED))
+
+
+def candidates(word: str, before: str, after: str) -> Iterator[tuple[str, int, str, str, str]]:
+    """(value, its place in the word, key name, text before, text after) of what may be secrets in a word: its value as a
+    whole, the password of a url, and the parts. They may hold one another."""
     m = ASSIGN.match(word)
     name, raw, at = ("", word, 0) if m is None else (m[1], m[2], m.start(2))
     value = raw.strip(EDGE)
     at += raw.find(value) if value else 0
-    near = name or " ".join(before.split()[-2:])
-    named = bool(NAMED.search(near))
-    if len(value) < LEAST or "://" in value or not value.isascii():
-        return None
-    if any(c.isdigit() for c in value) or named and name or value.startswith(ISSUED):
-        return value, at, name
-    return None
+    seen = set()
+    if "://" not in value and _worth(value, name, name or " ".join(before.split()[-2:])) and not PAIRS.search(value):
+        seen.add((at, len(value)))
+        yield value, at, name, before, after
+    url = "://" in word
+    for m in USER.finditer(word) if url else ():
+        if _worth(m[1], "password", "password"):
+            seen.add((m.start(1), len(m[1])))
+            yield m[1], m.start(1), "password", before, after
+    parts = [(m[0], m.start()) for m in (URL_PART if url else PART).finditer(word)]
+    for k, (part, at) in enumerate(parts):
+        value = part.strip(EDGE)
+        if len(value) < LEAST:
+            continue
+        name = ""
+        if k:
+            last, begin = parts[k - 1]
+            gap = word[begin + len(last) : at]
+            last = last.rstrip("=")
+            if "://" not in gap and ("=" in gap or ":" in gap or len(last) < len(parts[k - 1][0])) and not any(c in gap for c in ",;&") and KEY.fullmatch(last):
+                name = last
+        near = " ".join([*before.split()[-3:], *(x for x, _ in parts[max(0, k - 3) : k])][-3:])[-200:]
+        at += part.find(value)
+        if (at, len(value)) not in seen and _worth(value, name, name):
+            yield value, at, name, near, " ".join([*(x for x, _ in parts[k + 1 : k + 3]), after][:2])[:200]
 
 
 @lru_cache(1)
@@ -182,25 +217,28 @@ def scan_rows(column: pa.Array, paths: list[str | None], forest: RandomForest, t
             continue
         marks = np.concatenate(([0], np.cumsum(INTEREST[d], dtype=np.int64)))
         caps = np.concatenate(([0], np.cumsum(CAPITAL[d], dtype=np.int64)))
-        hits = np.flatnonzero(((marks[ends] > marks[starts]) | (caps[ends] - caps[starts] >= 12)) & (ends - starts >= LEAST) & (ends - starts <= 4096))
+        hits = np.flatnonzero(((marks[ends] > marks[starts]) | (caps[ends] - caps[starts] >= 12)) & (ends - starts >= LEAST))
         if not len(hits):
             continue
         doc = np.searchsorted(first, hits, "right") - 1
         raw, found, x = d.tobytes(), [], []
         for h, r in zip(hits.tolist(), doc.tolist(), strict=True):
-            near = lambda a, b: raw[starts[a] : ends[b]].decode("utf-8", "replace") if a <= b else ""  # noqa: B023, E731
-            word = near(h, h)
-            before = near(max(first[r], h - 3), h - 1)[-200:]
-            got = candidate(word, before)
-            if got:
-                value, at, name = got
-                begin = int(starts[h]) + len(word[:at].encode())
-                found.append((i + r, begin - int(o[r]), begin - int(o[r]) + len(value.encode()), value))
-                x.append(features(value, name, before, near(h + 1, min(h + 2, first[r + 1] - 1))[:200], paths[i + r] or ""))
+            # 816 bytes hold 200 characters
+            head = lambda a, b: raw[starts[a] : min(ends[b], starts[a] + 816)].decode("utf-8", "replace")[:200] if a <= b else ""  # noqa: B023, E731
+            tail = lambda a, b: raw[max(starts[a], ends[b] - 816) : ends[b]].decode("utf-8", "replace")[-200:] if a <= b else ""  # noqa: B023, E731
+            word = raw[starts[h] : ends[h]].decode("utf-8", "replace")
+            byte = None if word.isascii() else np.flatnonzero((d[starts[h] : ends[h]] & 0xC0) != 0x80)
+            for value, at, name, before, after in candidates(word, tail(max(first[r], h - 3), h - 1), head(h + 1, min(h + 2, first[r + 1] - 1))):
+                begin = int(starts[h]) + int(at if byte is None else byte[at])
+                found.append((i + r, begin - int(o[r]), begin - int(o[r]) + len(value), value))
+                x.append(features(value, name, before, after, paths[i + r] or ""))
         if found:
-            for f, s in zip(found, forest.predict(np.array(x)).tolist(), strict=True):
-                if s >= threshold:
-                    yield *f, s
+            kept = [(*f, s) for f, s in zip(found, forest.predict(np.array(x)).tolist(), strict=True) if s >= threshold]
+            row = end = -1
+            for f in sorted(kept, key=lambda f: (f[0], f[1], -f[2])):
+                if f[0] != row or f[1] >= end:
+                    row, end = f[0], f[2]
+                    yield f
 
 
 FOUND = "doc_id long, start long, end long, length long, score double, secret_sha256 string"
