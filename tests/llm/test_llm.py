@@ -245,6 +245,18 @@ def test_op6(spark, empty):
     assert set(langid.identify(df.withColumn("lang", F.lit(None).cast("string"))).toPandas().lang_pred) == {"und"}
 
 
+@pytest.mark.parametrize("n", [1, 49, 50, 51, 3000])
+def test_op6_no_letter(n):
+    words_ = pa.table({"lang": ["de", "en"], "ord": pa.array([0, 0], pa.int32()), "item": [1, 2], "n": [1, 1]})
+    grams_ = pa.table({"lang": ["de", "en"], "ord": pa.array([1, 1], pa.int32()), "item": [1, 2], "n": [1, 1]})
+    model = langid.WordFirstModel(["de", "en"], words_, grams_)
+    bare = ["1,50 € " * n, "• 2 " * n, "— " * n, "😀 " * n, "٣٤ " * n]
+    lang, score = model.predict(pa.array([*bare, "€ " * n + "é", "€ " * n + "a", "語 " * n, *bare]))
+    assert lang[:5] == lang[8:] == ["und"] * 5
+    assert (score[:5] == 0).all()
+    assert "und" not in lang[5:8]
+
+
 def plain_repeats(rows, size):
     seen = collections.Counter()
     for t in rows:

@@ -160,8 +160,9 @@ class WordFirstModel:
                 scores[~known] = self.unseen([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
             sums = np.concatenate((np.zeros((1, len(self.langs))), np.cumsum(scores[inv], axis=0, dtype=np.float64)))
             total[i:j] = sums[first[1:]] - sums[first[:-1]]
-            for r in np.flatnonzero(letters[i:j]):  # words without an ASCII letter may hold no letter at all
-                if first[r + 1] - first[r] < 50 and not any(c.isalpha() for c in d[o[r] : o[r + 1]].tobytes().decode("utf-8", "replace")):
+            ascii_ = np.concatenate(([0], np.cumsum((d > 0x20) & (d < 128), dtype=np.int64)))
+            for r in np.flatnonzero(letters[i:j] & (ascii_[o[1:]] == ascii_[o[:-1]])):  # words without an ASCII letter may hold no letter at all
+                if not any(map(str.isalpha, d[o[r] : o[r + 1]].tobytes().decode("utf-8", "replace"))):
                     letters[i + r] = False
         p = np.exp(total - total.max(axis=1, keepdims=True)) if n else total
         p /= p.sum(axis=1, keepdims=True) if n else 1
