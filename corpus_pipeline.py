@@ -1,4 +1,6 @@
-"""From raw documents to a training corpus: language, near duplicates, benchmark leaks, secrets, tokens."""
+"""From raw documents to a training corpus: language, near duplicates, benchmark leaks, secrets, tokens.
+
+Stages judge rows, not ids: a null id, or one that several texts have, changes nothing."""
 
 from __future__ import annotations
 
@@ -12,19 +14,17 @@ from tomeworks.llm.registry import BPE_FILE, tokenizer_path
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model can tell: those it calls `und` go. Learns from the stage's own input."""
-    told = langid.predict(docs, langid.fit(docs.select("doc_id", "text", "lang").where(~langid.held_out(F.col("doc_id")))))
-    out = stash(told.where("lang_pred = 'und'").select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(out, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti").select(*docs.columns)
+    return langid.known(docs, langid.fit(docs.select("doc_id", "text", "lang").where(~langid.held_out(F.col("doc_id")))))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each group of near copies."""
-    return ngram_join.one_of_each(docs, ngram_join.ngram_jaccard_join(docs)).select(*docs.columns)
+    return ngram_join.one_row_of_each(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

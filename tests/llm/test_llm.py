@@ -436,3 +436,26 @@ def test_pipeline(spark, docs, tmp_path):
         stage = f(spark, stage, str(tmp_path))
         assert stage.columns == df.columns
     assert "[secret]" in stage.where("doc_id = 3").first()["text"]
+
+
+def test_pipeline_ids(spark, tmp_path):
+    """Null ids, and one id of several texts: each row is judged on its own."""
+    import corpus_pipeline
+
+    text = lambda i: " ".join(f"word{chr(97 + i)}{chr(97 + k)}" for k in range(20))
+    leak = text(20)
+    rows = [(i, text(i), "en") for i in range(4)] + [(None, t, "en") for t in (text(5), text(6), "99 !!", leak, text(0), text(7), text(7) + " more")]
+    rows += [(9, text(8), "en"), (9, text(9), "en"), (9, "12 %", "en"), (9, leak, "en")]
+    df = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, f in corpus_pipeline.STAGES[:-1]:
+        stage = f(spark, stage, str(tmp_path))
+    got = sorted(((r["doc_id"], r["text"]) for r in stage.collect()), key=str)
+    one = [g for g in got if g[1].startswith(text(7))]
+    assert len(one) == 1
+    assert [g for g in got if g not in one] == sorted([(i, text(i)) for i in range(4)] + [(None, text(5)), (None, text(6)), (9, text(8)), (9, text(9))], key=str)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 9
+    bench = spark.createDataFrame([(i, text(i)) for i in range(4)], "item_id long, text string")
+    assert sorted(r["text"] for r in decontaminate.clean(df, bench, block_words=20).collect()) == sorted(r[1] for r in rows if r[1] not in [text(i) for i in range(4)])

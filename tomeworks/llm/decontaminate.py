@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import doc_slices, text_buffers
+from .base import doc_slices, stash, text_buffers
 from .kernels import run_hashes, word_hashes, words
 
 BLOCK_WORDS = 2_000_000
@@ -160,14 +160,11 @@ def _search(docs: DataFrame, index, coverage: float) -> DataFrame:
     return docs.mapInArrow(run, PAIRS)
 
 
-def contaminated_pairs(docs: DataFrame, bench: DataFrame, min_match: int = 3, coverage: float = 0.6, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, item_id, coverage (of the item's words), n_tiles, tiles (places and lengths in words)."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
+def _indexes(spark: SparkSession, bench: DataFrame, min_match: int, block_words: int) -> Iterator:
+    """The items' index, block by block, as broadcasts."""
     items = bench.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
     total = items.agg(F.sum(F.length("text") / 2)).first()[0] or 0
     blocks = max(1, math.ceil(float(total) / block_words))
-    out = None
     for n in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == n) if blocks > 1 else items
         got = part.orderBy("item_id").toArrow()
@@ -179,14 +176,40 @@ def contaminated_pairs(docs: DataFrame, bench: DataFrame, min_match: int = 3, co
                 if b - a >= min_match:
                     ids.append(own[i + r])
                     hashes.append(w[a:b])
-        found = _search(rows, spark.sparkContext.broadcast(ItemIndex(ids, hashes, min_match)), coverage)
+        yield spark.sparkContext.broadcast(ItemIndex(ids, hashes, min_match))
+
+
+def contaminated_pairs(docs: DataFrame, bench: DataFrame, min_match: int = 3, coverage: float = 0.6, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, item_id, coverage (of the item's words), n_tiles, tiles (places and lengths in words)."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
+    out = None
+    for index in _indexes(docs.sparkSession, bench, min_match, block_words):
+        found = _search(rows, index, coverage)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def clean(docs: DataFrame, bench: DataFrame, min_match: int = 3, coverage: float = 0.6, text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows whose text no item contaminates, each judged on its own, whatever its id. Blocks of items follow each other."""
+    at = docs.columns.index(text_col)
+
+    def kept(docs: DataFrame, index) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ok = np.ones(len(b), bool)
+                for i, _, w, first in token_hashes(b.column(at).cast(pa.string())):
+                    for row, _, _ in index.value.search(w, first, coverage):
+                        ok[i + row] = False
+                yield b.filter(pa.array(ok))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    for n, index in enumerate(_indexes(docs.sparkSession, bench, min_match, block_words)):
+        docs = kept(stash(docs) if n else docs, index)
+    return docs
+
+
 def drop_contaminated(docs: DataFrame, bench: DataFrame, **kw) -> DataFrame:
     """The documents that no item contaminates; those with a null id stay."""
-    from .base import stash
-
     bad = stash(contaminated_pairs(docs, bench, **kw).select("doc_id").distinct())
     return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)

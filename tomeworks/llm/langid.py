@@ -206,6 +206,20 @@ def predict(docs: DataFrame, model: WordFirstModel | None, id_col: str = "doc_id
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def known(docs: DataFrame, model: WordFirstModel | None, text_col: str = "text") -> DataFrame:
+    """The rows whose text isn't `und`, each judged on its own, whatever its id."""
+    if model is None:
+        return docs.where("false")
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lang, _ = sent.value.predict(b.column(at).cast(pa.string()))
+            yield b.filter(pa.array([x != "und" for x in lang], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score: learnt from the documents that aren't held out."""
     train = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")))

@@ -331,6 +331,19 @@ def one_of_each(docs: DataFrame, joined: DataFrame) -> DataFrame:
     return docs.dropDuplicates(["doc_id"]).join(keep, F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
 
 
+def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies, the one of smallest id, null ones last.
+
+    Rows are told apart by a 64-bit hash of id and text, so neither null ids nor an id that different texts have lose
+    rows; rows of equal id and text are one."""
+    keyed = docs.withColumn("_row", F.xxhash64(id_col, text_col))
+    ids = keyed.select("_row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "_row").alias("rank"))
+    joined = stash(ngram_jaccard_join(keyed, id_col="_row", text_col=text_col).select(F.col("doc_id").alias("_row"), "component_id").distinct())
+    first = ids.join(joined, "_row").groupBy("component_id").agg(F.min("rank").alias("rank"))
+    keep = stash(first.select(F.col("rank._row").alias("_row")))
+    return keyed.dropDuplicates(["_row"]).join(keep, "_row", "left_semi").select(*docs.columns)
+
+
 #: The same rows in DuckDB's SQL, by joining all shingles: for small tables.
 SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
