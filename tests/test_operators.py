@@ -167,3 +167,24 @@ def test_folder_stream(spark, tmp_path):
     stream = listen.listen_folder(spark, str(tmp_path / "in")).select("path", "content_hash")
     listen.run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"))
     assert spark.read.parquet(str(tmp_path / "out")).select("content_hash").distinct().count() == spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_cluster_average_large_label(spark, tmp_path):
+    """A label of more than 400 vectors: its 8 true clusters, each whole; and cells that share out the clusters."""
+    from tomeworks.plans import catalog
+
+    rng = np.random.default_rng(3)
+    centres = np.eye(8) * 10
+    rows = [(i, (centres[i % 8] + rng.normal(0, 0.1, 8)).tolist(), 1) for i in range(900)] + [(1000 + i, centres[i % 8].tolist(), 2) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = catalog.QUERIES["cluster_average"](spark, str(tmp_path)).toPandas()
+    assert len(got) == len(rows)
+    big = got[got.vec_id < 900]
+    assert big.groupby(["block", "cluster_id"]).ngroups == 8
+    assert big.assign(true=big.vec_id % 8).groupby("true").cluster_id.nunique().max() == 1
+    cut = catalog._cells(df, 8, most=300).toPandas()
+    assert len(cut) == len(rows)
+    assert cut.groupby("block").vec_id.count().max() <= 500
+    assert 7 <= cut[cut.label == 1].drop_duplicates("block").share.sum() <= 9
+    assert cut[cut.label == 2].share.tolist() == [8] * 20

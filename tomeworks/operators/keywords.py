@@ -98,17 +98,19 @@ def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance:
     return np.unique([root(i) for i in range(n)], return_inverse=True)[1]
 
 
-def cluster_within(df: DataFrame, block: str, item: str, vector: str, clusters: int | None = None, distance: float | None = None, linkage: str = "average") -> DataFrame:
+def cluster_within(df: DataFrame, block: str, item: str, vector: str, clusters: int | str | None = None, distance: float | None = None, linkage: str = "average") -> DataFrame:
     """block, item, cluster_id: clusters of each block on its own. A block's members are compared with each other in
-    one task, so blocks (a coarse partition such as a language or a k-means cell) are to have a bounded size."""
+    one task, so blocks (a coarse partition such as a language or a k-means cell) are to have a bounded size. clusters: their
+    number in each block, or the column that has it."""
+    own = clusters if isinstance(clusters, str) else None
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(item)
-        out = average_linkage(np.stack(pdf[vector].map(np.asarray)), clusters, distance, linkage)
+        out = average_linkage(np.stack(pdf[vector].map(np.asarray)), int(pdf[own].iloc[0]) if own else clusters, distance, linkage)
         return pd.DataFrame({block: pdf[block], item: pdf[item], "cluster_id": out.astype("int32")})
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    return df.select(block, item, vector).groupBy(block).applyInPandas(run, f"{block} {kinds[block]}, {item} {kinds[item]}, cluster_id int")
+    return df.select(block, item, vector, *([own] if own else [])).groupBy(block).applyInPandas(run, f"{block} {kinds[block]}, {item} {kinds[item]}, cluster_id int")
 
 
 def hashing_embedding(text: Column, size: int = 64) -> Column:

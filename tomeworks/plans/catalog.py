@@ -299,8 +299,8 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cluster_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _blocks(t(spark, sf_dir, "embeddings").where("embedding is not null and label is not null"))
-    return keywords.cluster_within(e, "block", "vec_id", "embedding", clusters=8)
+    e = _cells(t(spark, sf_dir, "embeddings").where("embedding is not null and label is not null"), 8)
+    return keywords.cluster_within(e, "block", "vec_id", "embedding", clusters="share")
 
 
 @query("""
@@ -555,3 +555,16 @@ def _blocks(e: DataFrame, most: int = 400) -> DataFrame:
     sizes = e.groupBy("label").agg(F.ceil(F.count("*") / most).alias("parts"))
     got = e.join(sizes.withColumnRenamed("label", "_l"), F.col("label").eqNullSafe(F.col("_l")))
     return got.withColumn("block", F.concat_ws("-", F.coalesce(F.col("label").cast("string"), F.lit("none")), F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("string")))
+
+
+def _cells(e: DataFrame, clusters: int, most: int = 4096) -> DataFrame:
+    """A label's vectors as one block, or beyond `most` of them as k-means cells; share: the block's part of the label's
+    `clusters`, by size, at least one."""
+    sizes = staged(e.groupBy("label").agg(F.count("*").alias("n")))
+    small = e.join(sizes.where(F.col("n") <= most), "label").withColumn("cell", F.lit("0"))
+    for label, n in sorted(sizes.where(F.col("n") > most).collect()):
+        one = staged(e.where(F.col("label") == F.lit(label)))
+        small = small.unionByName(normalise.cells(one, n, most, item="vec_id").withColumn("n", F.lit(n).cast("long")).select(*small.columns))
+    got = small.withColumn("block", F.concat_ws("-", F.col("label").cast("string"), "cell"))
+    members = got.groupBy("block").agg(F.count("*").alias("members"))
+    return got.join(members, "block").withColumn("share", F.greatest(F.lit(1), F.round(F.lit(clusters) * F.col("members") / F.col("n"))).cast("int"))

@@ -28,7 +28,7 @@ def distinct_keywords(rows: DataFrame, words: str = "keywords") -> DataFrame:
     return raw.select(normalize_keyword(F.col("raw")).alias("keyword")).where("keyword <> ''").distinct()
 
 
-def cells(vectors: DataFrame, n: int, most: int, seed: int = 7) -> DataFrame:
+def cells(vectors: DataFrame, n: int, most: int, seed: int = 7, item: str = "keyword") -> DataFrame:
     """vectors with `cell`: k-means cells of the n vectors, aimed at `most` members; those that got more are split by hash.
 
     Up to `most` vectors are one cell, so clusters of small inputs are found over all of them."""
@@ -38,7 +38,7 @@ def cells(vectors: DataFrame, n: int, most: int, seed: int = 7) -> DataFrame:
     model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_c").fit(vectors.select(array_to_vector("embedding").alias("_v")))
     got = staged(model.transform(vectors.withColumn("_v", array_to_vector("embedding"))).drop("_v"))
     sizes = got.groupBy("_c").agg(F.ceil(F.count("*") / most).alias("_parts"))
-    return got.join(sizes, "_c").withColumn("cell", F.concat_ws("-", F.col("_c").cast("string"), F.pmod(F.xxhash64("keyword"), F.col("_parts")).cast("string"))).drop("_c", "_parts")
+    return got.join(sizes, "_c").withColumn("cell", F.concat_ws("-", F.col("_c").cast("string"), F.pmod(F.xxhash64(item), F.col("_parts")).cast("string"))).drop("_c", "_parts")
 
 
 def canonical_keywords(words: DataFrame, clusters: int | None = None, distance: float | None = None, linkage: str = "average", embed: Embed = K.hashing_embedding, labeller: str | None = None, most: int = 4096) -> DataFrame:
