@@ -114,6 +114,15 @@ def test_op1(spark, docs, empty, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted({w[2] for w in want})
 
 
+def test_op1_one_id_of_two_texts(spark):
+    """Documents similar to either text of an id are linked to it."""
+    text = lambda c: [f"w{c}{k}" for k in range(60)]
+    near = lambda c: " ".join([*text(c)[:-1], "other"])
+    rows = [(1, " ".join(text("a"))), (1, " ".join(text("b"))), (2, near("a")), (3, near("b")), (4, " ".join(text("c")))]
+    got = ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["n_links"]) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 4, 0)]
+
+
 def test_op2(docs, empty):
     assert sharding.cuts(np.array([5, 5, 5, 5]), 2) == [2]
     for seed in range(20):

@@ -284,8 +284,11 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75, id_col: s
     told = cells.groupBy("frag", F.when(F.col("frag") < 0, F.col("batch")).alias("own")).applyInArrow(_count(frags), V.CELLS)
     t = stash(told.groupBy("batch").applyInArrow(_gather(frags, percent), DOC))
     same = t.where("items is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult"))
-    same = stash(same)
-    sets = t.where("items is not null").select("doc_id", "n", "d1", "d2", "items", "prefix").join(same.select("d1", "d2", F.col("rep").alias("doc_id"), "mult"), ["d1", "d2", "doc_id"]).dropDuplicates(["doc_id"])
+    # an id that stands for several sets is the node of one of them, the others have a hash for a node
+    shared = same.groupBy("rep").agg(F.min(F.struct("d1", "d2")).alias("own"), F.count("*").alias("sets")).where("sets > 1")
+    same = same.join(stash(shared), "rep", "left")
+    same = stash(same.withColumn("node", F.when(F.col("own").isNull() | (F.col("own") == F.struct("d1", "d2")), F.col("rep")).otherwise(F.xxhash64("d1", "d2"))).select("d1", "d2", "rep", "mult", "node"))
+    sets = t.where("items is not null").select(F.col("doc_id").alias("rep"), "n", "d1", "d2", "items", "prefix").join(same, ["d1", "d2", "rep"]).dropDuplicates(["d1", "d2"]).withColumn("doc_id", F.col("node")).select("doc_id", "n", "d1", "d2", "items", "prefix", "mult")
     sets = stash(sets)
     edges = sets.select("doc_id", "prefix").mapInArrow(_prefix_cells(frags), V.CELLS).groupBy("frag").applyInArrow(_families, "a long, b long")
     family = stash(components(edges))
@@ -302,10 +305,13 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75, id_col: s
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
     found = stash(placed.groupBy("g", "i", "j").applyInArrow(_links(percent), "kind int, a long, b long"))
+    # an id's sets stay apart unless their texts are linked; a component's name is its smallest id
     comp = components(found.where("kind = 1"))
-    links = found.where("kind = 0").groupBy("a").agg(F.sum("b").alias("more")).withColumnRenamed("a", "rep")
-    classes = same.join(links, "rep", "left").join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    classes = stash(classes.select("d1", "d2", F.coalesce("component", "rep").alias("component"), (F.col("mult") - 1 + F.coalesce("more", F.lit(0))).alias("links")))
+    links = found.where("kind = 0").groupBy("a").agg(F.sum("b").alias("more")).withColumnRenamed("a", "node")
+    classes = stash(same.join(links, "node", "left").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    least = stash(classes.groupBy("component").agg(F.min("rep").alias("least")))
+    classes = classes.join(least, "component")
+    classes = stash(classes.select("d1", "d2", F.col("least").alias("component"), (F.col("mult") - 1 + F.coalesce("more", F.lit(0))).alias("links")))
     linked = t.where("items is not null").select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
     alone = t.where("items is null").select("doc_id", "n", F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("links"))
     out = linked.select("doc_id", "n", "component", "links").unionByName(alone)
