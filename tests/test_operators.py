@@ -188,3 +188,13 @@ def test_cluster_average_large_label(spark, tmp_path):
     assert cut.groupby("block").vec_id.count().max() <= 500
     assert 7 <= cut[cut.label == 1].drop_duplicates("block").share.sum() <= 9
     assert cut[cut.label == 2].share.tolist() == [8] * 20
+
+
+def test_greedy_groups_long_chain(spark):
+    """A chain of more than 50 matches is one part: only its least name's order tells who founds a group."""
+    name = lambda i: f"n{i:03d}"
+    n = 54
+    names = spark.createDataFrame([(name(i), name(i), n - i) for i in range(n)], "name string, norm string, pos int").coalesce(1)
+    pairs = spark.createDataFrame([(name(i), name(i + 1)) for i in range(n - 1)], "a string, b string").coalesce(1)
+    got = {r["norm"]: r["seed"] for r in publishers.greedy_groups(names, pairs).collect()}
+    assert got == {name(i): name(i if i % 2 else i + 1) for i in range(n)}

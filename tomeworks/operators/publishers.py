@@ -51,7 +51,7 @@ def greedy_groups(names: DataFrame, pairs: DataFrame) -> DataFrame:
     norms = names.groupBy("norm").agg(F.min("pos").alias("pos"))
     edges = staged(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     label = norms.select("norm", F.col("norm").alias("part"))
-    for _ in range(50):
+    while True:  # least names only fall, so this ends
         step = edges.join(label, edges["b"] == label["norm"]).groupBy("a").agg(F.min("part").alias("best"))
         new = label.join(step, label["norm"] == step["a"], "left").select("norm", F.least("part", F.coalesce("best", "part")).alias("part"))
         new = staged(new)
