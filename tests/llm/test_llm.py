@@ -331,6 +331,76 @@ def test_op8(spark):
     assert url_filter.filter_urls(df.where("false")).count() == 0
 
 
+def plain_templates(urls, rules):
+    """Verdict and template of each url, by walking a tree of dictionaries."""
+    import math
+    import re
+
+    U = url_filter
+    rows = []
+    for u in urls:
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", u or "")
+        host, path = (m[1].translate({c: c + 32 for c in range(65, 91)}), m[2]) if m else ("", "")
+        fits = [r for r in rules if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+        told = max(fits, key=lambda r: (len(r[1] + r[2]), r[1] + r[2]))[0] if fits else None
+        rows.append((host, [("*" if any(c in "0123456789" for c in p) else p) for p in path.split("/")[1:]], told))
+    out = [None] * len(rows)
+
+    def grow(own, depth):
+        """Names the segment at `depth` of the rows that share a branch."""
+        longer = [i for i in own if len(rows[i][1]) > depth]
+        kinds = {rows[i][1][depth] for i in longer}
+        if len(kinds) >= U.FAN and len(longer) < U.FEW * len(kinds):
+            for i in longer:
+                rows[i][1][depth] = "*"
+        for k in {rows[i][1][depth] for i in longer}:
+            grow([i for i in longer if rows[i][1][depth] == k], depth + 1)
+
+    def judge(own, depth, purity):
+        n = sum(rows[i][2] is not None for i in own)
+        b = sum(rows[i][2] == "block" for i in own)
+        for i in own:
+            if len(rows[i][1]) == depth:
+                out[i] = (rows[i][2] or ("block" if purity >= U.PURITY else "allow"), "".join("/" + s for s in rows[i][1]))
+        kids = {}
+        for i in own:
+            if len(rows[i][1]) > depth:
+                kids.setdefault(rows[i][1][depth], []).append(i)
+        size = {k: (sum(rows[i][2] is not None for i in v), sum(rows[i][2] == "block" for i in v)) for k, v in kids.items()}
+        alike = {k for k, (kn, kb) in size.items() if kn == 0 or abs(kb / kn - b / n) <= U.Z * math.sqrt(b / n * (1 - b / n) / kn)}
+        pool = tuple(sum(size[k][c] for k in alike) for c in (0, 1))
+        for k, v in kids.items():
+            kn, kb = pool if k in alike else size[k]
+            judge(v, depth + 1, purity if kn in (0, n) else (kb + purity * U.WEIGHT) / (kn + U.WEIGHT))
+
+    for h in {r[0] for r in rows}:
+        own = [i for i, r in enumerate(rows) if r[0] == h]
+        grow(own, 0)
+        n, b = sum(rows[i][2] is not None for i in own), sum(rows[i][2] == "block" for i in own)
+        judge(own, 0, (b + U.PRIOR * U.WEIGHT) / (n + U.WEIGHT))
+    return out
+
+
+def test_op8_tree(spark):
+    """Random trees against the plain version: labels reach templates that no rule fits, at any depth."""
+    import random
+
+    r = random.Random(3)
+    slug = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    urls = [f"http://a.shop.example/{r.choice(['bad', 'good', 'news'])}/{r.choice(['x', 'y'])}/deep/{slug()}/{r.choice(['p', 'q'])}" for _ in range(400)]
+    urls += [f"http://b.shop.example/{r.choice(['bad', 'bad', 'other'])}/{slug()}" for _ in range(120)]
+    urls += [f"http://c.shop.example/{r.choice(['good/one', 'good/two', 'else'])}/{slug()}.html" for _ in range(90)]
+    urls += ["http://b.shop.example/" + "/".join(["s"] * 400), "http://b.shop.example", "http://b.shop.example/", "http://b.shop.example//", None, "x" * 50_000, ""] + urls[:5]
+    rules = (("block", "shop.example", "/bad/"), ("allow", "shop.example", "/good/"))
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {x["page_id"]: x for x in url_filter.filter_urls(df, rules).collect()}
+    assert [(got[i]["verdict"], got[i]["template"]) for i in range(len(urls))] == plain_templates(urls, rules)
+    only_method = [i for i, x in got.items() if x["rule"] is None and x["verdict"] == "block"]
+    assert only_method and all(urls[i].startswith("http://b.shop.example") for i in only_method)
+    assert {got[i]["verdict"] for i, u in enumerate(urls) if u and "c.shop" in u} == {"allow"}
+    assert any(x["template"].startswith("/bad/x/deep/*/") for x in got.values())
+
+
 @pytest.mark.parametrize(("pivots", "block"), [(1024, 4096), (9, 5)])
 def test_op9(spark, monkeypatch, pivots, block):
     rng = np.random.default_rng(4)

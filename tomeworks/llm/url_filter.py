@@ -4,17 +4,22 @@ Every url has a host and a path. Rules (host, path prefix) fit a host and its su
 verdicts are the labels of what the tree learns about all other urls:
 
 * per host, segments that vary are generalised into wildcards: first those that hold a digit, then, level by level
-  from the root, all segments below a branch that has at least FAN different ones with few urls each;
-* branches (templates) below the same first segment of a host are merged where they are statistically similar: where a
-  branch's share of blocked urls is within Z standard errors of the share in all of its siblings;
-* a template is rejected where its smoothed purity (blocked + PRIOR * WEIGHT) / (labelled + WEIGHT) reaches PURITY. A template
-  without labels of its own is never merged and stays at the prior, that is, allowed.
+  from the root and at every level, all segments below a branch that has at least FAN different ones with few urls
+  each. Branches of fewer than FAN shapes can't vary further down, so the passes end where no larger one is left.
+* sibling branches are merged where they are statistically similar: where a branch's share of blocked urls is within
+  Z standard errors of the share of all urls below their parent. A branch without labels is similar to any.
+* the smoothed purity of the host's root is (blocked + PRIOR * WEIGHT) / (labelled + WEIGHT); that of a branch is
+  (blocked + parent's purity * WEIGHT) / (labelled + WEIGHT) over the branches merged with it, or its parent's where they
+  hold no labels or all of the parent's, which is counted already. So a template without labels inherits what is known up the
+  tree, and it is rejected where its purity reaches PURITY.
 
 Urls are summed up by host and template before anything is joined, so a host with a third of all urls is as many
-rows as it has templates.
+rows as it has templates. Nodes of the tree are told apart by 64-bit hashes of their paths, built up segment by segment, so
+that a url of thousands of segments is as many short rows.
 
-Defined results: null, or no "://": host and path are empty, no rule fits, allowed as any template without labels. Repeated rows count
-and are returned as often; null page_id is kept; an empty table gives no rows. Only page_id and url are read.
+Defined results: null, or no "://": host and path are empty, no rule fits, judged like any other template. Repeated rows (and
+repeated urls) count and are returned as often; null page_id is kept; an empty table gives no rows. Of rules of one length
+that fit, the last by name wins. Only page_id and url are read, so further columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .base import stash
 
-FAN, FEW, Z, WEIGHT, PRIOR, PURITY, LEVELS = 30, 3, 1.96, 8.0, 0.5, 0.85, 2
+FAN, FEW, Z, WEIGHT, PRIOR, PURITY = 30, 3, 1.96, 8.0, 0.5, 0.85
 #: Verdict, host and path of each rule.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -48,36 +53,45 @@ def rule_columns(rules) -> tuple[Column, Column]:
     return name, verdict
 
 
-def templates(pages: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """host, shape (digits generalised), template, first (the template's first segment), n, labelled, blocked."""
+def templates(pages: DataFrame) -> DataFrame:
+    """host, shape (digits generalised), template, labelled, blocked."""
     t = pages.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("verdict").alias("labelled"), F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked"))
-    t = stash(t.withColumn("done", F.lit("")).withColumn("left", F.col("shape")).withColumn("first", F.lit("")))
-    for level in range(levels):
-        t = t.withColumn("segment", F.regexp_extract("left", r"(?s)^(/[^/]*)", 1))
-        child = t.groupBy("host", "done", "segment").agg(F.sum("n").alias("n"))
-        fan = child.groupBy("host", "done").agg((((F.count("*") >= FAN) & (F.sum("n") < FEW * F.count("*")))).alias("varies"))
-        t = t.join(stash(fan), ["host", "done"])
+    t = stash(t.withColumns({"done": F.lit(""), "left": F.col("shape"), "open": F.col("shape") != ""}))
+    while t.where("open").limit(1).count():
+        t = t.withColumn("segment", F.when(F.col("open"), F.regexp_extract("left", r"(?s)^(/[^/]*)", 1)).otherwise(""))
+        child = t.where("open").groupBy("host", "done", "segment").agg(F.sum("n").alias("n"), F.count("*").alias("shapes"))
+        fan = child.groupBy("host", "done").agg(((F.count("*") >= FAN) & (F.sum("n") < FEW * F.count("*"))).alias("varies"), (F.sum("shapes") >= FAN).alias("wide"))
+        t = t.join(fan, ["host", "done"], "left")
         t = t.withColumn("left", F.expr("substr(left, length(segment) + 1)"))
-        t = t.withColumn("done", F.concat("done", F.when(F.col("varies") & (F.col("segment") != ""), "/*").otherwise(F.col("segment")))).drop("varies", "segment")
-        if level == 0:
-            t = t.withColumn("first", F.col("done"))
-        t = stash(t)
-    return t.select("host", "shape", F.concat("done", "left").alias("template"), "first", "n", "labelled", "blocked")
-
-
-def rejected(tree: DataFrame) -> DataFrame:
-    """host, template and whether its smoothed purity rejects it."""
-    leaf = tree.groupBy("host", "first", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    leaf = stash(leaf)
-    pool = leaf.groupBy("host", "first").agg(F.try_divide(F.sum("blocked"), F.sum("labelled")).alias("rate"))
-    rate, n = F.col("rate"), F.col("labelled")
-    alike = (n > 0) & (F.abs(F.try_divide("blocked", n) - rate) <= Z * F.sqrt(F.try_divide(rate * (1 - rate), n)))
-    leaf = leaf.join(pool, ["host", "first"]).withColumn("alike", F.coalesce(alike, F.lit(False)))
-    leaf = stash(leaf.select("host", "first", "template", "labelled", "blocked", "alike"))
-    merged = leaf.where("alike").groupBy("host", "first", "alike").agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
-    leaf = leaf.join(merged, ["host", "first", "alike"], "left")
-    blocked, labelled = F.coalesce("all_blocked", "blocked"), F.coalesce("all_labelled", "labelled")
-    return leaf.select("host", "template", ((blocked + PRIOR * WEIGHT) / (labelled + WEIGHT) >= PURITY).alias("reject"))
+        t = t.withColumn("done", F.concat("done", F.when(F.col("varies") & (F.col("segment") != ""), "/*").otherwise(F.col("segment"))))
+        t = stash(t.withColumn("open", F.col("open") & F.col("wide") & (F.col("left") != "")).drop("varies", "wide", "segment"))
+    return t.select("host", "shape", F.concat("done", "left").alias("template"), "labelled", "blocked")
+
+
+def path_nodes(template: Column) -> Column:
+    """Hashes of the root and of the path's branches down to the template itself."""
+    parts = F.split(template, "/")
+    grow = lambda acc, s: F.array_append(acc, F.xxhash64(F.element_at(acc, -1), s))
+    return F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), F.array(F.xxhash64(F.lit(""))), grow)
+
+
+def purities(tree: DataFrame) -> DataFrame:
+    """host, template, purity."""
+    leaf = stash(tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")).withColumn("path", path_nodes(F.col("template"))))
+    step = leaf.select("host", "template", "labelled", "blocked", "path", F.posexplode("path").alias("depth", "node"))
+    step = step.withColumn("parent", F.when(F.col("depth") > 0, F.col("path")[F.col("depth") - 1])).drop("path")
+    node = stash(step.groupBy("host", "node").agg(F.min("parent").alias("parent"), F.sum("labelled").alias("n"), F.sum("blocked").alias("b")))
+    above = node.select("host", F.col("node").alias("parent"), F.col("n").alias("all_n"), F.try_divide("b", "n").alias("rate"))
+    n, rate = F.col("n"), F.col("rate")
+    near = F.abs(F.try_divide("b", n) - rate) <= Z * F.sqrt(F.try_divide(rate * (1 - rate), n))
+    branch = stash(node.where("parent is not null").join(above, ["host", "parent"]).withColumn("alike", (n == 0) | F.coalesce(near, F.lit(False))))
+    pool = branch.where("alike").groupBy("host", "parent", "alike").agg(F.sum("n").alias("pool_n"), F.sum("b").alias("pool_b"))
+    branch = branch.join(pool, ["host", "parent", "alike"], "left").select("host", "node", F.coalesce("pool_n", "n").alias("n"), F.coalesce("pool_b", "b").alias("b"), "all_n")
+    judged = branch.unionByName(node.where("parent is null").select("host", "node", "n", "b", F.lit(None).cast("long").alias("all_n")))
+    path = step.select("host", "template", "depth", "node").join(judged, ["host", "node"]).groupBy("host", "template").agg(F.array_sort(F.collect_list(F.struct("depth", "n", "b", "all_n"))).alias("steps"))
+    known = lambda s: s["all_n"].isNotNull() & ((s["n"] == 0) | (s["n"] == s["all_n"]))
+    fold = F.aggregate("steps", F.lit(PRIOR), lambda p, s: F.when(known(s), p).otherwise((s["b"] + p * WEIGHT) / (s["n"] + WEIGHT)))
+    return path.select("host", "template", fold.alias("purity"))
 
 
 def filter_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -88,19 +102,10 @@ def filter_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     base = base.withColumns({"rule": name, "verdict": verdict, "shape": F.regexp_replace("path", r"/[^/]*[0-9][^/]*", "/*")})
     base = stash(base)
     tree = stash(templates(base))
-    told = stash(tree.select("host", "shape", "template").join(rejected(tree), ["host", "template"]).select("host", "shape", "template", "reject"))
+    told = tree.select("host", "shape", "template").join(purities(tree), ["host", "template"])
     out = base.join(told, ["host", "shape"])
-    return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.when(F.col("reject"), "block").otherwise("allow")).alias("verdict"), "template")
-
-
-def _level(source: str, made: str, first: bool) -> str:
-    return f"""
-{made}_s AS (SELECT *, regexp_extract(rest, '(?s)^(/[^/]*)', 1) AS segment FROM {source}),
-{made}_f AS (SELECT host, done, count(*) >= {FAN} AND sum(n) < {FEW} * count(*) AS varies
-             FROM (SELECT host, done, segment, sum(n) AS n FROM {made}_s GROUP BY ALL) GROUP BY ALL),
-{made} AS (SELECT host, shape, n, labelled, blocked, {"d" if first else "first_segment"} AS first_segment, d AS done, substr(rest, length(segment) + 1) AS rest
-           FROM (SELECT s.*, s.done || CASE WHEN f.varies AND s.segment <> '' THEN '/*' ELSE s.segment END AS d
-                 FROM {made}_s s JOIN {made}_f f ON s.host = f.host AND s.done = f.done))"""
+    method = F.when(F.col("purity") >= PURITY, "block").otherwise("allow")
+    return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", method).alias("verdict"), "template")
 
 
 def sql(rules=RULES) -> str:
@@ -109,20 +114,27 @@ def sql(rules=RULES) -> str:
     name = "CASE " + " ".join(f"WHEN {fits[r]} THEN '{r[1] + r[2]}'" for r in longest) + " END"
     what = "CASE " + " ".join(f"WHEN {fits[r]} THEN '{r[0]}'" for r in longest) + " END"
     return f"""
-WITH parts AS (SELECT page_id, translate(coalesce(regexp_extract(url, '{_URL}', 1), ''), '{_UPPER}', '{_UPPER.lower()}') AS host,
+WITH RECURSIVE parts AS (SELECT page_id, translate(coalesce(regexp_extract(url, '{_URL}', 1), ''), '{_UPPER}', '{_UPPER.lower()}') AS host,
                       coalesce(regexp_extract(url, '{_URL}', 2), '') AS path FROM pages),
 base AS (SELECT *, {name} AS rule, {what} AS told, regexp_replace(path, '/[^/]*[0-9][^/]*', '/*', 'g') AS shape FROM parts),
-t0 AS (SELECT host, shape, count(*) AS n, count(told) AS labelled, count(*) FILTER (WHERE told = 'block') AS blocked, '' AS first_segment, '' AS done, shape AS rest FROM base GROUP BY host, shape),
-{_level("t0", "t1", True)},
-{_level("t1", "t2", False)},
-tree AS (SELECT host, shape, done || rest AS template, first_segment, labelled, blocked FROM t2),
-leaf AS (SELECT host, first_segment, template, sum(labelled) AS labelled, sum(blocked) AS blocked FROM tree GROUP BY ALL),
-pool AS (SELECT host, first_segment, sum(blocked)::DOUBLE / nullif(sum(labelled), 0) AS rate FROM leaf GROUP BY ALL),
-near AS (SELECT l.*, coalesce(l.labelled > 0 AND abs(l.blocked::DOUBLE / nullif(l.labelled, 0) - rate) <= {Z} * sqrt(rate * (1 - rate) / nullif(l.labelled, 0)), false) AS alike
-         FROM leaf l JOIN pool p ON l.host = p.host AND l.first_segment = p.first_segment),
-merged AS (SELECT host, first_segment, sum(labelled) AS labelled, sum(blocked) AS blocked FROM near WHERE alike GROUP BY ALL),
-judged AS (SELECT n.host, n.template, (coalesce(m.blocked, n.blocked) + {PRIOR * WEIGHT}) / (coalesce(m.labelled, n.labelled) + {WEIGHT}) >= {PURITY} AS reject
-           FROM near n LEFT JOIN merged m ON n.alike AND n.host = m.host AND n.first_segment = m.first_segment)
-SELECT b.page_id, b.host, b.path, b.rule, coalesce(b.told, CASE WHEN j.reject THEN 'block' ELSE 'allow' END) AS verdict, t.template
-FROM base b JOIN tree t ON b.host = t.host AND b.shape = t.shape JOIN judged j ON j.host = t.host AND j.template = t.template
+t0 AS (SELECT host, shape, count(*) AS n, count(told) AS labelled, count(*) FILTER (WHERE told = 'block') AS blocked FROM base GROUP BY host, shape),
+l AS (SELECT host, shape, n, labelled, blocked, '' AS done, shape AS rest FROM t0
+  UNION ALL SELECT host, shape, n, labelled, blocked, done || CASE WHEN kinds >= {FAN} AND urls < {FEW} * kinds THEN '/*' ELSE segment END, substr(rest, length(segment) + 1)
+  FROM (SELECT *, count(DISTINCT segment) OVER (PARTITION BY host, done) AS kinds, sum(n) OVER (PARTITION BY host, done) AS urls
+        FROM (SELECT *, regexp_extract(rest, '(?s)^(/[^/]*)', 1) AS segment FROM l WHERE rest <> ''))),
+tree AS (SELECT host, shape, done AS template, labelled, blocked FROM l WHERE rest = ''),
+leaf AS (SELECT host, template, sum(labelled) AS labelled, sum(blocked) AS blocked, string_split(template, '/') AS parts FROM tree GROUP BY host, template),
+step AS (SELECT *, array_to_string(parts[:depth], '/') AS node, depth - 1 AS above FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS depth FROM leaf)),
+node AS (SELECT host, node, depth, sum(labelled) AS n, sum(blocked) AS b, any_value(array_to_string(parts[:above], '/')) AS parent FROM step GROUP BY host, node, depth),
+near AS (SELECT c.host, c.node, c.depth, c.parent, c.n, c.b, p.n AS all_n, c.n = 0 OR coalesce(abs(c.b::DOUBLE / nullif(c.n, 0) - p.b::DOUBLE / nullif(p.n, 0))
+           <= {Z} * sqrt((p.b::DOUBLE / nullif(p.n, 0)) * (1 - p.b::DOUBLE / nullif(p.n, 0)) / nullif(c.n, 0)), false) AS alike
+         FROM node c JOIN node p ON c.host = p.host AND c.parent = p.node AND c.depth = p.depth + 1),
+branch AS (SELECT host, node, depth, parent, all_n, CASE WHEN alike THEN sum(n) OVER w ELSE n END AS n, CASE WHEN alike THEN sum(b) OVER w ELSE b END AS b
+           FROM near WINDOW w AS (PARTITION BY host, parent, depth, alike)),
+pure AS (SELECT host, node, depth, (b::DOUBLE + {PRIOR * WEIGHT}) / (n::DOUBLE + {WEIGHT}) AS purity FROM node WHERE depth = 1
+  UNION ALL SELECT c.host, c.node, c.depth, CASE WHEN c.n = 0 OR c.n = c.all_n THEN p.purity ELSE (c.b::DOUBLE + p.purity * {WEIGHT}) / (c.n::DOUBLE + {WEIGHT}) END
+  FROM pure p JOIN branch c ON c.host = p.host AND c.parent = p.node AND c.depth = p.depth + 1)
+SELECT b.page_id, b.host, b.path, b.rule, coalesce(b.told, CASE WHEN j.purity >= {PURITY} THEN 'block' ELSE 'allow' END) AS verdict, t.template
+FROM base b JOIN tree t ON b.host = t.host AND b.shape = t.shape JOIN leaf f ON f.host = t.host AND f.template = t.template
+JOIN pure j ON j.host = f.host AND j.node = f.template AND j.depth = len(f.parts)
 """
