@@ -102,16 +102,17 @@ def test_op1(spark, docs, empty, monkeypatch):
                 x, y = sorted((find(i), find(k)))
                 up[y] = x
     want = sorted((i, len(s), find(i), links[p]) for p, (i, s) in enumerate(rows))
-    for block, small in ((768, 256), (2, 1)):  # large families go through blocks
-        monkeypatch.setattr(ngram_join, "BLOCK", block)
-        monkeypatch.setattr(ngram_join, "SMALL", small)
+    for block, clump, part, batch in ((768, 32, 1 << 20, 2_000_000), (2, 1, 100, 700)):  # large families go through blocks and fragments
+        for name, value in (("BLOCK", block), ("CLUMP", clump), ("PART_ITEMS", part)):
+            monkeypatch.setattr(ngram_join, name, value)
+        monkeypatch.setattr(vertical, "BATCH_ITEMS", batch)
         got = [tuple(r) for r in ngram_join.ngram_jaccard_join(docs).select("doc_id", "n_shingles", "component_id", "n_links").collect()]
         assert sorted(r for r in got if r[0] is not None) == want
         assert [r[2:] for r in got if r[0] is None] == [(None, 0)]
     assert ngram_join.ngram_jaccard_join(empty).count() == 0
-    kept = ngram_join.one_of_each(docs, ngram_join.ngram_jaccard_join(docs))
+    kept = ngram_join.one_row_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted({w[2] for w in want})
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({w[2] for w in want})
 
 
 def test_op1_one_id_of_two_texts(spark):

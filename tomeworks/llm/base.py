@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
 
@@ -18,12 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is named (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is named, a temporary one, on a local master only:
+    elsewhere other machines would not see its files."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append("file://" + tempfile.mkdtemp(prefix="tomeworks-"))
+        atexit.register(shutil.rmtree, _LOCAL[0].removeprefix("file://"), ignore_errors=True)
     return _LOCAL[0]
 
 
@@ -31,21 +38,44 @@ def stash(df: DataFrame, codec: str = "lz4_raw") -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/stash-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stash = path
+    return out
+
+
+def discard(*stashed: DataFrame) -> None:
+    """Delete what stash wrote, once nothing reads it any more."""
+    for df in stashed:
+        spark, path = df.sparkSession, df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stash)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def fragments(spark: SparkSession) -> int:
-    """How many fragments a hash order is cut into: a power of two that grows with the shuffle partitions."""
-    n = 64
-    while n < partitions(spark):
+#: Bytes of text for which a hash order has a fragment, and fragments at most (about as many as a shuffle can have partitions).
+FRAGMENT_BYTES, FRAGMENTS = 1 << 22, 1 << 18
+
+
+def fragments(texts: DataFrame, text_col: str = "text") -> int:
+    """How many fragments a hash order is cut into: a power of two that grows with the bytes of the texts and with the
+    shuffle partitions."""
+    size = texts.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n, want = 64, min(FRAGMENTS, max(partitions(texts.sparkSession), size // FRAGMENT_BYTES))
+    while n < want:
         n *= 2
     return n
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, behind as many underscores as it takes to clash with no column of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1) of an Arrow string column without copying; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -75,5 +105,3 @@ def doc_slices(offs: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, in
 
 def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
-
-

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import stash
+from .base import discard, stash
 
 
 def _mark(e: DataFrame) -> tuple:
@@ -30,11 +30,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = stash(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = stash(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = stash(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = stash(large.groupBy("u").agg(F.min("v").alias("m")))
         # small star: the smaller neighbours of u, and u itself, go to the smallest of them
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stash(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        old, mark = mark, _mark(e)
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        new = stash(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        discard(e, low, large, least)
+        e, old, mark = new, mark, _mark(new)
         if old == mark:
             break
     else:

@@ -23,6 +23,17 @@ class BitRank:
         w = i >> 6
         return self.before[w] + np.bitwise_count(self.words[w] & ((_ONE << (i & 63).astype(np.uint64)) - _ONE))
 
+    def select(self, k: np.ndarray) -> np.ndarray:
+        """Where the k-th set bit is, counted from 1."""
+        w = np.searchsorted(self.before, k, "left") - 1
+        word, left, at = self.words[w], (k - self.before[w]).astype(np.int64), w << 6
+        for step in (32, 16, 8, 4, 2, 1):
+            low = np.bitwise_count(word & ((_ONE << np.uint64(step)) - _ONE)).astype(np.int64)
+            far = left > low
+            left, at = left - low * far, at + step * far
+            word = np.where(far, word >> np.uint64(step), word)
+        return at
+
 
 class WaveletMatrix:
     """rank(c, i) for many (c, i) at once, in one pass over the levels."""
@@ -46,7 +57,9 @@ class WaveletMatrix:
 class FMIndex:
     """Index of a sequence of integers >= 1 with 0 between its parts, for patterns of at most `depth` items.
 
-    Suffixes are sorted by their first `depth` items only, which is all that counting such patterns needs."""
+    Suffixes are sorted by their first `depth` items only, which is all that counting such patterns needs. What stays is the
+    wavelet matrix of the transform, one bit a suffix for where a class of equal first `depth` items begins, and two numbers a
+    symbol; neither the suffixes' order nor their classes are kept."""
 
     def __init__(self, seq: np.ndarray, depth: int):
         n = len(seq)
@@ -69,25 +82,27 @@ class FMIndex:
             size *= 2
         if size < depth and size < n and depth - size < n:
             rank, order = by(rank, depth - size)
-        self.order = order
         cls = rank[order]
-        head = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
-        count = np.diff(np.append(head, n))
-        self.low, self.high = np.repeat(head, count), np.repeat(head + count, count)
+        self.first = BitRank(np.concatenate(([True], cls[1:] != cls[:-1], [True])))
         top = int(seq.max(initial=0))
         self.tree = WaveletMatrix(seq[order - 1].astype(np.int64), top)
         chars = np.arange(top + 1)
         less = np.concatenate(([0], np.cumsum(np.bincount(seq, minlength=top + 1))[:-1]))
         self.shift = less - self.tree.walk(chars, np.zeros(top + 1, np.int64))
 
+    def nbytes(self) -> int:
+        """Bytes that the index holds once it is built."""
+        return sum(b.words.nbytes + b.before.nbytes for b in [self.first, *self.tree.bits]) + self.shift.nbytes
+
     def back(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
         """One step of backward search for interval ends i."""
         return self.shift[c] + self.tree.walk(c, i)
 
-    def matching(self, seq: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each position of the parts seq[starts:ends], the interval of its longest match of at most `depth` items
-        within the part. The parts are streamed from their ends, all in step; each must occur in the index."""
-        low, high = np.zeros(len(seq), np.int64), np.zeros(len(seq), np.int64)
+    def repeated(self, seq: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Matching statistics of the parts seq[starts:ends]: for each position whether its longest match of at most `depth`
+        items within the part is found at two places or more. The parts are streamed from their ends, all in step; each must
+        occur in the index."""
+        out = np.zeros(len(seq), bool)
         lo, hi = np.zeros(len(starts), np.int64), np.full(len(starts), self.n, np.int64)
         live, step = np.arange(len(starts)), 0
         while len(live):
@@ -95,9 +110,10 @@ class FMIndex:
             c = seq[at]
             lo, hi = self.back(c, lo), self.back(c, hi)
             step += 1
-            if step > self.depth:  # back to `depth` items
-                lo, hi = self.low[lo], self.high[lo]
-            low[at], high[at] = lo, hi
+            if step > self.depth:  # back to `depth` items: the class that the interval lies in
+                k = self.first.ones(lo + 1)
+                lo, hi = self.first.select(k), self.first.select(k + 1)
+            out[at] = hi - lo >= 2
             go = at > starts[live]
             live, lo, hi = live[go], lo[go], hi[go]
-        return low, high
+        return out

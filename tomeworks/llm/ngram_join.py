@@ -7,22 +7,24 @@ fragments that are handled apart from each other:
    nowhere else are summed. A document of n shingles with more than n - ceil(t n) such ones can have no partner.
 2. The others order the rest of their shingles by frequency, rarest first; two sets with similarity t share one of
    their first n - ceil(t n) + 1 shingles (prefix filter, which holds for any global order). Fragments of those
-   prefixes link documents into families; partners are always in one family.
-3. Families are cut into blocks of bounded size; for each pair of blocks the partial overlaps of all pairs of sets
-   are counted fragment by fragment, summed and held against the threshold. A task returns numbers of links and a
-   spanning forest, so that a group of thousands of near copies gives no row for each pair.
+   prefixes link documents into families, and say which pairs of a family's blocks hold candidate pairs.
+3. The shingles of a pair of blocks are cut into fragments of bounded size; each counts the partial overlaps of the candidate
+   pairs (those that share a prefix shingle) by itself, and a second shuffle sums them per pair and holds the sums against the
+   threshold. Pairs travel as packed counts, one row for each pair of blocks and fragment, and what comes out are numbers
+   of links and a spanning forest, so that a group of thousands of near copies gives no row for each pair.
 
-Equal sets are collapsed first and take part once, with their multiplicity. Shingles are told apart by 64-bit
-hashes, of which 38 bits or more (growing with the number of fragments) take part.
+A block has the sets of a family whose rarest shared shingle is the same, as far as they fit, so that a family of many small groups
+has few pairs of blocks with candidates. Equal sets are collapsed, first in each batch and then over all, and take part
+once, with their multiplicity. Shingles are told apart by 64-bit hashes throughout, equal sets by two digests of them.
 
 Defined results: null or empty text, or text without words: 0 shingles, no links, its own component. Repeated
-rows (equal doc_id): each gets a row of the result, and they are copies of each other only if their texts are.
-Null doc_id: kept, with null component. An empty table gives no rows. Further columns of the input play no part.
+rows (equal doc_id): each gets a row of the result, and they are copies of each other only if their texts are. Ties (a
+similarity of exactly the threshold) are links. Null doc_id: kept, with null component. An empty table gives no rows.
+Further columns of the input play no part.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,19 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vertical as V
-from .base import blob, doc_slices, fragments, partitions, stash, text_buffers
+from .base import blob, discard, doc_slices, fragments, free_name, stash, text_buffers
 from .components import components
 from .kernels import labels, lower_ascii, mix, shingles
 
-#: Sets in a block; a task compares two blocks.
-BLOCK = 256
-#: Families above this many sets have blocks of their own, smaller ones are packed together.
-SMALL = 256
+#: Sets in a block, and of one rarest shingle in it; a task has two blocks, or as many sets of small families.
+BLOCK, CLUMP = 128, 32
+#: Shingles of a pair of blocks in one fragment.
+PART_ITEMS = 1_000_000
 #: Shingles of a family that more sets than this have are counted by matrix products, others by listing pairs.
-DENSE_DF = 12
-DOC = "doc_id long, n int, d1 long, d2 long, items binary, prefix binary"
-DOC_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("items", pa.binary()), ("prefix", pa.binary())])
-HEAD = np.dtype([("doc_id", "<i8"), ("n", "<i4"), ("d1", "<i8"), ("d2", "<i8")])
+DENSE_DF, DENSE_SETS = 12, 64
+DOC = "doc_id long, n int, d1 long, d2 long, lead long, items binary, prefix binary"
+DOC_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("lead", pa.int64()), ("items", pa.binary()), ("prefix", pa.binary())])
+HEAD = np.dtype([("doc_id", "<i8"), ("n", "<i4"), ("d1", "<i8"), ("d2", "<i8"), ("set", "<i4")])
+PART = np.dtype([("doc", "<u4"), ("lone", "<u4"), ("rest", "<u4")])
 
 
 def _digests(items: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,56 +59,79 @@ def _digests(items: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
+def _sparse(doc: np.ndarray) -> np.ndarray:
+    """Runs of equal documents with their lengths, as rows of PART (under `rest`)."""
+    edge = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else np.zeros(0, np.int64)
+    out = np.zeros(len(edge), PART)
+    out["doc"], out["rest"] = doc[edge], np.diff(np.append(edge, len(doc)))
+    return out
+
+
 def _to_cells(k: int, frags: int):
+    """Shingles of the distinct sets of each batch, as cells; the batch's own row has its documents, and who has its repeated shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held, size = V.batch_ids(), [], 0
 
         def flush() -> pa.RecordBatch:
-            head = np.zeros(sum(len(h) for h, *_ in held), HEAD)
-            at = 0
-            for h, *_ in held:
-                head[at : at + len(h)] = h
-                at += len(h)
+            head = np.concatenate([h for h, _ in held])
             items = np.concatenate([x for _, x in held])
-            doc = np.repeat(np.arange(len(head)), head["n"])
-            return V.cells(items, doc, len(head), frags, next(ids), head.tobytes())
+            # equal sets of the batch go once, under the document of smallest id
+            order = np.lexsort((head["doc_id"], head["d2"], head["d1"]))
+            d = head[order]
+            new = np.concatenate(([True], (d["d1"][1:] != d["d1"][:-1]) | (d["d2"][1:] != d["d2"][:-1])))
+            head["set"][order] = order[new][np.cumsum(new) - 1]
+            own = np.repeat(head["set"] == np.arange(len(head)), head["n"])
+            items, doc = items[own], np.repeat(np.arange(len(head)), head["n"])[own].astype(np.uint32)
+            single, multi, times, where = V.divide(items)
+            owners = doc[where]
+            items, doc = items[single], doc[single]
+            at, edge = V.cut(items, frags)
+            items, doc = items[at], doc[at]
+            far = np.searchsorted(V.fragment_of(multi, frags), np.arange(frags + 1))
+            batch = next(ids)
+            rows = [V.row(-1, batch, V.pack(head, multi, times.astype(np.uint32), owners))]
+            for f in np.flatnonzero((np.diff(edge) > 0) | (np.diff(far) > 0)).tolist():
+                a, b, p, q = edge[f], edge[f + 1], far[f], far[f + 1]
+                rows.append(V.row(f, batch, blob(items[a:b]), blob(_sparse(doc[a:b])), blob(multi[p:q]), blob(times[p:q].astype(np.uint32))))
+            return V.record_batch(rows)
 
         for b in batches:
             data, offs = text_buffers(b.column(1))
             doc_ids = b.column(0).to_numpy(zero_copy_only=False)
             for i, j in doc_slices(offs):
-                items, bounds = shingles(lower_ascii(data[offs[i] : offs[j]]), offs[i : j + 1] - offs[i], k)
-                head = np.zeros(j - i, HEAD)
-                head["doc_id"], head["n"] = doc_ids[i:j], np.diff(bounds)
-                head["d1"], head["d2"] = _digests(items, bounds)
-                held.append((head, items))
-                size += len(items)
-                if size >= V.BATCH_ITEMS:
-                    yield flush()
-                    held, size = [], 0
+                for r in range(i, j, 1 << 16):  # runs of empty texts have no bytes
+                    z = min(j, r + (1 << 16))
+                    items, bounds = shingles(lower_ascii(data[offs[r] : offs[z]]), offs[r : z + 1] - offs[r], k)
+                    head = np.zeros(z - r, HEAD)
+                    head["doc_id"], head["n"] = doc_ids[r:z], np.diff(bounds)
+                    head["d1"], head["d2"] = _digests(items, bounds)
+                    held.append((head, items))
+                    size += len(items) + z - r
+                    if size >= V.BATCH_ITEMS:
+                        yield flush()
+                        held, size = [], 0
         if held:
             yield flush()
 
     return run
 
 
-def _count(frags: int):
-    """A fragment's answer to each batch: per document the number of lone items, then the others with their counts."""
-
-    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        if key[0].as_py() < 0:
-            return t
-        items, sizes, counts = V.fragment_counts(t)
-        out_items, out_sizes = [], []
-        for x, s, c in zip(items, sizes, counts, strict=True):
-            more = c > 1
-            doc = np.repeat(np.arange(len(s)), s)
-            rest = np.bincount(doc[more], minlength=len(s)).astype(np.uint32)
-            out_sizes.append(blob(np.stack((s - rest, rest)).astype(np.uint32)))
-            out_items.append(blob(np.stack((x[more], np.minimum(c[more], 2**32 - 1).astype(np.uint32)))))
-        return pa.table([t["frag"], t["batch"], pa.array(out_items, pa.binary()), pa.array(out_sizes, pa.binary())], schema=V.CELL_SCHEMA)
-
-    return run
+def _count(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+    """A fragment's answer to each batch: single items that occur elsewhere, with their counts, per document how many do and
+    don't, and the counts of the batch's repeated items."""
+    if key[0].as_py() < 0:
+        return t
+    items, counts, again = V.fragment_counts(t, np.uint64)
+    rows = []
+    for batch, x, c, s, a in zip(t["batch"].to_pylist(), items, counts, V.arrays(t["sizes"], PART), again, strict=True):
+        s = s.copy()
+        doc = np.repeat(np.arange(len(s)), s["rest"])
+        rest = np.bincount(doc[c > 1], minlength=len(s))
+        s["lone"], s["rest"] = s["rest"] - rest, rest
+        cap = lambda v: np.minimum(v, 2**32 - 1).astype(np.uint32)
+        rows.append(V.row(key[0].as_py(), batch, blob(x[c > 1]), blob(s), None, V.pack(cap(c[c > 1]), cap(a))))
+    return pa.Table.from_batches([V.record_batch(rows)])
 
 
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -113,207 +139,318 @@ def needed(n: np.ndarray, percent: int) -> np.ndarray:
     return (n.astype(np.int64) * percent + 99) // 100
 
 
-def _gather(frags: int, percent: int):
-    """Sums the fragments' answers of one batch."""
+def _gather(percent: int):
+    """Sums the fragments' answers of one batch: all its documents; lead is null where a set has neither a copy nor a
+    possible partner; items and prefix go with one document of each set that may have partners."""
 
     def run(t: pa.Table) -> pa.Table:
-        head = lone = None
-        parts = []
-        for f, x, s in zip(t["frag"].to_pylist(), V.arrays(t["items"], np.uint8), V.arrays(t["sizes"], np.uint32), strict=True):
+        head = None
+        doc, items, counts, lone, parts = [], [], [], None, []
+        for f, x, s, c in sorted(zip(t["frag"].to_pylist(), V.arrays(t["items"], np.uint8), V.arrays(t["sizes"], PART), V.arrays(t["times"], np.uint8), strict=True), key=lambda r: r[0]):
             if f < 0:
-                head = x.view(HEAD)
+                head, multi, times, owners = V.unpack(x, HEAD, np.uint64, np.uint32, np.uint32)
             else:
-                parts.append((f, x.view(np.uint32), s))
+                parts.append((x.view(np.uint64), s, *V.unpack(c, np.uint32, np.uint32)))
         if head is None:
             raise RuntimeError("a batch lost its documents")
-        docs = len(head)
-        lone = np.zeros(docs, np.int64)
-        doc, items, counts = [], [], []
-        for f, x, s in sorted(parts, key=lambda p: p[0]):
-            s, x = s.reshape(2, docs), x.reshape(2, -1)
-            lone += s[0]
-            doc.append(np.repeat(np.arange(docs, dtype=np.int32), s[1]))
-            items.append(V.wide(x[0], f, frags))
-            counts.append(x[1])
+        docs, lone = len(head), np.zeros(len(head), np.int64)
+        for x, s, c, _ in parts:
+            lone[s["doc"]] += s["lone"]
+            doc.append(np.repeat(s["doc"], s["rest"]))
+            items.append(x)
+            counts.append(c)
+        doc, items = np.concatenate([*doc, owners]).astype(np.int64), np.concatenate([*items, np.repeat(multi, times)])
+        counts = np.concatenate([*counts, np.repeat(np.concatenate([np.zeros(0, np.uint32), *(a for *_, a in parts)]), times)])
         n = head["n"].astype(np.int64)
         first = n - needed(n, percent) + 1  # length of the prefix
-        some = (n > 0) & (lone < first)
+        some = (n > 0) & (lone[head["set"]] < first)
+        own = some & (head["set"] == np.arange(docs))
         out_items: list = [None] * docs
         out_prefix: list = [None] * docs
-        if parts and some.any():
-            doc, items, counts = np.concatenate(doc), np.concatenate(items), np.concatenate(counts)
-            use = some[doc]
-            doc, items, counts = doc[use], items[use], counts[use]
-            order = np.lexsort((items, counts, doc))
-            doc, items = doc[order], items[order]
-            bounds = np.searchsorted(doc, np.arange(docs + 1))
-            for i in np.flatnonzero(some):
-                own = items[bounds[i] : bounds[i + 1]]
-                out_prefix[i] = blob(own[: first[i] - lone[i]])
-                out_items[i] = blob(np.sort(own))
-        return pa.table([pa.array(head["doc_id"]), pa.array(head["n"]), pa.array(head["d1"]), pa.array(head["d2"]), pa.array(out_items, pa.binary()), pa.array(out_prefix, pa.binary())], schema=DOC_SCHEMA)
+        lead = np.zeros(docs, np.int64)
+        use = own[doc]
+        doc, items, counts = doc[use], items[use], counts[use]
+        order = np.lexsort((items, counts, doc))
+        doc, items = doc[order], items[order]
+        bounds = np.searchsorted(doc, np.arange(docs + 1))
+        for i in np.flatnonzero(own):
+            x = items[bounds[i] : bounds[i + 1]]
+            lead[i] = x[:1].view(np.int64)[0]
+            out_prefix[i] = blob(x[: first[i] - lone[i]])
+            out_items[i] = blob(np.sort(x))
+        copied = (np.bincount(head["set"], minlength=docs) > 1)[head["set"]] & (n > 0)
+        lead = pa.array(lead[head["set"]], mask=~(some | copied))
+        return pa.table([pa.array(head["doc_id"]), pa.array(head["n"]), pa.array(head["d1"]), pa.array(head["d2"]), lead, pa.array(out_items, pa.binary()), pa.array(out_prefix, pa.binary())], schema=DOC_SCHEMA)
 
     return run
 
 
 def _prefix_cells(frags: int):
+    """Distinct prefix items of each batch of sets with one owner each; the batch's own row links the sets that share one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = V.batch_ids()
         for b in batches:
-            ids_here = b.column(0).to_numpy()
-            parts = V.arrays(b.column(1), np.uint64)
-            if not len(parts):
+            if not len(b):
                 continue
-            items = np.concatenate(parts)
-            doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            bits = frags.bit_length() - 1
-            order, _, bounds = V.cut(items, doc, len(parts), frags)
-            items, owner, batch = items[order], ids_here[doc[order]], next(ids)
-            use = [f for f in range(frags) if bounds[f + 1] > bounds[f]]
-            del bits
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(use, pa.int32()), pa.array([batch] * len(use), pa.int64()), pa.array([blob(items[bounds[f] : bounds[f + 1]]) for f in use], pa.binary()), pa.array([blob(owner[bounds[f] : bounds[f + 1]]) for f in use], pa.binary())], schema=V.CELL_SCHEMA
-            )
+            node, parts = b.column(0).to_numpy(), V.arrays(b.column(1), np.uint64)
+            own = np.repeat(np.arange(len(node)), [len(p) for p in parts])
+            items, owner, (p, q) = _share(np.concatenate(parts), own)
+            up = labels(len(node), p, q)
+            far = np.flatnonzero(up != np.arange(len(node)))
+            edge = np.searchsorted(V.fragment_of(items, frags), np.arange(frags + 1))
+            batch = next(ids)
+            rows = [V.row(-1, batch, blob(node[up[far]]), blob(node[far]))]
+            rows += [V.row(f, batch, blob(items[edge[f] : edge[f + 1]]), blob(node[owner[edge[f] : edge[f + 1]]])) for f in np.flatnonzero(np.diff(edge)).tolist()]
+            yield V.record_batch(rows)
 
     return run
 
 
-EDGE_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-
-def _families(t: pa.Table) -> pa.Table:
-    """A spanning forest of the documents of one fragment that share a prefix item."""
-    items, owner = np.concatenate(V.arrays(t["items"], np.uint64)), np.concatenate(V.arrays(t["sizes"], np.int64))
+def _share(items: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Distinct sorted items with one owner each, and chains of the owners of each item."""
     order = np.argsort(items, kind="stable")
     items, owner = items[order], owner[order]
-    ids, node = np.unique(owner, return_inverse=True)
     same = np.flatnonzero(items[1:] == items[:-1])
-    up = labels(len(ids), node[same], node[same + 1])
-    far = np.flatnonzero(up != np.arange(len(ids)))
-    return pa.table([pa.array(ids[up[far]]), pa.array(ids[far])], schema=EDGE_SCHEMA)
+    new = np.concatenate(([True], items[1:] != items[:-1])) if len(items) else np.zeros(0, bool)
+    return items[new], owner[new], (owner[same], owner[same + 1])
 
 
-OUT_SCHEMA = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+EDGE_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _families(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+    """A spanning forest of the sets of one fragment that share a prefix item."""
+    a, b = V.arrays(t["items"], np.uint64), V.arrays(t["sizes"], np.int64)
+    if key[0].as_py() < 0:
+        return pa.table([pa.array(np.concatenate(a).view(np.int64)), pa.array(np.concatenate(b))], schema=EDGE_SCHEMA)
+    node, own = np.unique(np.concatenate(b), return_inverse=True)
+    _, _, (p, q) = _share(np.concatenate(a), own)
+    up = labels(len(node), p, q)
+    far = np.flatnonzero(up != np.arange(len(node)))
+    return pa.table([pa.array(node[up[far]]), pa.array(node[far])], schema=EDGE_SCHEMA)
+
+
+PLACE = np.dtype([("item", "<u8"), ("family", "<i8"), ("block", "<i4"), ("sets", "<i4")])
+
+
+def _block_cells(frags: int):
+    """Distinct (prefix item, family, block) of each batch of sets, with the number of its sets (1 or 2 for more)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = V.batch_ids()
+        for b in batches:
+            if not len(b):
+                continue
+            parts = V.arrays(b.column(2), np.uint64)
+            n = [len(p) for p in parts]
+            rows = np.zeros(sum(n), PLACE)
+            rows["item"], rows["family"], rows["block"], rows["sets"] = np.concatenate(parts), np.repeat(b.column(0).to_numpy(), n), np.repeat(b.column(1).to_numpy(), n), 1
+            rows, batch = _places(rows), next(ids)
+            edge = np.searchsorted(V.fragment_of(rows["item"], frags), np.arange(frags + 1))
+            yield V.record_batch([V.row(f, batch, blob(rows[edge[f] : edge[f + 1]])) for f in np.flatnonzero(np.diff(edge)).tolist()] or [V.row(0, batch)])
 
+    return run
 
-def _overlaps(items: np.ndarray, doc: np.ndarray, side: np.ndarray | None, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of documents (p < q) with common items and how many, for documents of one family.
 
-    The items' order is cut into fragments of bounded size; partial overlaps are summed per pair."""
+def _places(rows: np.ndarray) -> np.ndarray:
+    """Rows of equal item, family and block as one, sorted."""
+    rows = rows[np.lexsort((rows["block"], rows["family"], rows["item"]))]
+    if not len(rows):
+        return rows
+    edge = np.flatnonzero(np.concatenate(([True], (rows["item"][1:] != rows["item"][:-1]) | (rows["family"][1:] != rows["family"][:-1]) | (rows["block"][1:] != rows["block"][:-1]))))
+    out = rows[edge]
+    out["sets"] = np.minimum(np.add.reduceat(rows["sets"], edge), 2)
+    return out
+
+
+PAIR_SCHEMA = pa.schema([("family", pa.int64()), ("i", pa.int32()), ("j", pa.int32())])
+
+
+def _block_pairs(t: pa.Table) -> pa.Table:
+    """The pairs of a family's blocks in which two sets share a prefix item of this fragment."""
+    rows = _places(np.concatenate(V.arrays(t["items"], PLACE)))
+    edge = np.flatnonzero(np.concatenate(([True], (rows["item"][1:] != rows["item"][:-1]) | (rows["family"][1:] != rows["family"][:-1]), [True]))) if len(rows) else np.zeros(0, np.int64)
+    seen: set[tuple[int, bytes]] = set()
+    out = set()
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        family, block = int(rows["family"][a]), rows["block"][a:b]
+        out.update((family, x, x) for x in block[rows["sets"][a:b] > 1].tolist())
+        if b - a > 1 and (key := (family, block.tobytes())) not in seen:
+            seen.add(key)
+            own = block.tolist()
+            out.update((family, x, y) for n, x in enumerate(own) for y in own[n + 1 :])
+    got = sorted(out)
+    return pa.table([pa.array([x[c] for x in got], kind) for c, kind in enumerate(PAIR_SCHEMA.types)], schema=PAIR_SCHEMA)
+
+
+SLICE = "g long, i int, j int, v int, block int, family long, doc_id long, n int, mult long, items binary, prefix binary"
+SLICE_NAMES = [c.split()[0] for c in SLICE.split(", ")]
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of a pair of blocks, once for each fragment of its items. All sets go to all fragments, so that each of them
+    numbers the sets alike."""
+    for b in batches:
+        at, v, items = [], [], []
+        for r, (parts, x) in enumerate(zip(b.column("parts").to_pylist(), V.arrays(b.column("items"), np.uint64), strict=True)):
+            edge = np.searchsorted(V.fragment_of(x, parts), np.arange(parts + 1)) if parts > 1 else np.array([0, len(x)])
+            at += [r] * parts
+            v += range(parts)
+            items += [blob(x[p:q]) for p, q in zip(edge[:-1], edge[1:], strict=True)]
+        take = b.take(pa.array(at, pa.int64()))
+        more = {"v": pa.array(v, pa.int32()), "items": pa.array(items, pa.binary())}
+        yield pa.RecordBatch.from_arrays([more[c] if c in more else take.column(c) for c in SLICE_NAMES], names=SLICE_NAMES)
+
+
+def overlaps(items: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """p * docs + q of all pairs of sets (p < q) with common items, sorted, and how many they have."""
     order = np.argsort(items, kind="stable")
     items, doc = items[order], doc[order]
-    edge = np.flatnonzero(np.concatenate(([True], items[1:] != items[:-1], [True])))
+    edge = np.flatnonzero(np.concatenate(([True], items[1:] != items[:-1], [True]))) if len(items) else np.zeros(1, np.int64)
     size = np.diff(edge)
-    total = np.zeros((docs, docs), np.float32) if docs > SMALL // 4 else None
-    sparse_key, dense = [], size > (DENSE_DF if total is not None else 1 << 60)
+    total = np.zeros((docs, docs), np.float32) if docs > DENSE_SETS else None
+    dense = size > (DENSE_DF if total is not None else 1 << 60)
     if total is not None and dense.any():
-        cols = np.flatnonzero(dense)
-        for at in range(0, len(cols), 2048):
-            part = cols[at : at + 2048]
-            m = np.zeros((docs, len(part)), np.float32)
-            for k, c in enumerate(part):
-                m[doc[edge[c] : edge[c + 1]], k] = 1
+        use, col = np.repeat(dense, size), np.repeat(np.cumsum(dense) - 1, size)
+        d, c = doc[use], col[use]
+        for a in range(0, int(dense.sum()), 2048):
+            lo, hi = np.searchsorted(c, (a, a + 2048))
+            m = np.zeros((docs, 2048), np.float32)
+            m[d[lo:hi], c[lo:hi] - a] = 1
             total += m @ m.T
-    for length in np.unique(size[(size > 1) & ~dense]):
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if total is not None:
+        p, q = np.nonzero(np.triu(total, 1))
+        keys.append(p * docs + q)
+        counts.append(total[p, q].astype(np.int64))
+    for length in np.unique(size[(size > 1) & ~dense]).tolist():
         rows = np.sort(doc[edge[:-1][(size == length) & ~dense][:, None] + np.arange(length)], axis=1)
-        step = max(1, 4_000_000 // int(length * length))
         p, q = np.triu_indices(length, 1)
-        for at in range(0, len(rows), step):
-            part = rows[at : at + step]
+        step = max(1, 4_000_000 // (length * length))
+        for a in range(0, len(rows), step):
+            part = rows[a : a + step]
             key, c = np.unique((part[:, p].astype(np.int64) * docs + part[:, q]).ravel(), return_counts=True)
-            sparse_key.append((key, c))
-    if total is not None:
-        flat = total.ravel()
-        for key, c in sparse_key:
-            flat[key] += c
-        p, q = np.nonzero(np.triu(total, 1))
-        c = total[p, q].astype(np.int64)
-    else:
-        if not sparse_key:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        key = np.concatenate([k for k, _ in sparse_key])
-        key, inv = np.unique(key, return_inverse=True)
-        c = np.bincount(inv, np.concatenate([c for _, c in sparse_key])).astype(np.int64)
-        p, q = key // docs, key % docs
-    if side is not None:
-        cross = side[p] != side[q]
-        p, q, c = p[cross], q[cross], c[cross]
-    return p, q, c
-
-
-def _links(percent: int):
+            keys.append(key)
+            counts.append(c)
+    key, inv = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(inv, np.concatenate(counts), minlength=len(key)).astype(np.int64)
+
+
+SUM = "g long, i int, j int, v int, docs binary, pairs binary"
+SUM_SCHEMA = pa.schema([("g", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("v", pa.int32()), ("docs", pa.binary()), ("pairs", pa.binary())])
+SET = np.dtype([("id", "<i8"), ("n", "<i8"), ("mult", "<i8")])
+PAIR = np.dtype([("p", "<u4"), ("q", "<u4"), ("c", "<u4")])
+
+
+def _partial(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+    """One fragment of a pair of blocks: the partial overlaps of its candidate pairs, sets numbered in order of their ids."""
+    g, i, j, v = (k.as_py() for k in key)
+    t = t.take(pa.array(np.argsort(t["doc_id"].to_numpy(), kind="stable")))
+    fam, block = t["family"].to_numpy(), t["block"].to_numpy()
+    docs = np.zeros(len(t), SET)
+    docs["id"], docs["n"], docs["mult"] = t["doc_id"].to_numpy(), t["n"].to_numpy(), t["mult"].to_numpy()
+    items, prefix = V.arrays(t["items"], np.uint64), V.arrays(t["prefix"], np.uint64)
+    out = [np.zeros(0, PAIR)]
+    order = np.argsort(fam, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(fam[order])) + 1):
+        if len(own) < 2:
+            continue
+        flat = lambda parts: overlaps(np.concatenate([parts[k] for k in own]), np.repeat(np.arange(len(own)), [len(parts[k]) for k in own]), len(own))  # noqa: B023, E731
+        pairs, count = flat(items)
+        some = np.isin(pairs, flat(prefix)[0], assume_unique=True)
+        p, q = own[pairs[some] // len(own)], own[pairs[some] % len(own)]
+        cross = block[p] != block[q] if i != j else np.ones(len(p), bool)
+        part = np.zeros(int(cross.sum()), PAIR)
+        part["p"], part["q"], part["c"] = p[cross], q[cross], count[some][cross]
+        out.append(part)
+    return pa.table([pa.array([x], kind) for x, kind in zip((g, i, j, v, docs.tobytes() if v == 0 else None, np.concatenate(out).tobytes()), SUM_SCHEMA.types, strict=True)], schema=SUM_SCHEMA)
+
+
+OUT_SCHEMA = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+def _sum(percent: int):
+    """The overlap of each pair over all fragments: numbers of links, and a spanning forest of them."""
+
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
-        fam, ids, n, mult = (t[c].to_numpy() for c in ("family", "doc_id", "n", "mult"))
-        side = t["block"].to_numpy() if i != j else None
-        parts = V.arrays(t["items"], np.uint64)
-        links, ends = np.zeros(len(ids), np.int64), []
-        order = np.argsort(fam, kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(fam[order])) + 1):
-            if len(own) < 2:
-                continue
-            items = np.concatenate([parts[k] for k in own])
-            doc = np.repeat(np.arange(len(own)), [len(parts[k]) for k in own])
-            p, q, c = _overlaps(items, doc, None if side is None else side[own], len(own))
-            p, q = own[p], own[q]
-            ok = 100 * c >= percent * (n[p].astype(np.int64) + n[q] - c)
-            p, q = p[ok], q[ok]
-            np.add.at(links, p, mult[q])
-            np.add.at(links, q, mult[p])
-            ends.append((p, q))
-        rows = [np.zeros((0, 3), np.int64)]
-        if ends:
-            p, q = np.concatenate([x for x, _ in ends]), np.concatenate([x for _, x in ends])
-            up = labels(len(ids), p, q)
-            far = np.flatnonzero(up != np.arange(len(ids)))
-            rows.append(np.stack((np.ones(len(far), np.int64), ids[up[far]], ids[far]), axis=1))
-            got = np.flatnonzero(links)
-            rows.append(np.stack((np.zeros(len(got), np.int64), ids[got], links[got]), axis=1))
-        r = np.concatenate(rows)
-        return pa.table([pa.array(r[:, 0].astype(np.int32)), pa.array(r[:, 1]), pa.array(r[:, 2])], schema=OUT_SCHEMA)
+        docs = np.concatenate(V.arrays(t["docs"], SET))
+        parts = np.concatenate(V.arrays(t["pairs"], PAIR))
+        pair, inv = np.unique(parts["p"].astype(np.int64) * max(1, len(docs)) + parts["q"], return_inverse=True)
+        c = np.bincount(inv, parts["c"], minlength=len(pair)).astype(np.int64)
+        p, q = pair // max(1, len(docs)), pair % max(1, len(docs))
+        ok = 100 * c >= percent * (docs["n"][p] + docs["n"][q] - c)
+        p, q = p[ok], q[ok]
+        links = np.zeros(len(docs), np.int64)
+        np.add.at(links, p, docs["mult"][q])
+        np.add.at(links, q, docs["mult"][p])
+        up = labels(len(docs), p, q)
+        far, got = np.flatnonzero(up != np.arange(len(docs))), np.flatnonzero(links)
+        ids, kind = docs["id"], np.concatenate((np.ones(len(far), np.int32), np.zeros(len(got), np.int32)))
+        return pa.table([pa.array(kind), pa.array(np.concatenate((ids[up[far]], ids[got]))), pa.array(np.concatenate((ids[far], links[got])))], schema=OUT_SCHEMA)
 
     return run
 
 
+def _pow2(x):
+    return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(x, F.lit(1.0))))).cast("int")
+
+
+def _placed(sets: DataFrame, family: DataFrame, frags: int) -> DataFrame:
+    """The sets of each pair of blocks (g, i, j) that holds candidates, with the number of fragments (parts) for its items."""
+    size = (F.octet_length("items") / 8).alias("size")
+    member = stash(sets.select(F.col("doc_id").alias("node"), "lead", size).join(family, "node").withColumnRenamed("component", "family"))
+    sizes = member.groupBy("family").agg(F.count("*").alias("members"), F.sum("size").alias("size"))
+    sizes = sizes.withColumn("big", (F.col("members") > BLOCK) | (F.col("size") > PART_ITEMS))
+    sizes = sizes.withColumn("blocks", F.when(F.col("big"), F.ceil(F.col("members") / BLOCK)).otherwise(1).cast("int"))
+    sizes = stash(sizes.withColumn("parts", F.when(F.col("big"), _pow2(F.col("size") / F.col("members") * F.least(F.col("members"), F.lit(2.0 * BLOCK)) / PART_ITEMS)).otherwise(1)))
+    small = sizes.where("not big").agg(F.coalesce(F.sum("members") / (2 * BLOCK), F.lit(0)).alias("n"), F.coalesce(F.sum("size") / PART_ITEMS, F.lit(0)).alias("s")).first()
+    packs = max(1, int(max(small["n"], small["s"])))
+    member = member.drop("size").join(sizes.select("family", "big", "blocks", "parts"), "family")
+    pack = -1 - F.pmod(F.xxhash64("family"), F.lit(packs))
+    few = member.where("not big").select(F.col("node").alias("doc_id"), "family", pack.alias("g"), F.lit(0).alias("block"), F.lit(0).alias("i"), F.lit(0).alias("j"), "parts")
+    # sets of one rarest item stay together in clumps, and clumps are dealt out to the family's blocks
+    big = member.where("big")
+    clumps = big.groupBy("family", "lead").agg(F.ceil(F.count("*") / CLUMP).alias("clumps"))
+    big = big.join(clumps, ["family", "lead"]).withColumn("block", F.pmod(F.xxhash64("lead", F.pmod(F.xxhash64("node"), F.col("clumps"))), F.col("blocks")).cast("int"))
+    big = stash(big.select(F.col("node").alias("doc_id"), "family", "block", "parts"))
+    shared = sets.select("doc_id", "prefix").join(big, "doc_id").select("family", "block", "prefix").mapInArrow(_block_cells(frags), V.CELLS)
+    pairs = stash(shared.groupBy("frag").applyInArrow(_block_pairs, "family long, i int, j int").distinct())
+    each = pairs.select("family", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    many = big.join(each, ["family", "block"]).select("doc_id", "family", F.col("family").alias("g"), "block", "i", "j", "parts")
+    return sets.select("doc_id", "n", "mult", "items", "prefix").join(few.unionByName(many), "doc_id")
+
+
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, n_links (to documents of another or equal set), component_id; see the module's text."""
-    spark, frags = docs.sparkSession, fragments(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = rows.where("doc_id is not null")
+    frags = fragments(known)
     cells = known.mapInArrow(_to_cells(k, frags), V.CELLS)
-    told = cells.groupBy("frag", F.when(F.col("frag") < 0, F.col("batch")).alias("own")).applyInArrow(_count(frags), V.CELLS)
-    t = stash(told.groupBy("batch").applyInArrow(_gather(frags, percent), DOC))
-    same = t.where("items is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult"))
+    told = cells.groupBy("frag", F.when(F.col("frag") < 0, F.col("batch")).alias("own")).applyInArrow(_count, V.CELLS)
+    t = stash(told.groupBy("batch").applyInArrow(_gather(percent), DOC))
+    same = t.where("lead is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult"))
     # an id that stands for several sets is the node of one of them, the others have a hash for a node
     shared = same.groupBy("rep").agg(F.min(F.struct("d1", "d2")).alias("own"), F.count("*").alias("sets")).where("sets > 1")
     same = same.join(stash(shared), "rep", "left")
     same = stash(same.withColumn("node", F.when(F.col("own").isNull() | (F.col("own") == F.struct("d1", "d2")), F.col("rep")).otherwise(F.xxhash64("d1", "d2"))).select("d1", "d2", "rep", "mult", "node"))
-    sets = t.where("items is not null").select(F.col("doc_id").alias("rep"), "n", "d1", "d2", "items", "prefix").join(same, ["d1", "d2", "rep"]).dropDuplicates(["d1", "d2"]).withColumn("doc_id", F.col("node")).select("doc_id", "n", "d1", "d2", "items", "prefix", "mult")
-    sets = stash(sets)
-    edges = sets.select("doc_id", "prefix").mapInArrow(_prefix_cells(frags), V.CELLS).groupBy("frag").applyInArrow(_families, "a long, b long")
-    family = stash(components(edges))
-    sizes = family.groupBy("component").agg(F.count("*").alias("members")).withColumn("blocks", F.when(F.col("members") > SMALL, F.ceil(F.col("members") / BLOCK)).otherwise(0))
-    many = family.count()
-    packs = max(partitions(spark) * 2, math.ceil(many / 2000))
-    own = stash(family.join(stash(sizes), "component").select(F.col("node").alias("doc_id"), F.col("component").alias("family"), F.col("blocks").cast("int").alias("blocks")))
-    placed = sets.select("doc_id", "n", "mult", "items").join(own, "doc_id")
-    placed = placed.withColumn("block", F.when(F.col("blocks") == 0, 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.greatest("blocks", F.lit(1)))).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, greatest(blocks, 1) - 1)")))
-    placed = placed.select(
-        "doc_id", "n", "mult", "items", "family", "block",
-        F.when(F.col("blocks") == 0, -1 - F.pmod(F.xxhash64("family"), F.lit(packs))).otherwise(F.col("family")).alias("g"),
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-    )
-    found = stash(placed.groupBy("g", "i", "j").applyInArrow(_links(percent), "kind int, a long, b long"))
+    sets = t.where("items is not null").withColumnRenamed("doc_id", "rep").join(same, ["d1", "d2", "rep"]).dropDuplicates(["d1", "d2"])
+    sets = stash(sets.select(F.col("node").alias("doc_id"), "n", "mult", "lead", "items", "prefix"))
+    edges = sets.select("doc_id", "prefix").mapInArrow(_prefix_cells(frags), V.CELLS)
+    edges = edges.groupBy("frag", F.when(F.col("frag") < 0, F.col("batch")).alias("own")).applyInArrow(_families, "a long, b long")
+    family = components(edges)
+    slices = _placed(sets, family, frags).mapInArrow(_slices, SLICE)
+    partial = slices.groupBy("g", "i", "j", "v").applyInArrow(_partial, SUM)
+    found = stash(partial.groupBy("g", "i", "j").applyInArrow(_sum(percent), "kind int, a long, b long"))
     # an id's sets stay apart unless their texts are linked; a component's name is its smallest id
     comp = components(found.where("kind = 1"))
     links = found.where("kind = 0").groupBy("a").agg(F.sum("b").alias("more")).withColumnRenamed("a", "node")
     classes = stash(same.join(links, "node", "left").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    least = stash(classes.groupBy("component").agg(F.min("rep").alias("least")))
-    classes = classes.join(least, "component")
-    classes = stash(classes.select("d1", "d2", F.col("least").alias("component"), (F.col("mult") - 1 + F.coalesce("more", F.lit(0))).alias("links")))
-    linked = t.where("items is not null").select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
-    alone = t.where("items is null").select("doc_id", "n", F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("links"))
+    least = classes.groupBy("component").agg(F.min("rep").alias("least"))
+    classes = stash(classes.join(least, "component").select("d1", "d2", F.col("least").alias("component"), (F.col("mult") - 1 + F.coalesce("more", F.lit(0))).alias("links")))
+    discard(sets, found)
+    linked = t.where("lead is not null").select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
+    alone = t.where("lead is null").select("doc_id", "n", F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("links"))
     out = linked.select("doc_id", "n", "component", "links").unionByName(alone)
     lost = rows.where("doc_id is null").mapInArrow(_only_sizes(k), "doc_id long, n int").select("doc_id", "n", F.lit(None).cast("long").alias("component"), F.lit(0).cast("long").alias("links"))
     out = out.unionByName(lost)
@@ -331,23 +468,18 @@ def _only_sizes(k: int):
     return run
 
 
-def one_of_each(docs: DataFrame, joined: DataFrame) -> DataFrame:
-    """The documents whose doc_id stands for their component; repeated rows of it once."""
-    keep = joined.where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("keep_id")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(keep, F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
-
-
 def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near copies, the one of smallest id, null ones last.
 
     Rows are told apart by a 64-bit hash of id and text, so neither null ids nor an id that different texts have lose
     rows; rows of equal id and text are one."""
-    keyed = docs.withColumn("_row", F.xxhash64(id_col, text_col))
-    ids = keyed.select("_row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "_row").alias("rank"))
-    joined = stash(ngram_jaccard_join(keyed, id_col="_row", text_col=text_col).select(F.col("doc_id").alias("_row"), "component_id").distinct())
-    first = ids.join(joined, "_row").groupBy("component_id").agg(F.min("rank").alias("rank"))
-    keep = stash(first.select(F.col("rank._row").alias("_row")))
-    return keyed.dropDuplicates(["_row"]).join(keep, "_row", "left_semi").select(*docs.columns)
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64(id_col, text_col))
+    ids = keyed.select(F.col(key).alias("key"), F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key")).alias("rank"))
+    joined = stash(ngram_jaccard_join(keyed, id_col=key, text_col=text_col).select(F.col("doc_id").alias("key"), "component_id").distinct())
+    first = ids.join(joined, "key").groupBy("component_id").agg(F.min("rank").alias("rank"))
+    keep = stash(first.select(F.col("rank.key").alias(key)))
+    return keyed.dropDuplicates([key]).join(keep, key, "left_semi").select(*docs.columns)
 
 
 #: The same rows in DuckDB's SQL, by joining all shingles: for small tables.

@@ -1,17 +1,22 @@
 """Removal of word passages that occur more than once, by compressed FM-indexes over shards.
 
-1. Every window of `window` words gets a fingerprint; fragments of the fingerprints' order (see vertical.py) tell
-   which ones occur twice. What is left is a superset of the repeated windows, a small part of most corpora.
+1. Every window of `window` words gets a 64-bit fingerprint, of which fragments of their order (see vertical.py) count the
+   first 38 bits or more. A fingerprint that occurs once belongs to a window that occurs once, so this leaves a
+   superset of the repeated windows, a small part of most corpora. It decides nothing but what need not be searched.
 2. Runs of such windows are cut into segments with the same minimizer, the place of the lowest hash of RUN words
    within the window. Equal windows have equal minimizers, so a shard by minimizer holds all occurrences of a window.
-   Equal segments of a batch are sent once, with their number, so a hot passage is a few rows from each batch.
-3. Each shard builds an FM-index of its distinct segments, and streams them through backward search over the wavelet
-   matrix: matching statistics give each window's interval, and the weights below it say how often it occurs.
+   Equal segments of a batch are sent once, with their number, so a hot passage is a few rows from each batch. Shards grow in
+   number with the bytes of the input.
+3. Each shard builds an FM-index of its distinct segments, and streams what the documents sent it through backward search
+   over the wavelet matrix: matching statistics give each window's interval. It is repeated if its segment was sent
+   twice or the interval holds another place.
 4. The words under windows that occur twice or more are removed, judged on the input.
 
+Words are told apart by 64-bit hashes.
+
 Defined results: null or empty text: no words, nothing removed, digest of the empty string. Repeated rows are copies
-of each other, and lose what copies lose. Null doc_ids are rows like any other; an empty table gives no rows. Only
-doc_id and text are read.
+of each other, and lose what copies lose; so do ties, since all places of a repeated window go alike. Null doc_ids are rows
+like any other; an empty table gives no rows. Only doc_id and text are read, so further columns play no part.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 from . import vertical as V
 from .base import blob, doc_slices, fragments, stash, text_buffers
 from .fm_index import FMIndex
-from .kernels import counts_of, mix, run_hashes, word_hashes, words
+from .kernels import mix, run_hashes, word_hashes, words
 
 WINDOW, RUN = 35, 8
 HEAD = np.dtype([("doc_id", "<i8"), ("known", "?"), ("h", "<i8"), ("n_words", "<i8"), ("windows", "<i8"), ("sha", "S64")])
@@ -42,15 +47,22 @@ def _windows(size: int, frags: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held, total = V.batch_ids(), [], 0
-        bits = frags.bit_length() - 1
+        FRAG = _frag_kind(frags)
 
         def flush() -> pa.RecordBatch:
             head = np.concatenate([h for h, _ in held])
             items = np.concatenate([x for _, x in held])
-            doc = np.repeat(np.arange(len(head)), head["windows"])
-            frag = (items >> np.uint64(64 - bits)).astype(np.uint8 if bits <= 8 else np.uint32)
-            more = np.int64(len(head)).tobytes() + head.tobytes() + frag.tobytes()
-            return V.cells(items, doc, len(head), frags, next(ids), more)
+            single, multi, times, _ = V.divide(items)
+            items = items[single]
+            frag = V.fragment_of(items, frags)
+            order, edge = V.cut(items, frags)
+            low = lambda x: ((x >> np.uint64(33 - frags.bit_length())) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            items, far, batch = low(items[order]), np.searchsorted(V.fragment_of(multi, frags), np.arange(frags + 1)), next(ids)
+            rows = [V.row(-1, batch, V.pack(head, np.packbits(~single), frag.astype(FRAG)))]
+            for f in np.flatnonzero((np.diff(edge) > 0) | (np.diff(far) > 0)).tolist():
+                p, q = far[f], far[f + 1]
+                rows.append(V.row(f, batch, blob(items[edge[f] : edge[f + 1]]), None, blob(low(multi[p:q])), blob(times[p:q].astype(np.uint32))))
+            return V.record_batch(rows)
 
         for b in batches:
             data, offs = text_buffers(b.column(1))
@@ -80,12 +92,16 @@ def _windows(size: int, frags: int):
     return run
 
 
+def _frag_kind(frags: int):
+    return np.uint8 if frags <= 1 << 8 else np.uint16 if frags <= 1 << 16 else np.uint32
+
+
 def _twice(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-    """For each batch, which of its fingerprints in this fragment occur more than once (packed bits)."""
+    """For each batch, which of its single fingerprints in this fragment occur elsewhere (packed bits, behind their number)."""
     if key[0].as_py() < 0:
         return t
-    _, sizes, counts = V.fragment_counts(t)
-    return pa.table([t["frag"], t["batch"], pa.array([blob(np.packbits(c > 1)) for c in counts], pa.binary()), pa.array([blob(np.array([s.sum()], np.uint32)) for s in sizes], pa.binary())], schema=V.CELL_SCHEMA)
+    _, counts, _ = V.fragment_counts(t, np.uint32)
+    return pa.Table.from_batches([V.record_batch([V.row(key[0].as_py(), b, V.pack(np.array([len(c)], np.int64), np.packbits(c > 1))) for b, c in zip(t["batch"].to_pylist(), counts, strict=True)])])
 
 
 def runs_of(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -99,22 +115,28 @@ def runs_of(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.stack((start, end), axis=1)
 
 
-def _candidates(t: pa.Table) -> pa.Table:
+def _candidates(frags: int):
+    def run(t: pa.Table) -> pa.Table:
+        return _runs(t, frags)
+
+    return run
+
+
+def _runs(t: pa.Table, frags: int) -> pa.Table:
     """Per document, the runs of windows whose fingerprints occur twice; null where there are none."""
     head, parts = None, []
-    for f, x, s in zip(t["frag"].to_pylist(), V.arrays(t["items"], np.uint8), V.arrays(t["sizes"], np.uint32), strict=True):
+    for f, x in sorted(zip(t["frag"].to_pylist(), V.arrays(t["items"], np.uint8), strict=True), key=lambda r: r[0]):
         if f < 0:
-            n = int(x[:8].view(np.int64)[0])
-            head = np.frombuffer(x[8 : 8 + n * HEAD.itemsize].tobytes(), HEAD)
-            rest = x[8 + n * HEAD.itemsize :]
-            total = int(head["windows"].sum())
-            frag = rest if len(rest) == total else np.frombuffer(rest.tobytes(), np.uint32)
+            head, again, frag = V.unpack(x, HEAD, np.uint8, _frag_kind(frags))
         else:
-            parts.append((f, np.unpackbits(x, count=int(s[0])) if s[0] else x[:0]))
-    parts.sort(key=lambda p: p[0])
-    flags = np.zeros(len(frag), bool)
+            n, bits = V.unpack(x, np.int64, np.uint8)
+            parts.append(np.unpackbits(bits, count=int(n[0])) if n[0] else bits[:0])
+    if head is None:
+        raise RuntimeError("a batch lost its documents")
+    flags = np.unpackbits(again, count=int(head["windows"].sum())).astype(bool) if head["windows"].any() else np.zeros(0, bool)
     if parts:
-        flags[np.argsort(frag, kind="stable")] = np.concatenate([p for _, p in parts]).astype(bool)
+        single = np.flatnonzero(~flags)
+        flags[single[np.argsort(frag, kind="stable")]] = np.concatenate(parts).astype(bool)
     bounds = np.concatenate(([0], np.cumsum(head["windows"])))
     runs = runs_of(flags, bounds)
     doc = np.searchsorted(bounds, runs[:, 0], "right") - 1
@@ -140,46 +162,53 @@ def _segments(size: int, k: int, shards: int):
     """Segments of the runs of windows, by shard, equal ones of a batch once; the batch's own row says which documents have which."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = V.batch_ids()
+        ids, heads, found, docs, total = V.batch_ids(), [], [], 0, 0
+
+        def flush() -> pa.RecordBatch:
+            seen: dict[tuple[int, bytes], int] = {}
+            by_shard: dict[int, list] = {}
+            places = np.zeros(len(found), PLACE)
+            for n, (q, r, s, m, key) in enumerate(found):
+                own = by_shard.setdefault(q, [])
+                at = seen.get((q, key))
+                if at is None:
+                    at = seen[q, key] = len(own)
+                    own.append([key, 0])
+                own[at][1] += 1
+                places[n] = (r, s, m, q, at)
+            batch = next(ids)
+            rows = [V.row(-1, batch, V.pack(np.concatenate(heads), places))]
+            for q, own in sorted(by_shard.items()):
+                rows.append(V.row(q, batch, b"".join(x for x, _ in own), np.array([(len(x) // 8, c) for x, c in own], SEGMENT).tobytes()))
+            return V.record_batch(rows)
+
         for b in batches:
             data, offs = text_buffers(b.column("text"))
             doc_ids, h, spans = b.column("doc_id"), b.column("h").to_numpy(), V.arrays(b.column("spans"), np.int32)
-            heads = np.zeros(len(b), DOC_HEAD)
-            heads["known"] = ~np.array(doc_ids.is_null().to_numpy(zero_copy_only=False), bool)
-            heads["doc_id"], heads["h"] = doc_ids.fill_null(0).to_numpy(zero_copy_only=False), h
-            found: list[tuple] = []
+            head = np.zeros(len(b), DOC_HEAD)
+            head["known"] = ~np.array(doc_ids.is_null().to_numpy(zero_copy_only=False), bool)
+            head["doc_id"], head["h"] = doc_ids.fill_null(0).to_numpy(zero_copy_only=False), h
             for i, j in doc_slices(offs):
                 d, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
                 starts, ends, first = words(d, o)
                 w = word_hashes(d, starts, ends)
+                heads.append(head[i:j])
                 for r in range(i, j):
                     for a, z in spans[r].reshape(-1, 2):
                         own = w[first[r - i] + a : first[r - i] + z + size - 1]
                         g = run_hashes(own, k)
                         at = lowest(g, size - k + 1)
                         cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1], [True])))
-                        low = (own & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                         anchor = mix(g[at[cut[:-1]]].copy()) % np.uint64(shards)
                         for s, e, q in zip(cut[:-1].tolist(), cut[1:].tolist(), anchor.tolist(), strict=True):
-                            found.append((q, r, int(a) + s, e - s, low[s : e + size - 1].tobytes()))
-            if not found:
-                continue
-            seen: dict[tuple[int, bytes], int] = {}
-            by_shard: list[list] = [[] for _ in range(shards)]
-            places = np.zeros(len(found), PLACE)
-            for n, (q, r, s, m, key) in enumerate(found):
-                at = seen.get((q, key))
-                if at is None:
-                    at = seen[q, key] = len(by_shard[q])
-                    by_shard[q].append([key, 0])
-                by_shard[q][at][1] += 1
-                places[n] = (r, s, m, q, at)
-            batch = next(ids)
-            use = [q for q in range(shards) if by_shard[q]]
-            items = [b"".join(x for x, _ in by_shard[q]) for q in use]
-            sizes = [np.array([(len(x) // 4, c) for x, c in by_shard[q]], SEGMENT).tobytes() for q in use]
-            own = np.int64(len(heads)).tobytes() + heads.tobytes() + places.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([*use, -1], pa.int32()), pa.array([batch] * (len(use) + 1), pa.int64()), pa.array([*items, own], pa.binary()), pa.array([*sizes, None], pa.binary())], schema=V.CELL_SCHEMA)
+                            found.append((q, docs + r - i, int(a) + s, e - s, own[s : e + size - 1].tobytes()))
+                            total += e - s + size - 1
+                docs += j - i
+                if total >= V.BATCH_ITEMS:
+                    yield flush()
+                    heads, found, docs, total = [], [], 0, 0
+        if found:
+            yield flush()
 
     return run
 
@@ -195,20 +224,15 @@ def repeated_windows(seq: np.ndarray, lengths: np.ndarray, weights: np.ndarray,
     text = np.zeros(len(seq) + len(lengths), np.int64)
     at = np.arange(len(seq)) + np.repeat(gap, lengths)
     text[at] = code
-    index = FMIndex(text, size)
-    low, high = index.matching(text, starts + gap, ends + gap)
-    weight = np.zeros(len(text), np.int64)
-    weight[at] = np.repeat(weights, lengths)
-    total = np.concatenate(([0], np.cumsum(weight[index.order])))
-    twice = (total[high] - total[low] >= 2)[at]
-    return twice & (np.arange(len(seq)) + size <= np.repeat(ends, lengths))
+    twice = FMIndex(text, size).repeated(text, starts + gap, ends + gap)[at]
+    return (twice | np.repeat(weights >= 2, lengths)) & (np.arange(len(seq)) + size <= np.repeat(ends, lengths))
 
 
 def _shard(size: int):
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return t
-        raw, segs = V.arrays(t["items"], np.uint32), V.arrays(t["sizes"], np.uint8)
+        raw, segs = V.arrays(t["items"], np.uint64), V.arrays(t["sizes"], np.uint8)
         segs = [np.frombuffer(s.tobytes(), SEGMENT) for s in segs]
         seq, seg = np.concatenate(raw), np.concatenate(segs)
         n = seg["n"].astype(np.int64)
@@ -217,7 +241,7 @@ def _shard(size: int):
         own, which, first, weight = {}, np.zeros(len(seg), np.int64), [], []
         data = seq.tobytes()
         for i, (a, z, c) in enumerate(zip((ends - n).tolist(), ends.tolist(), seg["count"].tolist(), strict=True)):
-            k = own.setdefault(data[a * 4 : z * 4], len(own))
+            k = own.setdefault(data[a * 8 : z * 8], len(own))
             if k == len(first):
                 first.append(i)
                 weight.append(0)
@@ -228,11 +252,11 @@ def _shard(size: int):
         twice = repeated_windows(seq[take], n[first], np.array(weight), size)
         begin = np.cumsum(n[first]) - n[first]
         flags = [twice[begin[k] : begin[k] + m - size + 1] for k, m in zip(which.tolist(), n.tolist(), strict=True)]
-        out, at = [], 0
-        for s in segs:
-            out.append(blob(np.packbits(np.concatenate(flags[at : at + len(s)]))))
+        rows, at = [], 0
+        for batch, s, sizes in zip(t["batch"].to_pylist(), segs, t["sizes"].to_pylist(), strict=True):
+            rows.append(V.row(key[0].as_py(), batch, blob(np.packbits(np.concatenate(flags[at : at + len(s)]))), sizes))
             at += len(s)
-        return pa.table([t["frag"], t["batch"], pa.array(out, pa.binary()), t["sizes"]], schema=V.CELL_SCHEMA)
+        return pa.Table.from_batches([V.record_batch(rows)])
 
     return run
 
@@ -247,10 +271,7 @@ def _covered(size: int):
         flags: dict[int, tuple] = {}
         for f, x, s in zip(t["frag"].to_pylist(), V.arrays(t["items"], np.uint8), V.arrays(t["sizes"], np.uint8), strict=True):
             if f < 0:
-                n = int(x[:8].view(np.int64)[0])
-                raw = x.tobytes()
-                heads = np.frombuffer(raw, DOC_HEAD, n, 8)
-                places = np.frombuffer(raw, PLACE, -1, 8 + n * DOC_HEAD.itemsize)
+                heads, places = V.unpack(x, DOC_HEAD, PLACE)
             else:
                 seg = np.frombuffer(s.tobytes(), SEGMENT)
                 m = seg["n"].astype(np.int64) - size + 1
@@ -309,11 +330,11 @@ def _join_key(a: DataFrame, b: DataFrame, right: list[str]) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and with `texts`, the kept words of the documents that lost some)."""
-    frags = fragments(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    frags = fragments(rows)
     cells = rows.mapInArrow(_windows(size, frags), V.CELLS)
     told = cells.groupBy("frag", F.when(F.col("frag") < 0, F.col("batch")).alias("own")).applyInArrow(_twice, V.CELLS)
-    found = stash(told.groupBy("batch").applyInArrow(_candidates, "doc_id long, h long, n_words long, sha string, spans binary"))
+    found = stash(told.groupBy("batch").applyInArrow(_candidates(frags), "doc_id long, h long, n_words long, sha string, spans binary"))
     some = found.where("spans is not null").select("doc_id", "h", "n_words", "spans").dropDuplicates(["doc_id", "h"])
     held = stash(_join_key(rows, some, ["n_words", "spans"]), "zstd")
     segs = held.select("doc_id", "h", "text", "spans").mapInArrow(_segments(size, min(RUN, size), frags), V.CELLS)

@@ -1,9 +1,10 @@
 """Vertical partitioning of hashed items: the hash order is cut into fragments, each fragment is counted by itself,
 and what it finds goes back to the batch of documents that the items came from.
 
-Items travel as 32-bit remainders in binary columns, one row for each batch and fragment, so that neither the
-shuffle nor the JVM handles single items. A fragment holds 1 / fragments of all items whatever their frequency
-skew, since a hot item adds one value for each document and no row of its own.
+Items travel in binary columns, one row for each batch and fragment, so that neither the shuffle nor the JVM handles
+single items. An item that occurs more than once in a batch is sent once, with the number of times: a hot item costs a
+fragment one value for each batch, whatever its number of documents. Which of the batch's documents hold it stays with the
+batch. Fragments grow in number with the bytes of the input, so each of them keeps its size.
 """
 
 from __future__ import annotations
@@ -15,12 +16,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 
 from .base import blob
-from .kernels import counts_of
 
-#: Items in a batch of documents (more only where one document has more).
+#: Items (and documents) in a batch; more only where one document has more.
 BATCH_ITEMS = 2_000_000
-CELLS = "frag int, batch long, items binary, sizes binary"
-CELL_SCHEMA = pa.schema([("frag", pa.int32()), ("batch", pa.int64()), ("items", pa.binary()), ("sizes", pa.binary())])
+CELLS = "frag int, batch long, items binary, sizes binary, multi binary, times binary"
+CELL_SCHEMA = pa.schema([("frag", pa.int32()), ("batch", pa.int64()), ("items", pa.binary()), ("sizes", pa.binary()), ("multi", pa.binary()), ("times", pa.binary())])
 
 
 def batch_ids() -> Iterator[int]:
@@ -31,37 +31,51 @@ def batch_ids() -> Iterator[int]:
         at += 1
 
 
-def cut(items: np.ndarray, doc: np.ndarray, docs: int, frags: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """The items' order by fragment (stable), sizes [frags, docs], and the fragments' bounds."""
-    bits = frags.bit_length() - 1
-    frag = (items >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
-    order = np.argsort(frag, kind="stable")
-    sizes = np.bincount(frag.astype(np.int64) * docs + doc, minlength=frags * docs).reshape(frags, docs).astype(np.uint32)
-    bounds = [0, *np.cumsum(sizes.sum(axis=1)).astype(np.int64).tolist()]
-    return order, sizes, bounds
+def row(frag: int, batch: int, items: bytes | None = None, sizes: bytes | None = None, multi: bytes | None = None, times: bytes | None = None) -> tuple:
+    return frag, batch, items, sizes, multi, times
+
+
+def record_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), CELL_SCHEMA.types, strict=True)], schema=CELL_SCHEMA)
 
 
-def cells(items: np.ndarray, doc: np.ndarray, docs: int, frags: int, batch: int, more: bytes | None = None) -> pa.RecordBatch:
-    """A row for each fragment of one batch of documents; `more` goes with an extra row of fragment -1."""
-    bits = frags.bit_length() - 1
-    order, sizes, bounds = cut(items, doc, docs, frags)
-    low = ((items >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order]
-    use = [f for f in range(frags) if bounds[f + 1] > bounds[f]]
-    cols = [use, [batch] * len(use), [blob(low[bounds[f] : bounds[f + 1]]) for f in use], [blob(sizes[f]) for f in use]]
-    if more is not None:
-        for c, x in zip(cols, (-1, batch, more, None), strict=True):
-            c.append(x)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, CELL_SCHEMA.types, strict=True)], schema=CELL_SCHEMA)
+def fragment_of(items: np.ndarray, frags: int) -> np.ndarray:
+    return (items >> np.uint64(65 - frags.bit_length())).astype(np.uint32)
 
 
-def wide(low: np.ndarray, frag: int, frags: int) -> np.ndarray:
-    """Back to 64-bit items, without the bits that `cells` left out."""
-    bits = frags.bit_length() - 1
-    return (low.astype(np.uint64) << np.uint64(32 - bits)) | (np.uint64(frag) << np.uint64(64 - bits))
+def divide(items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which items occur once; the others, distinct and sorted; how often each occurs; and where, item by item."""
+    order = np.argsort(items, kind="stable")
+    s = items[order]
+    edge = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.zeros(0, np.int64)
+    size = np.diff(np.append(edge, len(s)))
+    single = np.empty(len(s), bool)
+    single[order] = np.repeat(size == 1, size)
+    again = size > 1
+    return single, s[edge[again]], size[again], order[np.repeat(again, size)]
+
+
+def cut(items: np.ndarray, frags: int) -> tuple[np.ndarray, np.ndarray]:
+    """The items' order by fragment (stable), and the fragments' bounds in it."""
+    frag = fragment_of(items, frags)
+    order = np.argsort(frag, kind="stable")
+    return order, np.searchsorted(frag[order], np.arange(frags + 1))
+
+
+def counts_by(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """For each key, the summed weights of its equals."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    order = np.argsort(keys, kind="stable")
+    s = keys[order]
+    edge = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.repeat(np.add.reduceat(weights[order], edge), np.diff(np.append(edge, len(s))))
+    return out
 
 
 def arrays(column: pa.ChunkedArray | pa.Array, kind) -> list[np.ndarray]:
-    """Each value of a binary column as an array, without copying."""
+    """Each value of a binary column as an array, without copying; null is empty."""
     out = []
     for x in column:
         b = x.as_buffer()
@@ -69,8 +83,22 @@ def arrays(column: pa.ChunkedArray | pa.Array, kind) -> list[np.ndarray]:
     return out
 
 
-def fragment_counts(t: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-    """Items, sizes by document and counts within the fragment, for each row of a fragment's table."""
-    items, sizes = arrays(t["items"], np.uint32), arrays(t["sizes"], np.uint32)
-    total = counts_of(np.concatenate(items)) if items else np.zeros(0, np.int64)
-    return items, sizes, np.split(total, np.cumsum([len(x) for x in items])[:-1])
+def fragment_counts(t: pa.Table, kind) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Single items of each row of a fragment's table, how often they occur in the fragment, and how often its repeated ones do."""
+    items, multi, times = arrays(t["items"], kind), arrays(t["multi"], kind), arrays(t["times"], np.uint32)
+    n = sum(map(len, items))
+    weights = np.concatenate([np.ones(n, np.int64), *times])
+    total = counts_by(np.concatenate([*items, *multi]), weights)
+    return items, np.split(total[:n], np.cumsum([len(x) for x in items])[:-1]), np.split(total[n:], np.cumsum([len(x) for x in multi])[:-1])
+
+
+def pack(*parts: np.ndarray) -> bytes:
+    """Arrays one after the other, behind their sizes in bytes."""
+    raw = [blob(p) for p in parts]
+    return b"".join([np.array([len(r) for r in raw], np.int64).tobytes(), *raw])
+
+
+def unpack(raw: np.ndarray, *kinds) -> list[np.ndarray]:
+    sizes = np.frombuffer(raw[: 8 * len(kinds)].tobytes(), np.int64)
+    ends = 8 * len(kinds) + np.cumsum(sizes)
+    return [np.frombuffer(raw[e - n : e].tobytes(), k) for e, n, k in zip(ends, sizes, kinds, strict=True)]
