@@ -1,7 +1,7 @@
 """Connected components by alternating large-star and small-star rounds on DataFrames.
 
 Each half round is one minimum per node (partial aggregation takes the hot nodes) and one join whose two sides are
-plain shuffles, which AQE splits where a node has many links. Every round is written to the shared folder.
+plain shuffles, which AQE splits where a node has many links. Every round is written to the shared folder, and replaces the one before.
 """
 
 from __future__ import annotations
@@ -28,13 +28,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         if not mark[0]:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = stash(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = stash(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = stash(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         # small star: the smaller neighbours of u, and u itself, go to the smallest of them
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = stash(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        discard(e, low, large, least)
+        discard(e, large)
         e, old, mark = new, mark, _mark(new)
         if old == mark:
             break
