@@ -13,7 +13,8 @@ compared with all it may link with.
 
 Defined results: a vector with null label, null itself, empty, of zero norm, or with null, NaN or infinite
 components links with nothing; vectors of different length don't link; null vec_id: no links, null component, kept.
-Repeated rows are vectors of their own. An empty table gives no rows. Only vec_id, embedding and label are read.
+Repeated rows are vectors of their own, and so are different vectors of one vec_id, each with its own links. Ties (a
+cosine of exactly the threshold) are links. An empty table gives no rows. Only vec_id, embedding and label are read.
 """
 
 from __future__ import annotations
@@ -114,8 +115,11 @@ def embedding_near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col:
     sound = F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0)
     base = base.withColumn("sound", F.coalesce(sound & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False)))
     base = stash(base)
-    same = base.where("sound").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"))
-    same = stash(same)
+    same = stash(base.where("sound").groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("mult"), F.xxhash64("label", "embedding").alias("hash")))
+    # an id that stands for several vectors is the node of one of them, the others have a hash for a node
+    shared = same.groupBy("least").agg(F.min("hash").alias("own"), F.count("*").alias("sets")).where("sets > 1")
+    node = F.when(F.col("own").isNull() | (F.col("own") == F.col("hash")), F.col("least")).otherwise(F.col("hash"))
+    same = stash(same.join(shared, "least", "left").withColumn("rep", node).drop("own", "sets", "hash"))
     n = same.count()
     top = min(max_pivots, max(1, n // PER_PIVOT))
     pivots: dict[int, np.ndarray] = {}
@@ -132,7 +136,9 @@ def embedding_near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col:
     comp = components(found.where("kind = 1"))
     links = found.where("kind = 0").groupBy("a").agg(F.sum("b").alias("more")).withColumnRenamed("a", "rep")
     classes = same.join(links, "rep", "left").join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    classes = stash(classes.select("label", "embedding", F.coalesce("component", "rep").alias("component"), (F.col("mult") - 1 + F.coalesce("more", F.lit(0))).alias("links")))
+    classes = stash(classes.withColumn("component", F.coalesce("component", "rep")))
+    least = classes.groupBy("component").agg(F.min("least").alias("id"))  # a component's name is its smallest id
+    classes = stash(classes.join(least, "component").select("label", "embedding", F.col("id").alias("component"), (F.col("mult") - 1 + F.coalesce("more", F.lit(0))).alias("links")))
     linked = base.where("sound").join(classes, ["label", "embedding"]).select("vec_id", "links", "component")
     alone = base.where("not sound").select("vec_id", F.lit(0).cast("long").alias("links"), F.col("vec_id").alias("component"))
     out = linked.unionByName(alone)
