@@ -9,8 +9,9 @@ contaminated by an item when its tiles cover `coverage` of the item's words.
 The items are the query set. They are read in blocks of at most about BLOCK_WORDS words (one item at least), each
 of which is sent to all executors and held against all documents, whole texts.
 
-Defined results: null or empty texts, null ids and items of fewer than `min_match` words match nothing; repeated
-rows give their pairs as often; empty tables give no rows. Only ids and texts are read.
+Defined results: null or empty texts, items with a null id and items of fewer than `min_match` words match nothing; documents
+with a null id give their pairs under it; repeated rows give their pairs as often; of equally long matches the first in the
+item, then in the document, is marked; empty tables give no rows. Only ids and texts are read, so further columns play no part.
 """
 
 from __future__ import annotations
@@ -50,47 +51,52 @@ def fingerprints(w: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarray
     return run_hashes(w, size)[at], at
 
 
-def _matches(p: np.ndarray, t: np.ndarray, free_p: np.ndarray, free_t: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """Maximal matches of `size` or more unmarked words: (length, place in p, place in t)."""
-    hp, ip = fingerprints(p, free_p, size)
-    ht, it = fingerprints(t, free_t, size)
-    if not len(hp) or not len(ht):
-        return []
-    order = np.argsort(hp, kind="stable")
-    hp, ip = hp[order], ip[order]
-    lo, hi = np.searchsorted(hp, ht, "left"), np.searchsorted(hp, ht, "right")
-    n = hi - lo
-    if not n.any():
-        return []
-    t_at = np.repeat(it, n)
-    p_at = ip[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    # matches that follow each other on a diagonal are one
-    order = np.lexsort((p_at, t_at - p_at))
-    p_at, t_at = p_at[order], t_at[order]
-    new = np.concatenate(([True], (p_at[1:] != p_at[:-1] + 1) | (t_at[1:] != t_at[:-1] + 1)))
-    head = np.flatnonzero(new)
-    length = np.diff(np.append(head, len(p_at))) + size - 1
-    return list(zip(length.tolist(), p_at[head].tolist(), t_at[head].tolist(), strict=True))
+def _seeded(w: np.ndarray, other: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words that lie in a run of `least` words which `other` has too, with a marked one behind each stretch of them:
+    words, which of them are free, and their places."""
+    at = np.flatnonzero(np.isin(run_hashes(w, least), run_hashes(other, least)))
+    cover = np.zeros(len(w) + 1, np.int64)
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + least, -1)
+    free = np.cumsum(cover) > 0
+    place = np.flatnonzero(free | np.concatenate(([False], free[:-1])))
+    return w[np.minimum(place, len(w) - 1)], free[place], place
 
 
 def tile(p: np.ndarray, t: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling of word hashes: tiles (place in p, place in t, length), longest first."""
-    free_p, free_t, tiles = np.ones(len(p), bool), np.ones(len(t), bool), []
-    size = min(len(p), len(t), max(min_match, 20))
-    while size >= min_match:
-        found = _matches(p, t, free_p, free_t, size)
-        longest = max((m[0] for m in found), default=0)
-        if longest > 2 * size:
-            size = longest
-            continue
-        for length, i, j in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-            # what is left of a match that an earlier tile has cut comes up again below its length
-            if free_p[i : i + length].all() and free_t[j : j + length].all():
-                free_p[i : i + length] = free_t[j : j + length] = False
-                tiles.append((i, j, length))
-        if any(m[0] >= size for m in _matches(p, t, free_p, free_t, size)):
-            continue
-        size = size // 2 if size > 2 * min_match else min_match if size > min_match else 0
+    """Greedy string tiling of word hashes: tiles (place in p, place in t, length).
+
+    Each is the longest match of words unmarked in both, of equally long ones that of the first place in p, then in t. If
+    some match has a length, some has each smaller one, so the longest is found by bisection over Karp-Rabin fingerprints
+    of one length at a time: memory is linear in the words, also where all of them are the same."""
+    if min(len(p), len(t)) < min_match:
+        return []
+    (p, free_p, place_p), (t, free_t, place_t), tiles = _seeded(p, t, min_match), _seeded(t, p, min_match), []
+
+    def match(size: int) -> tuple[int, int] | None:
+        hp, ip = fingerprints(p, free_p, size)
+        ht, it = fingerprints(t, free_t, size)
+        found = np.flatnonzero(np.isin(hp, ht))
+        return (int(ip[found[0]]), int(it[np.argmax(ht == hp[found[0]])])) if len(found) else None
+
+    most = min(len(p), len(t))
+    while most >= min_match:
+        best, size, low = match(most), most, min_match - 1
+        while best is None and most - low > 1:  # no match of `most` words; `low` has one, or is too short to matter
+            mid = (low + most) // 2
+            if (got := match(mid)) is None:
+                most = mid
+            else:
+                low, kept = mid, got
+                size = mid
+        if best is None:
+            if low < min_match:
+                break
+            best = kept
+        i, k = best
+        free_p[i : i + size] = free_t[k : k + size] = False
+        tiles.append((int(place_p[i]), int(place_t[k]), size))
+        most = size
     return tiles
 
 
@@ -120,7 +126,8 @@ class ItemIndex:
         lo, hi = np.searchsorted(self.seed, h[pos], "left"), np.searchsorted(self.seed, h[pos], "right")
         doc = np.searchsorted(first, pos, "right") - 1
         inside = (hi > lo) & (pos + self.k <= first[doc + 1])
-        pos, lo, hi, doc = pos[inside], lo[inside], hi[inside], doc[inside]
+        # a seed that a document repeats counts once
+        doc, lo, hi = np.unique(np.stack((doc[inside], lo[inside], hi[inside])), axis=1)
         n = hi - lo
         hit = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         key = np.unique(np.stack((np.repeat(doc, n), self.item[hit], self.at[hit])), axis=1)
@@ -181,7 +188,7 @@ def _indexes(spark: SparkSession, bench: DataFrame, min_match: int, block_words:
 
 def contaminated_pairs(docs: DataFrame, bench: DataFrame, min_match: int = 3, coverage: float = 0.6, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, item_id, coverage (of the item's words), n_tiles, tiles (places and lengths in words)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     out = None
     for index in _indexes(docs.sparkSession, bench, min_match, block_words):
         found = _search(rows, index, coverage)
@@ -207,9 +214,3 @@ def clean(docs: DataFrame, bench: DataFrame, min_match: int = 3, coverage: float
     for n, index in enumerate(_indexes(docs.sparkSession, bench, min_match, block_words)):
         docs = kept(stash(docs) if n else docs, index)
     return docs
-
-
-def drop_contaminated(docs: DataFrame, bench: DataFrame, **kw) -> DataFrame:
-    """The documents that no item contaminates; those with a null id stay."""
-    bad = stash(contaminated_pairs(docs, bench, **kw).select("doc_id").distinct())
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
