@@ -76,7 +76,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(u), pa.string()), pa.array([order] * len(u), pa.int32()), pa.array(u.view(np.int64)), pa.array(np.bincount(inv, n[word[own]]).astype(np.int64))], names=["lang", "ord", "item", "n"])
 
 
-def _top(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
+def top(counts: DataFrame, keys: list[str], most: int) -> DataFrame:
     """Rows of at most about the `most` highest n for each key, by thresholds from the counts of counts."""
     steps = counts.groupBy(*keys, F.least("n", F.lit(1000)).alias("n")).count().collect()
     by: dict[tuple, list] = {}
@@ -181,9 +181,9 @@ def fit(train: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY) ->
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample / n)))])
     picked = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * float(1 << 30))
     counts = stash(picked.select("text", "lang").mapInArrow(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    top_words = _top(counts.where("n > 1"), ["lang"], vocabulary).toArrow()
+    top_words = top(counts.where("n > 1"), ["lang"], vocabulary).toArrow()
     gram = stash(counts.mapInArrow(_gram_counts, "lang string, ord int, item long, n long").groupBy("lang", "ord", "item").agg(F.sum("n").alias("n")))
-    top_grams = _top(gram, ["lang", "ord"], vocabulary).select("lang", "ord", "item", "n").toArrow()
+    top_grams = top(gram, ["lang", "ord"], vocabulary).select("lang", "ord", "item", "n").toArrow()
     raw = [w.encode() for w in top_words["word"].to_pylist()]
     data = np.frombuffer(b" ".join(raw), np.uint8)
     starts, ends, _ = words(data, np.array([0, len(data)]))

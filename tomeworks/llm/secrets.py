@@ -4,14 +4,16 @@ Candidates are found in flat byte arrays: words that hold a digit, an assignment
 value and freed from the punctuation around them; the parts of words of any length, between quotes, commas, brackets, &, ;, ?, =, :, @ and
 non-ASCII characters (and between slashes in urls), are candidates too, and what holds another one is preferred to it. A forest trained from labelled findings judges each by its length,
 its character transitions (classes, and log probability of letter pairs against dictionary words), how much of it dictionary words cover,
-the path it comes from, and the words beside it.
+the path it comes from, and the words beside it. The dictionary is learned from all documents: the words that occur most, with their
+numbers, in a distributed count of which a bounded number is kept.
 
 The labelled findings are made by a fixed rule (`labelled_findings`): keys, tokens and passwords in the formats in
 which they leak, against identifiers, digests, card and phone numbers, addresses, dates, file names and words. Their
 number is a parameter. Another DataFrame or list of findings can be given instead.
 
 Defined results: null or empty text: no findings; null path: as an empty one; null doc_ids keep their findings;
-repeated rows give theirs as often; empty tables give no rows. Other columns play no part.
+repeated rows give theirs as often; of candidates that overlap the first, then the longer one is reported, so ties
+can't be; texts and words of any length are read whole; empty tables give no rows. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -21,19 +23,22 @@ import math
 import random
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import doc_slices, text_buffers
+from .base import doc_slices, stash, text_buffers
 from .kernels import words
+from .langid import top
 from .random_forest import RandomForest
 
 FINDINGS, THRESHOLD, LEAST = 6000, 0.5, 8
+#: Words of the dictionary, and letters of a word in it, at most.
+DICTIONARY, LONGEST = 20_000, 14
 WORDS = (
     "the of and to in for is on that by this with you it not or be are from at as your all have new more an was we will home can us about if page my has search free but our one other do no "
     "information time they site he up may what which their news out use any there see only so his when contact here business who web also now help get view online first am been would how were "
@@ -82,10 +87,10 @@ def candidates(word: str, before: str, after: str) -> Iterator[tuple[str, int, s
     value = raw.strip(EDGE)
     at += raw.find(value) if value else 0
     seen = set()
-    if "://" not in value and _worth(value, name, name or " ".join(before.split()[-2:])) and not PAIRS.search(value):
+    url = "://" in word
+    if not url and _worth(value, name, name or " ".join(before.split()[-2:])) and not PAIRS.search(value):
         seen.add((at, len(value)))
         yield value, at, name, before, after
-    url = "://" in word
     for m in USER.finditer(word) if url else ():
         if _worth(m[1], "password", "password"):
             seen.add((m.start(1), len(m[1])))
@@ -108,30 +113,66 @@ def candidates(word: str, before: str, after: str) -> Iterator[tuple[str, int, s
             yield value, at, name, near, " ".join([*(x for x, _ in parts[k + 1 : k + 3]), after][:2])[:200]
 
 
-@lru_cache(1)
-def transitions() -> dict[str, float]:
-    """Log probabilities of letter pairs in dictionary words."""
-    seen: dict[str, int] = {}
-    for w in WORDS:
-        for a, b in zip(w, w[1:], strict=False):
-            seen[a + b] = seen.get(a + b, 0) + 1
-    total = sum(seen.values()) + 26 * 26
-    out = {a + b: math.log((seen.get(a + b, 0) + 1) / total) for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"}
-    return out
+class Lexicon:
+    """Words of four letters or more, and log probabilities of letter pairs in them, by how often they occur."""
+
+    def __init__(self, counts: dict[str, int]):
+        self.words = {w for w in counts if len(w) > 3}
+        self.longest = max(map(len, self.words), default=0)
+        seen: dict[str, float] = {a + b: 1.0 for a in LOWER for b in LOWER}
+        for w, n in counts.items():
+            for a, b in zip(w, w[1:], strict=False):
+                seen[a + b] += math.log1p(n)
+        total = sum(seen.values())
+        self.pairs = {k: math.log(v / total) for k, v in seen.items()}
+
+    def covered(self, low: str) -> int:
+        """Letters under words, the longest first from the left."""
+        out = at = 0
+        while at < len(low):
+            for n in range(min(self.longest, len(low) - at), 3, -1):
+                if low[at : at + n] in self.words:
+                    out += n
+                    at += n
+                    break
+            else:
+                at += 1
+        return out
+
+
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+_SPLIT = np.full(256, 0x20, np.uint8)
+_SPLIT[[*range(65, 91), *range(97, 123)]] = [*range(97, 123)] * 2
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        data, offs = text_buffers(b.column(0))
+        counts: Counter = Counter()
+        for i, j in doc_slices(offs):
+            for r in range(i, j):
+                counts.update(_SPLIT[data[offs[r] : offs[r + 1]]].tobytes().split())
+        kept = {w.decode(): n for w, n in counts.items() if 4 <= len(w) <= LONGEST}
+        yield pa.RecordBatch.from_arrays([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], names=["word", "n"])
 
 
-_DICTIONARY = re.compile("|".join(sorted((w for w in WORDS if len(w) > 3), key=len, reverse=True)))
+def learn(docs: DataFrame, text_col: str = "text", most: int = DICTIONARY) -> Lexicon:
+    """The words of all texts that occur most, about `most` at most and in five places at least, besides the basic ones."""
+    counts = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").mapInArrow(_word_counts, "word string, n long")
+    counts = stash(counts.groupBy("word").agg(F.sum("n").alias("n")).where("n >= 5").withColumn("all", F.lit(0)))
+    got = top(counts, ["all"], most).toArrow()
+    return Lexicon(dict.fromkeys(WORDS, 1) | dict(zip(got["word"].to_pylist(), got["n"].to_pylist(), strict=True)))
 
 
-def features(value: str, name: str, before: str, after: str, path: str) -> list[float]:
+def features(value: str, name: str, before: str, after: str, path: str, lexicon: Lexicon) -> list[float]:
     n, low = len(value), value.lower()
     kinds = [0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in value]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False))
     share = [kinds.count(k) / n for k in range(4)]
     counts = {c: low.count(c) for c in set(low)}
     entropy = -sum(k / n * math.log2(k / n) for k in counts.values())
-    pairs = [transitions()[low[i : i + 2]] for i in range(n - 1) if low[i : i + 2] in transitions()]
-    covered = sum(len(m) for m in _DICTIONARY.findall(low)) / n
+    pairs = [lexicon.pairs[low[i : i + 2]] for i in range(n - 1) if low[i : i + 2] in lexicon.pairs]
+    covered = lexicon.covered(low) / n
     near = f"{name} {before}"
     return [
         n, changes / n, *share, entropy, sum(pairs) / len(pairs) if pairs else 0.0, len(pairs) / n, covered,
@@ -160,7 +201,7 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
             elif kind == 1:
                 name, value = r.choice(["password", "passwd", "pwd", "PASSWORD"]), some(hexa, r.choice([12, 16, 18, 20]))
             elif kind == 2:
-                value, before = some(hexa, r.choice([32, 40, 64])), before + r.choice([" token =", " secret =", ' "token":', " auth token"])
+                value, before = some(hexa, r.choice([32, 40, 64])), before + " " + r.choice(["auth token", '"token":', *(k + mark for k in ("token", "secret", "api_key", "access_key", "credential") for mark in (" =", ":", " :"))])
             elif kind == 3:
                 name, value = r.choice(["api_key", "apikey", "API_KEY", "secret", "access_token", "token"]), some(alnum, r.choice([20, 24, 32, 40]))
             elif kind == 4:
@@ -201,10 +242,14 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
     return out
 
 
-def train(findings: list[tuple[str, str, str, str, str, int]] | None = None) -> RandomForest:
+def train(findings: list[tuple[str, str, str, str, str, int]] | None = None, lexicon: Lexicon | None = None) -> RandomForest:
+    """A forest of labelled findings, which carries the dictionary that its features are made with."""
     findings = labelled_findings() if findings is None else findings
-    x = np.array([features(v, k, b, a, p) for v, k, b, a, p, _ in findings])
-    return RandomForest().fit(x, np.array([f[-1] for f in findings], float))
+    lexicon = lexicon or Lexicon(dict.fromkeys(WORDS, 1))
+    x = np.array([features(v, k, b, a, p, lexicon) for v, k, b, a, p, _ in findings])
+    forest = RandomForest().fit(x, np.array([f[-1] for f in findings], float))
+    forest.lexicon = lexicon
+    return forest
 
 
 def scan_rows(column: pa.Array, paths: list[str | None], forest: RandomForest, threshold: float) -> Iterator[tuple[int, int, int, str, float]]:
@@ -231,7 +276,7 @@ def scan_rows(column: pa.Array, paths: list[str | None], forest: RandomForest, t
             for value, at, name, before, after in candidates(word, tail(max(first[r], h - 3), h - 1), head(h + 1, min(h + 2, first[r + 1] - 1))):
                 begin = int(starts[h]) + int(at if byte is None else byte[at])
                 found.append((i + r, begin - int(o[r]), begin - int(o[r]) + len(value), value))
-                x.append(features(value, name, before, after, paths[i + r] or ""))
+                x.append(features(value, name, before, after, paths[i + r] or "", forest.lexicon))
         if found:
             kept = [(*f, s) for f, s in zip(found, forest.predict(np.array(x)).tolist(), strict=True) if s >= threshold]
             row = end = -1
@@ -246,7 +291,7 @@ FOUND = "doc_id long, start long, end long, length long, score double, secret_sh
 
 def find_secrets(docs: DataFrame, forest: RandomForest | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """doc_id, start and end (bytes of the UTF-8 text), length, score, secret_sha256 of each secret."""
-    sent = docs.sparkSession.sparkContext.broadcast(forest or train())
+    sent = docs.sparkSession.sparkContext.broadcast(forest or train(lexicon=learn(docs, text_col)))
     path = F.col(path_col).cast("string") if path_col else F.lit("")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +307,7 @@ def find_secrets(docs: DataFrame, forest: RandomForest | None = None, threshold:
 
 def redact(docs: DataFrame, forest: RandomForest | None = None, threshold: float = THRESHOLD, text_col: str = "text", path_col: str | None = "source", mark: str = "[secret]") -> DataFrame:
     """The same rows and columns, with each secret of the text replaced by `mark`."""
-    sent = docs.sparkSession.sparkContext.broadcast(forest or train())
+    sent = docs.sparkSession.sparkContext.broadcast(forest or train(lexicon=learn(docs, text_col)))
     names = docs.columns
     at = names.index(text_col)
     where = names.index(path_col) if path_col else None
