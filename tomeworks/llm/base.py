@@ -62,7 +62,7 @@ def fragments(texts: DataFrame, text_col: str = "text") -> int:
     """How many fragments a hash order is cut into: a power of two that grows with the bytes of the texts and with the
     shuffle partitions."""
     size = texts.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    n, want = 64, min(FRAGMENTS, max(partitions(texts.sparkSession), size // FRAGMENT_BYTES))
+    n, want = 256, min(FRAGMENTS, max(partitions(texts.sparkSession), size // FRAGMENT_BYTES))
     while n < want:
         n *= 2
     return n

@@ -43,10 +43,11 @@ BLOCK, CLUMP = 128, 32
 PART_ITEMS = 1_000_000
 #: Shingles of a family that more sets than this have are counted by matrix products, others by listing pairs.
 DENSE_DF, DENSE_SETS = 12, 64
-DOC = "doc_id long, n int, d1 long, d2 long, lead long, items binary, prefix binary"
-DOC_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("lead", pa.int64()), ("items", pa.binary()), ("prefix", pa.binary())])
+DOC = "row long, doc_id long, n int, d1 long, d2 long, lead long, items binary, prefix binary"
+DOC_SCHEMA = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("lead", pa.int64()), ("items", pa.binary()), ("prefix", pa.binary())])
 HEAD = np.dtype([("doc_id", "<i8"), ("n", "<i4"), ("d1", "<i8"), ("d2", "<i8"), ("set", "<i4")])
-PART = np.dtype([("doc", "<u4"), ("lone", "<u4"), ("rest", "<u4")])
+#: How often a shingle occurs, as far as it counts for the order of frequency.
+COMMON = 65535
 
 
 def _digests(items: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,14 +60,6 @@ def _digests(items: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
-def _sparse(doc: np.ndarray) -> np.ndarray:
-    """Runs of equal documents with their lengths, as rows of PART (under `rest`)."""
-    edge = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else np.zeros(0, np.int64)
-    out = np.zeros(len(edge), PART)
-    out["doc"], out["rest"] = doc[edge], np.diff(np.append(edge, len(doc)))
-    return out
-
-
 def _to_cells(k: int, frags: int):
     """Shingles of the distinct sets of each batch, as cells; the batch's own row has its documents, and who has its repeated shingles."""
 
@@ -86,14 +79,15 @@ def _to_cells(k: int, frags: int):
             single, multi, times, where = V.divide(items)
             owners = doc[where]
             items, doc = items[single], doc[single]
+            frag = V.fragment_of(items, frags)
             at, edge = V.cut(items, frags)
-            items, doc = items[at], doc[at]
+            items = items[at]
             far = np.searchsorted(V.fragment_of(multi, frags), np.arange(frags + 1))
             batch = next(ids)
-            rows = [V.row(-1, batch, V.pack(head, multi, times.astype(np.uint32), owners))]
+            rows = [V.row(-1, batch, V.pack(head, frag.astype(V.frag_kind(frags)), np.bincount(doc, minlength=len(head)).astype(np.uint32), multi, times.astype(np.uint32), owners))]
             for f in np.flatnonzero((np.diff(edge) > 0) | (np.diff(far) > 0)).tolist():
-                a, b, p, q = edge[f], edge[f + 1], far[f], far[f + 1]
-                rows.append(V.row(f, batch, blob(items[a:b]), blob(_sparse(doc[a:b])), blob(multi[p:q]), blob(times[p:q].astype(np.uint32))))
+                p, q = far[f], far[f + 1]
+                rows.append(V.row(f, batch, V.shorten(items[edge[f] : edge[f + 1]]), None, V.shorten(multi[p:q]), blob(times[p:q].astype(np.uint32))))
             return V.record_batch(rows)
 
         for b in batches:
@@ -117,21 +111,24 @@ def _to_cells(k: int, frags: int):
     return run
 
 
-def _count(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-    """A fragment's answer to each batch: single items that occur elsewhere, with their counts, per document how many do and
-    don't, and the counts of the batch's repeated items."""
-    if key[0].as_py() < 0:
-        return t
-    items, counts, again = V.fragment_counts(t, np.uint64)
-    rows = []
-    for batch, x, c, s, a in zip(t["batch"].to_pylist(), items, counts, V.arrays(t["sizes"], PART), again, strict=True):
-        s = s.copy()
-        doc = np.repeat(np.arange(len(s)), s["rest"])
-        rest = np.bincount(doc[c > 1], minlength=len(s))
-        s["lone"], s["rest"] = s["rest"] - rest, rest
-        cap = lambda v: np.minimum(v, 2**32 - 1).astype(np.uint32)
-        rows.append(V.row(key[0].as_py(), batch, blob(x[c > 1]), blob(s), None, V.pack(cap(c[c > 1]), cap(a))))
-    return pa.Table.from_batches([V.record_batch(rows)])
+def _count(frags: int):
+    """A fragment's answer to each batch: which of its single items occur elsewhere (packed bits, behind their number), those
+    items with their counts, and the counts of the batch's repeated items."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        f = key[0].as_py()
+        if f < 0:
+            return t
+        raw = V.arrays(t["items"], np.uint8)
+        items, multi = ([V.whole(x, f, frags) for x in column] for column in (raw, V.arrays(t["multi"], np.uint8)))
+        counts, again = V.fragment_counts(items, multi, V.arrays(t["times"], np.uint32))
+        cap = lambda v: np.minimum(v, COMMON).astype(np.uint16)
+        rows = []
+        for batch, x, c, a in zip(t["batch"].to_pylist(), items, counts, again, strict=True):
+            rows.append(V.row(f, batch, V.shorten(x[c > 1]), V.pack(np.array([len(c)]), np.packbits(c > 1)), None, V.pack(cap(c[c > 1]), cap(a))))
+        return pa.Table.from_batches([V.record_batch(rows)])
+
+    return run
 
 
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -139,28 +136,29 @@ def needed(n: np.ndarray, percent: int) -> np.ndarray:
     return (n.astype(np.int64) * percent + 99) // 100
 
 
-def _gather(percent: int):
+def _gather(percent: int, frags: int):
     """Sums the fragments' answers of one batch: all its documents; lead is null where a set has neither a copy nor a
     possible partner; items and prefix go with one document of each set that may have partners."""
 
     def run(t: pa.Table) -> pa.Table:
-        head = None
-        doc, items, counts, lone, parts = [], [], [], None, []
-        for f, x, s, c in sorted(zip(t["frag"].to_pylist(), V.arrays(t["items"], np.uint8), V.arrays(t["sizes"], PART), V.arrays(t["times"], np.uint8), strict=True), key=lambda r: r[0]):
+        head, bits, items, counts, again = None, [], [np.zeros(0, np.uint64)], [], []
+        for f, x, s, c in sorted(zip(t["frag"].to_pylist(), V.arrays(t["items"], np.uint8), V.arrays(t["sizes"], np.uint8), V.arrays(t["times"], np.uint8), strict=True), key=lambda r: r[0]):
             if f < 0:
-                head, multi, times, owners = V.unpack(x, HEAD, np.uint64, np.uint32, np.uint32)
-            else:
-                parts.append((x.view(np.uint64), s, *V.unpack(c, np.uint32, np.uint32)))
+                head, frag, sizes, multi, times, owners = V.unpack(x, HEAD, V.frag_kind(frags), np.uint32, np.uint64, np.uint32, np.uint32)
+                continue
+            n, b = V.unpack(s, np.int64, np.uint8)
+            bits.append(np.unpackbits(b, count=int(n[0])) if n[0] else b[:0])
+            items.append(V.whole(x, f, frags))
+            for parts, y in zip((counts, again), V.unpack(c, np.uint16, np.uint16), strict=True):
+                parts.append(y)
         if head is None:
             raise RuntimeError("a batch lost its documents")
-        docs, lone = len(head), np.zeros(len(head), np.int64)
-        for x, s, c, _ in parts:
-            lone[s["doc"]] += s["lone"]
-            doc.append(np.repeat(s["doc"], s["rest"]))
-            items.append(x)
-            counts.append(c)
-        doc, items = np.concatenate([*doc, owners]).astype(np.int64), np.concatenate([*items, np.repeat(multi, times)])
-        counts = np.concatenate([*counts, np.repeat(np.concatenate([np.zeros(0, np.uint32), *(a for *_, a in parts)]), times)])
+        docs, none = len(head), np.zeros(0, np.uint16)
+        # answers come in the order of fragments, and within one in that of the documents
+        doc, more = np.repeat(np.arange(docs), sizes)[np.argsort(frag, kind="stable")], np.concatenate([none, *bits]).astype(bool)
+        lone = np.bincount(doc[~more], minlength=docs)
+        doc, items = np.concatenate([doc[more], owners]).astype(np.int64), np.concatenate([*items, np.repeat(multi, times)])
+        counts = np.concatenate([*counts, np.repeat(np.concatenate([none, *again]), times)])
         n = head["n"].astype(np.int64)
         first = n - needed(n, percent) + 1  # length of the prefix
         some = (n > 0) & (lone[head["set"]] < first)
@@ -180,7 +178,8 @@ def _gather(percent: int):
             out_items[i] = blob(np.sort(x))
         copied = (np.bincount(head["set"], minlength=docs) > 1)[head["set"]] & (n > 0)
         lead = pa.array(lead[head["set"]], mask=~(some | copied))
-        return pa.table([pa.array(head["doc_id"]), pa.array(head["n"]), pa.array(head["d1"]), pa.array(head["d2"]), lead, pa.array(out_items, pa.binary()), pa.array(out_prefix, pa.binary())], schema=DOC_SCHEMA)
+        row = (t["batch"][0].as_py() << 22) + np.arange(docs)  # a batch has no more than 2 ** 22 documents
+        return pa.table([pa.array(row), pa.array(head["doc_id"]), pa.array(head["n"]), pa.array(head["d1"]), pa.array(head["d2"]), lead, pa.array(out_items, pa.binary()), pa.array(out_prefix, pa.binary())], schema=DOC_SCHEMA)
 
     return run
 
@@ -427,15 +426,15 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75, id_col: s
     known = rows.where("doc_id is not null")
     frags = fragments(known)
     cells = known.mapInArrow(_to_cells(k, frags), V.CELLS)
-    told = cells.groupBy("frag", F.when(F.col("frag") < 0, F.col("batch")).alias("own")).applyInArrow(_count, V.CELLS)
-    t = stash(told.groupBy("batch").applyInArrow(_gather(percent), DOC))
-    same = t.where("lead is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult"))
+    told = cells.groupBy("frag", F.when(F.col("frag") < 0, F.col("batch")).alias("own")).applyInArrow(_count(frags), V.CELLS)
+    t = stash(told.groupBy("batch").applyInArrow(_gather(percent, frags), DOC))
+    same = t.where("lead is not null").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("mult"))
+    same = stash(same.select("d1", "d2", F.col("first.doc_id").alias("rep"), F.col("first.row").alias("row"), "mult"))
     # an id that stands for several sets is the node of one of them, the others have a hash for a node
     shared = same.groupBy("rep").agg(F.min(F.struct("d1", "d2")).alias("own"), F.count("*").alias("sets")).where("sets > 1")
-    same = same.join(stash(shared), "rep", "left")
-    same = stash(same.withColumn("node", F.when(F.col("own").isNull() | (F.col("own") == F.struct("d1", "d2")), F.col("rep")).otherwise(F.xxhash64("d1", "d2"))).select("d1", "d2", "rep", "mult", "node"))
-    sets = t.where("items is not null").withColumnRenamed("doc_id", "rep").join(same, ["d1", "d2", "rep"]).dropDuplicates(["d1", "d2"])
-    sets = stash(sets.select(F.col("node").alias("doc_id"), "n", "mult", "lead", "items", "prefix"))
+    node = F.when(F.col("own").isNull() | (F.col("own") == F.struct("d1", "d2")), F.col("rep")).otherwise(F.xxhash64("d1", "d2"))
+    same = stash(same.join(shared, "rep", "left").withColumn("node", node).drop("own", "sets"))
+    sets = stash(t.where("items is not null").select("row", "n", "lead", "items", "prefix").join(same.select("row", "node", "mult"), "row").select(F.col("node").alias("doc_id"), "n", "mult", "lead", "items", "prefix"))
     edges = sets.select("doc_id", "prefix").mapInArrow(_prefix_cells(frags), V.CELLS)
     edges = edges.groupBy("frag", F.when(F.col("frag") < 0, F.col("batch")).alias("own")).applyInArrow(_families, "a long, b long")
     family = components(edges)

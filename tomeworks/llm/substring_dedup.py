@@ -1,7 +1,7 @@
 """Removal of word passages that occur more than once, by compressed FM-indexes over shards.
 
 1. Every window of `window` words gets a 64-bit fingerprint, of which fragments of their order (see vertical.py) count the
-   first 38 bits or more. A fingerprint that occurs once belongs to a window that occurs once, so this leaves a
+   first 40 bits or more. A fingerprint that occurs once belongs to a window that occurs once, so this leaves a
    superset of the repeated windows, a small part of most corpora. It decides nothing but what need not be searched.
 2. Runs of such windows are cut into segments with the same minimizer, the place of the lowest hash of RUN words
    within the window. Equal windows have equal minimizers, so a shard by minimizer holds all occurrences of a window.
@@ -47,7 +47,7 @@ def _windows(size: int, frags: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held, total = V.batch_ids(), [], 0
-        FRAG = _frag_kind(frags)
+        FRAG = V.frag_kind(frags)
 
         def flush() -> pa.RecordBatch:
             head = np.concatenate([h for h, _ in held])
@@ -92,15 +92,11 @@ def _windows(size: int, frags: int):
     return run
 
 
-def _frag_kind(frags: int):
-    return np.uint8 if frags <= 1 << 8 else np.uint16 if frags <= 1 << 16 else np.uint32
-
-
 def _twice(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
     """For each batch, which of its single fingerprints in this fragment occur elsewhere (packed bits, behind their number)."""
     if key[0].as_py() < 0:
         return t
-    _, counts, _ = V.fragment_counts(t, np.uint32)
+    counts, _ = V.fragment_counts(*(V.arrays(t[c], np.uint32) for c in ("items", "multi", "times")))
     return pa.Table.from_batches([V.record_batch([V.row(key[0].as_py(), b, V.pack(np.array([len(c)], np.int64), np.packbits(c > 1))) for b, c in zip(t["batch"].to_pylist(), counts, strict=True)])])
 
 
@@ -127,7 +123,7 @@ def _runs(t: pa.Table, frags: int) -> pa.Table:
     head, parts = None, []
     for f, x in sorted(zip(t["frag"].to_pylist(), V.arrays(t["items"], np.uint8), strict=True), key=lambda r: r[0]):
         if f < 0:
-            head, again, frag = V.unpack(x, HEAD, np.uint8, _frag_kind(frags))
+            head, again, frag = V.unpack(x, HEAD, np.uint8, V.frag_kind(frags))
         else:
             n, bits = V.unpack(x, np.int64, np.uint8)
             parts.append(np.unpackbits(bits, count=int(n[0])) if n[0] else bits[:0])

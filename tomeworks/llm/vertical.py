@@ -24,8 +24,8 @@ CELL_SCHEMA = pa.schema([("frag", pa.int32()), ("batch", pa.int64()), ("items",
 
 
 def batch_ids() -> Iterator[int]:
-    """Numbers that no other task uses and that a repeated task gives again."""
-    at = TaskContext.get().partitionId() << 32 if TaskContext.get() else 0
+    """Numbers that no other task uses: a million for each partition."""
+    at = TaskContext.get().partitionId() << 20 if TaskContext.get() else 0
     while True:
         yield at
         at += 1
@@ -43,6 +43,22 @@ def fragment_of(items: np.ndarray, frags: int) -> np.ndarray:
     return (items >> np.uint64(65 - frags.bit_length())).astype(np.uint32)
 
 
+def shorten(items: np.ndarray) -> bytes:
+    """The low seven bytes of each item; the fragment, one of 256 or more, has the eighth."""
+    return blob(items.view(np.uint8).reshape(-1, 8)[:, :7]) if len(items) else b""
+
+
+def whole(low: np.ndarray, frag: int, frags: int) -> np.ndarray:
+    """Back to the items that were shortened."""
+    out = np.zeros((len(low) // 7, 8), np.uint8)
+    out[:, :7] = low.reshape(-1, 7)
+    return out.view(np.uint64).ravel() | np.uint64((frag << (65 - frags.bit_length())) >> 56 << 56)
+
+
+def frag_kind(frags: int):
+    return np.uint8 if frags <= 1 << 8 else np.uint16 if frags <= 1 << 16 else np.uint32
+
+
 def divide(items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Which items occur once; the others, distinct and sorted; how often each occurs; and where, item by item."""
     order = np.argsort(items, kind="stable")
@@ -83,13 +99,12 @@ def arrays(column: pa.ChunkedArray | pa.Array, kind) -> list[np.ndarray]:
     return out
 
 
-def fragment_counts(t: pa.Table, kind) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-    """Single items of each row of a fragment's table, how often they occur in the fragment, and how often its repeated ones do."""
-    items, multi, times = arrays(t["items"], kind), arrays(t["multi"], kind), arrays(t["times"], np.uint32)
+def fragment_counts(items: list[np.ndarray], multi: list[np.ndarray], times: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """How often the single items of each batch occur in the fragment, and how often its repeated ones (with their times) do."""
     n = sum(map(len, items))
     weights = np.concatenate([np.ones(n, np.int64), *times])
     total = counts_by(np.concatenate([*items, *multi]), weights)
-    return items, np.split(total[:n], np.cumsum([len(x) for x in items])[:-1]), np.split(total[n:], np.cumsum([len(x) for x in multi])[:-1])
+    return np.split(total[:n], np.cumsum([len(x) for x in items])[:-1]), np.split(total[n:], np.cumsum([len(x) for x in multi])[:-1])
 
 
 def pack(*parts: np.ndarray) -> bytes:
