@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import argparse
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import images, metadata, xmp
 from .functions.text import file_name, path_allowed
 from .operators import dedupe, pages
 from .plans import books, normalise
-from .providers.base import ContextLimits, PipelineConfig
-from .sources import archives, files, run_log
+from .providers.base import ContextLimits, PipelineConfig, ask
+from .sources import archives, files, pdf, run_log
 from .sources.staging import staged
 
 
@@ -28,6 +30,7 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     d = sub.add_parser("dedupe", help="move or delete files whose content was seen before, in order of their paths")
     d.add_argument("folder")
+    d.add_argument("--by-content", action="store_true", help="files are the same if their number of pages and what their first and last page show are")
     act = d.add_mutually_exclusive_group(required=True)
     act.add_argument("--dest")
     act.add_argument("--rm", action="store_true")
@@ -37,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--dest", required=True)
     c.add_argument("--prefix", help="a folder on the path must begin with this")
     c.add_argument("--deduplicate", action="store_true")
+    c.add_argument("--overwrite", action="store_true", help="replace files of the same name instead of numbering")
     c.add_argument("--max-files", type=_count)
     c.add_argument("--dry-run", action="store_true")
     f = sub.add_parser("flatten", help="move files to the parent of their folder as <folder>_<file>")
@@ -72,15 +76,35 @@ def parser() -> argparse.ArgumentParser:
     w.add_argument("folder")
     w.add_argument("target")
     w.add_argument("--failures", help="a folder for the log of what failed")
-    for name, text in (("check", "list files that aren't sound PDFs"), ("members", "list what archives hold"), ("count", "count PDFs")):
+    w.add_argument("--embed", action="store_true", help="write info and XMP into copies of the files instead")
+    g = sub.add_parser("pages", help="make the table of pages that run reads from the PDFs of a folder")
+    g.add_argument("sources", nargs="+")
+    g.add_argument("out")
+    u = sub.add_parser("unarchive", help="expand the archives of a folder beside them")
+    u.add_argument("folder")
+    q = sub.add_parser("search", help="print what a search method answers for a title and an author")
+    q.add_argument("method")
+    q.add_argument("--title", default="")
+    q.add_argument("--author", default="")
+    q.add_argument("--max-results", type=_count, default=5)
+    for name, text in (("inspect", "print the metadata of PDFs as JSON lines"), ("check", "list files that aren't sound PDFs"), ("members", "list what archives hold"), ("count", "count PDFs")):
         s = sub.add_parser(name, help=text)
         s.add_argument("folder")
     return p
 
 
-def duplicates_plan(found: DataFrame, root: str, dest: str) -> DataFrame:
+def content_keys(found: DataFrame) -> DataFrame:
+    """path, content_hash: the identity of what files show; null, so never a duplicate, where the first or last page can't be read."""
+    shown = pdf.pages(found)
+    digest = F.coalesce(images.digest(F.col("image")), F.sha2(F.col("text"), 256))
+    keys = dedupe.content_signature(shown.select("path", "page_number", digest.alias("digest")), "path", "page_number", "digest")
+    return found.select("path").join(keys, "path", "left").select("path", F.sha2(F.to_json("signature"), 256).alias("content_hash"))
+
+
+def duplicates_plan(found: DataFrame, root: str, dest: str, by_content: bool = False) -> DataFrame:
     """path, dest of the files whose content was seen before; their places below root stay, taken names get a number."""
-    gone = dedupe.first_seen(files.with_hash(found), F.col("content_hash"), "path").where("status = 'duplicate'")
+    keys = content_keys(found) if by_content else files.with_hash(found)
+    gone = dedupe.first_seen(keys, F.col("content_hash"), "path").where("status = 'duplicate'")
     return dedupe.free_names(gone.withColumn("target", F.replace("path", F.lit(os.path.abspath(root)), F.lit(os.path.abspath(dest)))), "target", "path").select("path", "dest")
 
 
@@ -109,6 +133,8 @@ def normalise_log(spark: SparkSession, a: argparse.Namespace) -> None:
 def write_back(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     found = files.with_hash(files.discover(spark, a.folder)).select("path", F.col("content_hash").alias("file_hash"), file_name(F.col("path")).alias("file_name"))
     meta = normalise.load(spark, a.table).select(F.col("pdf_hash").alias("file_hash"), F.col("pdf_name").alias("file_name"), "entity", F.col("run_timestamp").alias("order"))
+    if a.embed:
+        return staged(normalise.write_pdfs(files.discover(spark, a.folder), found, meta, a.folder, a.target))
     done = staged(normalise.write_sidecars(found, meta, a.folder, a.target))  # staged, since writing is not to be done twice
     if a.failures:
         normalise.failures(done, a.failures)
@@ -130,22 +156,34 @@ def main(argv: list[str] | None = None) -> int:
         for r in status.groupBy(F.regexp_extract("status", "^[^:]*", 0).alias("status")).count().orderBy("status").collect():
             print(r["status"], r["count"])
         return 0
+    if a.command == "inspect":
+        record = F.struct("path", "page_count", "error", metadata.from_info(F.coalesce("info", F.create_map().cast("map<string,string>")), F.col("path")).alias("record"), F.struct(*[v.alias(k) for k, v in xmp.read_xmp(F.col("xmp")).items()]).alias("xmp"))
+        for r in pdf.documents(files.discover(spark, a.folder)).select(F.to_json(record).alias("line")).orderBy("line").toLocalIterator():
+            print(r["line"])
+        return 0
+    if a.command == "pages":
+        found = files.discover(spark, files.expand_paths(a.sources))
+        shown = pdf.pages(found).join(files.with_hash(found).select("path", F.col("content_hash").alias("pdf_hash")), "path")
+        native = F.when(F.trim("text") != "", F.array(F.struct(F.lit("native").alias("method"), "text"))).otherwise(F.array().cast("array<struct<method:string,text:string>>"))
+        shown.select("pdf_hash", "path", "page_number", native.alias("results"), "image").write.mode("overwrite").parquet(a.out)
+        return 0
+    if a.command == "unarchive":
+        for r in archives.expand(archives.members(files.discover(spark, a.folder, "*"))).orderBy("archive", "member").toLocalIterator():
+            print(r["status"], r["archive"], r["member"] or "")
+        return 0
+    if a.command == "search":
+        request = spark.createDataFrame([("0", json.dumps({"info": {"title": a.title or None, "author": a.author or None}, "max_results": a.max_results}))], "key string, request string")
+        print(ask(request, "key", "request", a.method).first()["response"])
+        return 0
     if a.command == "count":
         print(files.count_files(spark, a.folder))
         return 0
     if a.command == "dedupe":
         found = files.discover(spark, a.folder)
-        plan = duplicates_plan(found, a.folder, a.dest or a.folder)
+        plan = duplicates_plan(found, a.folder, a.dest or a.folder, a.by_content)
         if a.rm:
-            n = 0
-            for r in plan.toLocalIterator():
-                n += 1
-                if not a.dry_run:
-                    try:
-                        os.remove(r["path"].removeprefix("file:"))
-                    except FileNotFoundError:
-                        pass
-            print(f"removed {n}")
+            gone = staged(files.remove_files(staged(plan), dry_run=a.dry_run))
+            print(f"removed {gone.where(~F.col('status').startswith('failed')).count()}")
             return 0
     elif a.command == "copy":
         plan = files.discover(spark, a.sources).select("path", F.sha2("content", 256).alias("content_hash"))
@@ -156,7 +194,8 @@ def main(argv: list[str] | None = None) -> int:
             plan = dedupe.copy_plan(plan, old, "content_hash", "path")
         if a.max_files is not None:
             plan = plan.orderBy("path").limit(a.max_files)
-        plan = dedupe.free_names(plan.withColumn("target", F.concat(F.lit(f"file:{os.path.abspath(a.dest)}/"), file_name(F.col("path")))), "target", "path")
+        target = F.concat(F.lit(f"file:{os.path.abspath(a.dest)}/"), file_name(F.col("path")))
+        plan = plan.withColumn("dest", target) if a.overwrite else dedupe.free_names(plan.withColumn("target", target), "target", "path")
     elif a.command == "flatten":
         found = files.discover(spark, a.roots, "*").select("path")
         plan = dedupe.flatten_plan(found, "path")

@@ -21,10 +21,10 @@ def blank_to_null(x: Column) -> Column:
 
 def normalize_keyword(x: Column) -> Column:
     """Lower case on one line; URLs, addresses and phone numbers as tokens; no punctuation; single spaces."""
-    x = F.lower(x)
+    plain = x = F.lower(x)
     for pattern, token in ((URL, "<url>"), (EMAIL, "<email>"), (PHONE, "<phone>"), (r"\p{P}", ""), (r"\s+", " ")):
         x = F.regexp_replace(x, pattern, token)
-    return F.trim(x)
+    return F.when(plain.rlike(r"^\p{L}+$"), plain).otherwise(F.trim(x))  # most words are letters only
 
 
 def normalize_publisher(x: Column) -> Column:

@@ -19,11 +19,26 @@ def first_seen(df: DataFrame, key: Column, order: str) -> DataFrame:
     return out.withColumn("first_seen", F.coalesce("first_seen", order)).withColumn("status", F.when(F.col("first_seen") == F.col(order), "unique").otherwise("duplicate"))
 
 
+def content_signature(pages: DataFrame, doc: str, number: str, digest: str) -> DataFrame:
+    """doc, signature: number of pages, digests of the first and the last one; null where either can't be told."""
+    first, last = F.min_by(digest, number), F.max_by(digest, number)
+    got = pages.groupBy(doc).agg(F.count("*").alias("page_count"), first.alias("first"), last.alias("last"))
+    return got.select(doc, F.when(F.col("first").isNotNull() & F.col("last").isNotNull(), F.struct("page_count", "first", "last")).alias("signature"))
+
+
 def free_names(df: DataFrame, target: str, order: str) -> DataFrame:
-    """df with `dest`: the target itself for the first row that wants it, then name_1.ext, name_2.ext, ..."""
-    n = F.row_number().over(Window.partitionBy(target).orderBy(order)) - 1
-    numbered = F.concat(F.regexp_replace(target, r"(\.[^./]*)$", ""), F.lit("_"), n.cast("string"), F.regexp_extract(target, r"(\.[^./]*)$", 1))
-    return df.withColumn("dest", F.when(n == 0, F.col(target)).otherwise(numbered))
+    """df with `dest`: the target itself for the first row that wants it, then name_1.ext, name_2.ext, ...
+
+    Rows are numbered within ranges of (target, order) and moved by what the ranges before hold, so that a name that a third
+    of all rows want needs no task of its own."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = staged(df.repartitionByRange(n, target, order).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy(target, "_part").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.partitionBy(target).orderBy("_part")) - F.col("_n")).drop("_n")
+    own = ranged.withColumn("_own", F.row_number().over(Window.partitionBy(target, "_part").orderBy(order)) - 1)
+    at = F.col("_own") + F.col("_before")
+    numbered = F.concat(F.regexp_replace(target, r"(\.[^./]*)$", ""), F.lit("_"), at.cast("string"), F.regexp_extract(target, r"(\.[^./]*)$", 1))
+    return own.join(before, [target, "_part"]).withColumn("dest", F.when(at == 0, F.col(target)).otherwise(numbered)).drop("_part", "_own", "_before")
 
 
 def copy_plan(source: DataFrame, present: DataFrame, key: str, order: str) -> DataFrame:

@@ -36,6 +36,32 @@ def label_clusters(clusters: DataFrame) -> DataFrame:
     return clusters.groupBy("cluster_id").agg(normalize_keyword(F.min_by("keyword", F.struct(F.length("keyword"), F.col("keyword")))).alias("label"))
 
 
+def count_clusters(clusters: DataFrame, cluster: str = "cluster_id") -> DataFrame:
+    """n_clusters: how many clusters there are, as one row."""
+    return clusters.agg(F.countDistinct(cluster).alias("n_clusters"))
+
+
+def tag_sets(tags: DataFrame, canonical: str, tag: str) -> DataFrame:
+    """canonical, tags: the sorted set of tags that each canonical one stands for."""
+    return tags.where(f"{canonical} is not null").groupBy(canonical).agg(F.array_sort(F.collect_set(tag)).alias("tags"))
+
+
+def cluster_points(embeddings: DataFrame, clusters: DataFrame, item: str) -> DataFrame:
+    """The embeddings of clustered items, in the clusters' order."""
+    return embeddings.join(clusters, item).orderBy("cluster_id", item)
+
+
+def silhouette_by_k(df: DataFrame, item: str, vector: str, ks: list[int]) -> list[tuple[int, float]]:
+    """(k, mean silhouette) of agglomerative clusterings of one bounded set of items."""
+    out = []
+    for k in ks:
+        one = staged(cluster_within(df.withColumn("_all", F.lit(0)), "_all", item, vector, clusters=k).join(df.select(item, vector), item))
+        sizes = one.groupBy("cluster_id").agg(F.count("*").alias("n"))
+        mean = silhouette(one, item, vector, "cluster_id").join(sizes, "cluster_id").agg(F.sum(F.col("silhouette") * F.col("n")) / F.sum("n")).first()[0]
+        out.append((k, mean))
+    return out
+
+
 def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance: float | None = None, linkage: str = "average") -> np.ndarray:
     """Agglomerative clustering under cosine distance (Euclidean for ward) by nearest-neighbour chains; ties go to the
     lower index.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import isbn_digits, keyword_set, normalize_keyword, title_case
+from ..functions.text import isbn_digits, keyword_set, title_case
 
 
 def metadata_lookup(files: DataFrame, meta: DataFrame, order: str, by_hash: str = "file_hash", by_name: str = "file_name", value: str = "entity") -> DataFrame:
@@ -45,13 +45,12 @@ def cache_misses(requests: DataFrame, cache: DataFrame, key: str = "cache_key")
 def through_cache(requests: DataFrame, cache_path: str, respond, key: str = "cache_key") -> DataFrame:
     """Answer requests from the cache table at cache_path; what it lacks goes through `respond` (DataFrame to key,
     response) once and is appended."""
-    spark = requests.sparkSession
-    try:
-        cache = spark.read.parquet(cache_path)
-    except Exception:
-        cache = spark.createDataFrame([], f"{key} string, response string")
+    spark, kind = requests.sparkSession, f"{key} string, response string"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache_path)
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    cache = spark.read.schema(kind).parquet(cache_path) if there else spark.createDataFrame([], kind)
     respond(cache_misses(requests, cache, key)).select(key, "response").write.mode("append").parquet(cache_path)
-    return requests.join(spark.read.schema(f"{key} string, response string").parquet(cache_path), key)
+    return requests.join(spark.read.schema(kind).parquet(cache_path), key)
 
 
 def book_entity(author: Column, title: Column, subtitle: Column, publisher: Column, canonical: Column, keywords: Column, categories: Column, description: Column, ids: Column) -> Column:
@@ -83,7 +82,3 @@ def candidates_text(candidates: Column) -> Column:
     sound = F.filter(candidates, lambda c: F.try_parse_json(c).isNotNull())
     blocks = F.transform(sound, lambda c, i: F.concat(F.lit("CANDIDATE "), (i + 1).cast("string"), F.lit(":\n"), c))
     return F.when(F.size(sound) > 0, F.array_join(blocks, "\n\n")).otherwise("No candidates provided")
-
-
-def canonical_keywords(words: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.transform(words, normalize_keyword), lambda k: k != "")))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import metadata_lines, strip_code_fences
+from ..functions.text import metadata_lines, split_authors, strip_code_fences
 from ..operators import pages as P
 from ..providers import offline  # noqa: F401  (registers the offline providers)
 from ..providers.base import PipelineConfig, ask, factory, retrying
@@ -26,6 +26,10 @@ DETAIL = INFO.replace("author string", "author array<string>") + ", subject stri
 PROMPTS = {
     "default": "Read the pages and the file's metadata. Give author, title, subtitle, publisher, keywords and a description of the book as one flat JSON object, with a confidence from 0 to 1 for author and title.",
     "ttrpg": "Read the pages and the file's metadata. The book belongs to a tabletop roleplaying game: name the game system and the kind of book among the keywords. Answer with one flat JSON object of author, title, subtitle, publisher, keywords and description, with a confidence from 0 to 1 for author and title.",
+    "flat": "Answer with one JSON object only, without nesting, comments or code fences. Its fields are author, title, subtitle, publisher, keywords, description, author_confidence and title_confidence.",
+    "ocr": "Write out the text on this page as it stands, line by line, and nothing else. An empty page has an empty answer.",
+    "keyword_system": "You name groups of keywords. Answer with one short label on one line.",
+    "keyword_user": "Give the label that fits all of these keywords best:",
     "selection": "Merge what was read from the pages with the catalogue candidates into one record. Prefer what the pages support, and leave out what no source supports.",
 }
 
@@ -131,7 +135,8 @@ def select_best(found: DataFrame, config: PipelineConfig, attempts: int = 3) ->
 def info_only(infos: DataFrame) -> DataFrame:
     """infos with `result`: the record as read, in the form that the selection gives (author as a list)."""
     r = F.col("info_reply")
-    author = F.when(r["author"].isNotNull(), F.array(r["author"]))
+    names = split_authors(r["author"])
+    author = F.when(F.size(names) > 0, names)
     rest = [r[c].alias(c) for c in ("title", "subtitle", "publisher", "keywords", "description")]
     detail = F.struct(author.alias("author"), *rest, F.lit(None).cast("string").alias("subject"), F.lit(None).cast("array<string>").alias("isbn_identifiers"))
     return infos.withColumn("result", F.when(r.isNotNull(), F.to_json(detail)))
@@ -151,11 +156,7 @@ def run_batch(docs: DataFrame, config: PipelineConfig, log: str, mode: str = "fu
     else `processed` or `failed`. Processed ones are appended to the log."""
     spark = docs.sparkSession
     signature = json.dumps({"mode": mode, "prompt": PROMPTS.get(prompt, prompt), "config": json.loads(config.to_json())}, sort_keys=True)
-    try:
-        known = run_log.read_runs(spark, log).where(F.col("pipeline_config") == signature).select("pdf_hash").distinct()
-        known.limit(1).count()
-    except Exception:  # no log yet
-        known = spark.createDataFrame([], "pdf_hash string")
+    known = run_log.read_runs(spark, log).where(F.col("pipeline_config") == signature).select("pdf_hash").distinct()
     docs = docs.dropDuplicates(["pdf_hash"])
     old = staged(docs.select("pdf_hash").join(known, "pdf_hash", "left_semi"))
     done = staged(run(docs.join(old, "pdf_hash", "left_anti"), config, mode, attempts, prompt))

@@ -12,11 +12,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.metadata import to_info
 from ..functions.text import normalize_keyword
-from ..functions.xmp import write_xmp
+from ..functions.xmp import differs, write_xmp
 from ..operators import keywords as K
 from ..operators import lookup, publishers
 from ..providers.base import ask
+from ..sources import pdf
 from ..sources.staging import staged
 
 Embed = Callable[[Column], Column]
@@ -126,6 +128,46 @@ def write_sidecars(files: DataFrame, meta: DataFrame, root: str, target: str, no
     return rows.mapInPandas(run, "path string, dest string, status string")
 
 
+def write_pdfs(content: DataFrame, files: DataFrame, meta: DataFrame, root: str, target: str, now: Column | None = None) -> DataFrame:
+    """path, dest, status of each file: a copy with info entries and XMP packet written into it, at its place below `target`.
+    content: path, content; the rest as in write_sidecars. A file whose packet says the same already is left: `unchanged`."""
+    root, target = os.path.abspath(root), os.path.abspath(target)
+    if root == target:
+        target = os.path.join(target, "__normalized__")
+    e = lookup.writer_payload(F.col("entity"))
+    packet = write_xmp({k: e[k] for k in ("title", "description", "publisher", "isbn13", "isbn10", "authors", "categories")}, now if now is not None else F.current_timestamp())
+    dest = F.replace(F.regexp_replace("path", "^file:/*", "/"), F.lit(root), F.lit(target))
+    known = lookup.metadata_lookup(files, meta, "order").select("path", dest.alias("dest"), "entity")
+    old = pdf.documents(content).select("path", F.col("xmp").alias("old"))
+    told = known.join(old, "path").select("path", "dest", F.col("entity").isNotNull().alias("known"), to_info(e).alias("info"), packet.alias("packet"), differs(F.col("old"), packet).alias("changed"))
+    due = staged(told)
+    made = pdf.embed(content.join(due.where("known and changed"), "path").select("path", "content", "info", "packet"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            status = []
+            for place, data, error in zip(frame["dest"], frame["content"], frame["error"], strict=True):
+                try:
+                    if error is not None:
+                        status.append(f"failed: {error}")
+                    elif os.path.exists(place):
+                        status.append("exists")
+                    else:
+                        os.makedirs(os.path.dirname(place), exist_ok=True)
+                        part = f"{place}.{os.getpid()}.part"
+                        with open(part, "wb") as f:
+                            f.write(data)
+                        os.replace(part, place)
+                        status.append("done")
+                except OSError as x:
+                    status.append(f"failed: {x}")
+            yield frame[["path", "dest"]].assign(status=status)
+
+    written = made.join(due.select("path", "dest"), "path").mapInPandas(run, "path string, dest string, status string")
+    rest = due.where("not known or not changed").select("path", "dest", F.when(F.col("known"), "unchanged").otherwise("no metadata").alias("status"))
+    return written.unionByName(rest)
+
+
 def failures(statuses: DataFrame, path: str) -> None:
     """The log of what failed: one line a file, anew for each job."""
     statuses.where(F.col("status").startswith("failed")).select(F.concat_ws("\t", "path", "status")).write.mode("overwrite").text(path)

@@ -18,22 +18,68 @@ def members(files: DataFrame) -> DataFrame:
 
         import pandas as pd
 
+        def inside(name: str) -> str:
+            """The member's path below the folder; one that leads out of it is an error."""
+            parts = [p for p in name.replace("\\", "/").split("/") if p not in ("", ".")]
+            if ".." in parts or name.startswith("/"):
+                raise ValueError(f"unsafe member name: {name}")
+            return "/".join(parts)
+
+        def opened(path: str, content: bytes):
+            if path.lower().endswith(".zip"):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for n in z.namelist():
+                        if not n.endswith("/"):
+                            yield n, z.read(n)
+            elif path.lower().endswith(".7z"):
+                raise ValueError("7z archives aren't supported")
+            else:
+                with tarfile.open(fileobj=io.BytesIO(content)) as t:
+                    for m in t:
+                        if m.isfile():
+                            yield m.name, t.extractfile(m).read()
+
+        names = ["archive", "member", "dest", "content", "error"]
         for pdf in batches:
-            rows = []
             for path, dest, content in zip(pdf["path"], pdf["dest"], pdf["content"], strict=True):
                 try:
-                    if path.lower().endswith(".zip"):
-                        with zipfile.ZipFile(io.BytesIO(content)) as z:
-                            rows += [(path, n, f"{dest}/{n}", z.read(n), None) for n in z.namelist() if not n.endswith("/")]
-                    elif path.lower().endswith(".7z"):
-                        raise ValueError("7z archives aren't supported")
-                    else:
-                        with tarfile.open(fileobj=io.BytesIO(content)) as t:
-                            rows += [(path, m.name, f"{dest}/{m.name}", t.extractfile(m).read(), None) for m in t.getmembers() if m.isfile()]
+                    for name, data in opened(path, content):  # one member is held at a time
+                        try:
+                            row = (path, name, f"{dest}/{inside(name)}", data, None)
+                        except ValueError as e:
+                            row = (path, name, None, None, f"{type(e).__name__}: {e}")
+                        yield pd.DataFrame([row], columns=names)
                 except Exception as e:  # any fault of the file is its own
-                    rows.append((path, None, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["archive", "member", "dest", "content", "error"])
+                    yield pd.DataFrame([(path, None, None, None, f"{type(e).__name__}: {e}")], columns=names)
 
     name = file_name(F.col("path"))
     rows = files.where(F.col("path").rlike(ARCHIVE)).select("path", F.concat(F.regexp_replace("path", r"[^/]*$", ""), archive_stem(name)).alias("dest"), "content")
     return rows.mapInPandas(run, "archive string, member string, dest string, content binary, error string")
+
+
+def expand(found: DataFrame) -> DataFrame:
+    """archive, member, dest, status: the members written beside their archives, over what is there. A file is put in place by a
+    rename, so that a task that is repeated does no harm."""
+
+    def run(batches):
+        import os
+
+        for pdf in batches:
+            status = []
+            for dest, content, error in zip(pdf["dest"], pdf["content"], pdf["error"], strict=True):
+                try:
+                    if error is not None:
+                        status.append(f"failed: {error}")
+                        continue
+                    path = dest.removeprefix("file:")
+                    os.makedirs(os.path.dirname(path), exist_ok=True)
+                    part = f"{path}.{os.getpid()}.part"
+                    with open(part, "wb") as f:
+                        f.write(content)
+                    os.replace(part, path)
+                    status.append("done")
+                except OSError as e:
+                    status.append(f"failed: {e}")
+            yield pdf[["archive", "member", "dest"]].assign(status=status)
+
+    return found.mapInPandas(run, "archive string, member string, dest string, status string")

@@ -54,9 +54,30 @@ def looks_valid(content: Column) -> Column:
     return (F.substring(content, 1, 5) == F.lit(b"%PDF-")) & F.contains(tail, F.lit(b"%%EOF"))
 
 
-def move_files(plan: DataFrame, source: str = "path", dest: str = "dest", copy: bool = False, dry_run: bool = False) -> DataFrame:
+def remove_files(plan: DataFrame, path: str = "path", dry_run: bool = False) -> DataFrame:
+    """path, status of each file; one that is gone already is done."""
+
+    def run(batches):
+        for pdf in batches:
+            status = []
+            for p in pdf[path]:
+                try:
+                    if not dry_run:
+                        os.remove(p.removeprefix("file:"))
+                    status.append("planned" if dry_run else "done")
+                except FileNotFoundError:
+                    status.append("done")
+                except OSError as e:
+                    status.append(f"failed: {e}")
+            yield pdf[[path]].assign(status=status)
+
+    return plan.select(path).mapInPandas(run, f"{path} string, status string")
+
+
+def move_files(plan: DataFrame, source: str = "path", dest: str = "dest", copy: bool = False, dry_run: bool = False, overwrite: bool = True) -> DataFrame:
     """source, dest, status of each planned move: done, planned, or failed with the reason. Runs where the files are
-    mounted; a move that was made before counts as done, so a repeated task does no harm."""
+    mounted; a move that was made before counts as done, so a repeated task does no harm. Without overwrite, a file that is
+    there stays: `exists`."""
 
     def run(batches):
         import shutil
@@ -69,6 +90,9 @@ def move_files(plan: DataFrame, source: str = "path", dest: str = "dest", copy:
                     if dry_run:
                         status.append("planned")
                         continue
+                    if not overwrite and os.path.exists(b) and os.path.exists(a):
+                        status.append("exists")
+                        continue
                     if not (os.path.exists(b) and not os.path.exists(a)):
                         os.makedirs(os.path.dirname(b), exist_ok=True)
                         (shutil.copy2 if copy else shutil.move)(a, b)

@@ -25,7 +25,10 @@ def append_runs(runs: DataFrame, path: str) -> bool:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """All runs; columns that older files lack are null."""
+    """All runs; columns that older files lack are null, and a log that isn't there yet has none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], RUN + ", run_date date")
     return spark.read.schema(RUN + ", run_date date").option("mergeSchema", True).parquet(path)
 
 
