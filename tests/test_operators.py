@@ -198,3 +198,20 @@ def test_greedy_groups_long_chain(spark):
     pairs = spark.createDataFrame([(name(i), name(i + 1)) for i in range(n - 1)], "a string, b string").coalesce(1)
     got = {r["norm"]: r["seed"] for r in publishers.greedy_groups(names, pairs).collect()}
     assert got == {name(i): name(i if i % 2 else i + 1) for i in range(n)}
+
+
+@pytest.mark.parametrize("threshold", [40.0, 75.0, 90.0])
+def test_fuzzy_pairs_of_many_lengths(spark, threshold):
+    """Lengths from one letter on, repeated letters, prefixes, and names at the edge of a band, at shares on both sides of a half."""
+    rng = np.random.default_rng(5)
+    norms = sorted({"".join(rng.choice(list("aabc d"), rng.choice((1, 2, 3, 5, 9, 15, 25)))).strip() for _ in range(60)} - {""})
+    got = publishers.fuzzy_pairs(spark.createDataFrame([(n,) for n in norms], "norm string"), threshold).collect()
+    assert len(got) == len({(r["a"], r["b"]) for r in got})
+    assert {(r["a"], r["b"]) for r in got} == brute_pairs(norms, threshold)
+
+
+def test_apply_canonical(spark):
+    rows = spark.createDataFrame([(1, ["Sci-Fi", "scifi", None, "..."]), (2, ["Noise", "War"]), (3, []), (4, None)], "id int, words array<string>")
+    mapping = spark.createDataFrame([("scifi", "science fiction"), ("noise", "")], "keyword string, label string")
+    got = {r["id"]: r["canonical"] for r in keywords.apply_canonical(rows, "id", "words", mapping).collect()}
+    assert got == {1: ["science fiction"], 2: ["war"]}

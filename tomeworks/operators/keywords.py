@@ -22,12 +22,18 @@ def keyword_counts(docs: DataFrame, keywords: Column, key: Column) -> DataFrame:
     return rows.select(F.explode(own).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n_docs"))
 
 
+def distinct_words(rows: DataFrame, words: str) -> DataFrame:
+    """raw, keyword: each different raw word with its normalised form."""
+    return rows.select(F.explode(words).alias("raw")).distinct().withColumn("keyword", normalize_keyword(F.col("raw")))
+
+
 def apply_canonical(rows: DataFrame, key: str, words: str, mapping: DataFrame) -> DataFrame:
     """key, canonical: sorted distinct canonical keywords of each row; keywords without a label stay, empty labels go.
 
-    mapping: keyword, label. A row's keywords are looked up by a join on the keyword."""
-    long = rows.select(key, F.explode(words).alias("raw")).withColumn("keyword", normalize_keyword(F.col("raw")))
-    got = long.join(mapping, "keyword", "left").select(key, F.coalesce("label", "keyword").alias("word")).where("word <> ''")
+    mapping: keyword, label. Each different raw word is normalised and labelled once; rows meet the result by a join on the
+    raw word."""
+    labels = distinct_words(rows, words).join(mapping, "keyword", "left").select("raw", F.coalesce("label", "keyword").alias("word")).where("word <> ''")
+    got = rows.select(key, F.explode(words).alias("raw")).join(labels, "raw")
     return got.groupBy(key).agg(F.array_sort(F.collect_set("word")).alias("canonical"))
 
 

@@ -20,27 +20,36 @@ def publisher_names(df: DataFrame, column: str, order: str) -> DataFrame:
 def fuzzy_pairs(names: DataFrame, threshold: float = 75.0) -> DataFrame:
     """a, b, ratio of distinct normalised names that match: ratio of at least the threshold, or one begins with the other.
 
-    Instead of comparing all with all, names meet over keys that every match shares: names whose lengths allow a match (the
-    shorter has at least t / (200 - t) of the longer one's length) by their rarest letters, prefix matches by the shorter name."""
+    Instead of comparing all with all, names meet over keys that every match shares: prefix matches by the shorter name, others
+    by pairs of their rarest letters within a band of lengths, where the shorter has at least t / (200 - t) of the longer one's."""
     norms = names.select("norm").distinct().where("norm <> ''")
     a, b = norms.select(F.col("norm").alias("a")), norms.select(F.col("norm").alias("b"))
     # prefix branch: a is one of the prefixes of b
     cut = b.withColumn("a", F.explode(F.expr("transform(sequence(1, length(b)), n -> substring(b, 1, n))")))
     prefix = cut.join(a, "a").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    # ratio branch: a match shares 0.6 (at 75 percent) of the letters of either name, counted with repeats, so the
-    # first n - ceil(0.6 n) + 1 of them, rarest first, hold a common one
+    # ratio branch: a match shares 0.6 (at 75 percent) of the letters of either name, counted with repeats. The k-th rarest of
+    # the shared ones is among the first n - ceil(0.6 n) + k of either, so both hold the same k of those. With a share above a
+    # half every name of two letters shares two; one of one letter matches none but itself.
     share = threshold / (200.0 - threshold)
+    k = 2 if share > 0.5 else 1
     letters = F.expr("transform(sequence(1, length(norm)), i -> concat(substring(norm, i, 1), size(filter(sequence(1, i), j -> substring(norm, j, 1) = substring(norm, i, 1)))))")
     keyed = norms.select("norm", F.explode(letters).alias("c"))
     ranked = keyed.join(keyed.groupBy("c").agg(F.count("*").alias("df")), "c")
-    grouped = ranked.groupBy("norm").agg(F.array_sort(F.collect_list(F.struct("df", "c"))).alias("cs"))
-    first = F.length("norm") - F.ceil(F.lit(share) * F.length("norm") - 1e-9).cast("int") + 1
-    keys = grouped.select("norm", F.explode(F.transform(F.slice("cs", 1, first), lambda s: s["c"])).alias("c"))
-    pairs = keys.select(F.col("norm").alias("a"), "c").join(keys.select(F.col("norm").alias("b"), "c"), "c")
-    pairs = pairs.where((F.col("a") < F.col("b")) & (F.least(F.length("a"), F.length("b")) >= F.lit(share) * F.greatest(F.length("a"), F.length("b")))).select("a", "b").distinct()
+    grouped = ranked.groupBy("norm").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "c"))), lambda s: s["c"]).alias("cs"))
+    first = F.slice("cs", 1, F.length("norm") - F.ceil(F.lit(share) * F.length("norm") - 1e-9).cast("int") + k)
+    if k == 2:
+        first = F.flatten(F.transform(first, lambda c, i: F.transform(F.slice(first, i + 2, F.size("cs")), lambda d: F.concat(c, F.lit("\t"), d))))
+    band = F.floor(F.log(F.length("norm")) / F.log(F.lit(1 / share)) + 1e-9) if share < 1 else F.length("norm")
+    keys = staged(grouped.select("norm", "cs", band.alias("band"), F.explode(first).alias("key")))
+    left = keys.select(F.col("norm").alias("a"), F.col("cs").alias("ca"), "key", "band")
+    right = keys.select(F.col("norm").alias("b"), F.col("cs").alias("cb"), "key", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"))
+    both = F.length("a") + F.length("b")
+    near = (F.col("a") < F.col("b")) & (F.least(F.length("a"), F.length("b")) >= F.lit(share) * F.greatest(F.length("a"), F.length("b")))
+    common = F.size(F.array_intersect("ca", "cb")) >= F.lit(threshold / 200) * both - 1e-9
+    pairs = left.join(right, ["key", "band"]).where(near & common).select("a", "b").distinct()
     ratio = pairs.withColumn("ratio", indel_ratio(F.col("a"), F.col("b"))).where(F.col("ratio") >= threshold)
-    both = ratio.select("a", "b").unionByName(prefix.select("a", "b")).distinct()
-    return both.withColumn("ratio", F.round(indel_ratio(F.col("a"), F.col("b")), 4))
+    begun = prefix.distinct().withColumn("ratio", indel_ratio(F.col("a"), F.col("b")))
+    return ratio.unionByName(begun).dropDuplicates(["a", "b"]).withColumn("ratio", F.round("ratio", 4))
 
 
 def greedy_groups(names: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -266,7 +266,19 @@ def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publishers.fuzzy_pairs(_publisher_rows(spark, sf_dir))
 
 
-@query()
+#: Names in order of appearance: each joins the first seed that it matches, or becomes one.
+_S_GREEDY = """
+, o AS (SELECT n.norm, row_number() OVER (ORDER BY pos, n.norm) AS k, coalesce(near, []::VARCHAR[]) AS near
+  FROM n LEFT JOIN (SELECT x AS norm, list(y) AS near FROM (SELECT a AS x, b AS y FROM m WHERE ok UNION ALL SELECT b, a FROM m WHERE ok) GROUP BY x) USING (norm)),
+g AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS seeds, NULL::VARCHAR AS norm, NULL::VARCHAR AS seed
+  UNION ALL SELECT k, CASE WHEN found IS NULL THEN list_append(seeds, norm) ELSE seeds END, norm, coalesce(found, norm)
+  FROM (SELECT o.k, g.seeds, o.norm, list_filter(g.seeds, lambda s: list_contains(o.near, s))[1] AS found FROM g JOIN o ON o.k = g.k + 1)),
+"""
+_S_ALL = f"w AS (SELECT name, seed FROM (SELECT DISTINCT p_name AS name, {s_publisher('p_name')} AS norm FROM part WHERE trim(p_name) <> '') JOIN g USING (norm))"
+
+
+@query(_S_RATIO + _S_GREEDY + _S_ALL + """
+SELECT name, canonical FROM w JOIN (SELECT seed, arg_min(name, (length(name), name)) AS canonical FROM w GROUP BY seed) USING (seed)""")
 def canonical_publisher(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = staged(_publisher_rows(spark, sf_dir))
     return publishers.canonical_names(publishers.greedy_groups(names, publishers.fuzzy_pairs(names)))
@@ -280,7 +292,7 @@ m AS (SELECT k.doc_id, coalesce(l.label, k.keyword) AS word FROM k LEFT JOIN c O
 SELECT doc_id, count(DISTINCT word) AS n, md5(string_agg(DISTINCT word, '|' ORDER BY word)) AS canonical FROM m WHERE word <> '' GROUP BY doc_id""")
 def keyword_canonicalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split("text", r"\s+")).alias("words"))
-    words = rows.select(F.explode("words").alias("raw")).distinct().select(X.normalize_keyword(F.col("raw")).alias("keyword")).distinct().where("length(keyword) >= 3")
+    words = keywords.distinct_words(rows, "words").select("keyword").distinct().where("length(keyword) >= 3")
     clusters = words.select("keyword", F.substring("keyword", 1, 3).alias("cluster_id"))
     mapping = clusters.join(keywords.label_clusters(clusters), "cluster_id").select("keyword", "label")
     out = keywords.apply_canonical(rows, "doc_id", "words", mapping)

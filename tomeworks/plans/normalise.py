@@ -26,8 +26,7 @@ Embed = Callable[[Column], Column]
 
 def distinct_keywords(rows: DataFrame, words: str = "keywords") -> DataFrame:
     """keyword: all normalised keywords of the rows, each once, without blank ones."""
-    raw = rows.select(F.explode(words).alias("raw")).distinct()
-    return raw.select(normalize_keyword(F.col("raw")).alias("keyword")).where("keyword <> ''").distinct()
+    return K.distinct_words(rows, words).select("keyword").where("keyword <> ''").distinct()
 
 
 def cells(vectors: DataFrame, n: int, most: int, seed: int = 7, item: str = "keyword") -> DataFrame:
