@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import zlib
+from itertools import combinations_with_replacement, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -126,14 +127,23 @@ def test_op1_one_id_of_two_texts(spark):
 
 def test_op2(docs, empty):
     assert sharding.cuts(np.array([5, 5, 5, 5]), 2) == [2]
-    for seed in range(20):
+    for seed in range(60):
         rng = np.random.default_rng(seed)
-        sizes, k = rng.integers(1, 30, rng.integers(1, 12)), int(rng.integers(2, 5))
-        best = min(c for c in range(1, int(sizes.sum()) + 1) if sharding.feasible(np.concatenate(([0], np.cumsum(sizes))), c, k))
-        assert sharding.least_capacity(sizes, k) == best
-        at = [0, *sharding.cuts(sizes, k), len(sizes)]
+        n, k = int(rng.integers(1, 12)), int(rng.integers(2, 5))
+        sizes = rng.integers(1, 30, n)
+        sizes[rng.integers(n)] += seed % 3 * 60  # a hot group
+        cells = np.sort(rng.choice(1000, n, replace=False))
+        order, hot = sharding.ordered(cells, sizes, k)
+        s = sizes[order]
+        # every way to cut the order into k contiguous shards
+        best = min(max(s[a:b].sum() for a, b in pairwise((0, *at, n))) for at in combinations_with_replacement(range(n + 1), k - 1))
+        assert sharding.least_capacity(s, k) == best
+        at = [0, *sharding.cuts(s, k), n]
         assert at == sorted(at)
-        assert max(sizes[a:b].sum() for a, b in zip(at, at[1:], strict=False)) <= best
+        assert max(s[a:b].sum() for a, b in pairwise(at)) == best
+        own, first, starts = sharding.plan(cells, sizes, k)
+        shard = [dict(own).get(int(c), first + sum(x <= c for x in starts)) for c in cells[order]]
+        assert shard == [sum(x <= i for x in at[1:-1]) for i in range(n)]
     got = sharding.shard_by_bytes(docs, 7).toPandas()
     rows = docs.toPandas()
     assert len(got) == len(rows)

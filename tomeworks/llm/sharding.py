@@ -1,12 +1,10 @@
 """Shards of near equal bytes by a minimax contiguous partition.
 
 Atomic groups are never split. Equal texts fall into one of 65,536 cells by the first bits of their MD5 digest, so
-that a cell holds whole groups of copies and the driver sees at most 65,536 sizes whatever the input. Over the
-cells in order of their number:
-
-* a cell larger than an even share of what is left gets a shard of its own (a hot group of copies);
-* for the rest, the smallest capacity is found by binary search, where a greedy pass tells whether the shards
-  suffice; the cuts are then made as near to even shares as that capacity and the shards behind allow.
+that a cell holds whole groups of copies and the driver sees at most 65,536 sizes whatever the input. The cells have an
+order: those larger than an even share (hot groups of copies) come first, by falling size, the others follow by their number.
+Shards are contiguous in that order: the smallest capacity is found by binary search, where a greedy pass tells
+whether the shards suffice, and each cut is made as near to an even share as the capacity of what is left allows.
 
 Slots number the rows of a shard without gaps: rows are counted by shard and by 256 buckets of doc_id, numbered
 within a bucket and moved by the bucket's offset, so that no task holds a whole shard.
@@ -51,40 +49,49 @@ def least_capacity(sizes: np.ndarray, shards: int) -> int:
 
 
 def cuts(sizes: np.ndarray, shards: int) -> list[int]:
-    """Where shards 1, 2, ... begin: no shard is above the least capacity, each as near to an even share as that allows."""
+    """Where shards 1, 2, ... begin. Each shard is as near to an even share of what is left as the least capacity of what is
+    left allows, so no shard is above the least capacity, nor is any later one above that of its own rest."""
     n = len(sizes)
     if not n or shards < 2:
         return []
-    cap = least_capacity(sizes, shards)
     prefix = np.concatenate(([0], np.cumsum(sizes)))
-    back = [n]  # back[r]: from here on, r shards suffice
-    for _ in range(shards - 1):
-        back.append(int(np.searchsorted(prefix, prefix[back[-1]] - cap, side="left")))
     out, at = [], 0
     for left in range(shards - 1, 0, -1):
+        if at == n:
+            out.append(n)
+            continue
+        cap = least_capacity(sizes[at:], left + 1)
+        back = n  # from here on, `left` shards suffice
+        for _ in range(left):
+            back = int(np.searchsorted(prefix, prefix[back] - cap, side="left"))
         share = prefix[at] + (prefix[-1] - prefix[at]) / (left + 1)
         far = int(np.searchsorted(prefix, prefix[at] + cap, side="right")) - 1
         p = int(np.searchsorted(prefix, share))
-        if p > 0 and share - prefix[p - 1] <= prefix[min(p, n)] - share:
+        if share - prefix[p - 1] <= prefix[p] - share:
             p -= 1
-        at = min(max(p, back[left], at), far)
+        at = min(max(p, back, at + 1), far)
         out.append(at)
     return out
 
 
-def plan(cells: np.ndarray, sizes: np.ndarray, shards: int) -> tuple[list[int], list[int]]:
-    """Cells with a shard of their own (shards 0, 1, ...), and the first cells of the shards after the first of the others."""
-    alone: list[int] = []
+def ordered(cells: np.ndarray, sizes: np.ndarray, shards: int) -> tuple[np.ndarray, int]:
+    """The order of the groups, and how many of them come first for being larger than an even share of what is left (by
+    falling size); the others follow by number."""
     order = np.argsort(-sizes, kind="stable")
-    rest, k = int(sizes.sum()), 0
-    while k < len(order) and shards - len(alone) > 1 and int(sizes[order[k]]) * (shards - len(alone)) > rest:
-        alone.append(int(cells[order[k]]))
-        rest -= int(sizes[order[k]])
-        k += 1
-    other = ~np.isin(cells, alone)
-    c = cells[other]
-    starts = cuts(sizes[other], shards - len(alone))
-    return alone, [int(c[p]) if p < len(c) else CELLS for p in starts]
+    rest, hot = int(sizes.sum()), 0
+    while hot < len(order) and shards - hot > 1 and int(sizes[order[hot]]) * (shards - hot) > rest:
+        rest -= int(sizes[order[hot]])
+        hot += 1
+    others = np.setdiff1d(np.arange(len(cells)), order[:hot])
+    return np.concatenate((order[:hot], others[np.argsort(cells[others], kind="stable")])), hot
+
+
+def plan(cells: np.ndarray, sizes: np.ndarray, shards: int) -> tuple[list[tuple[int, int]], int, list[int]]:
+    """(cell, shard) of the hot cells, the shard of the first other cell, and the cells at which further shards begin."""
+    order, hot = ordered(cells, sizes, shards)
+    starts = cuts(sizes[order], shards)
+    own = [(int(cells[order[k]]), sum(s <= k for s in starts)) for k in range(hot)]
+    return own, sum(s <= hot for s in starts), [int(cells[order[s]]) if s < len(order) else CELLS for s in starts if s > hot]
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -100,11 +107,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", te
         )
     )
     got = base.groupBy("cell").agg(F.sum("size").alias("size")).orderBy("cell").toArrow()  # at most CELLS rows
-    alone, starts = plan(got["cell"].to_numpy().astype(np.int64), got["size"].to_numpy().astype(np.int64), shards)
-    shard = F.lit(len(alone))
+    hot, first, starts = plan(got["cell"].to_numpy().astype(np.int64), got["size"].to_numpy().astype(np.int64), shards)
+    shard = F.lit(first)
     if starts:
         shard = shard + F.size(F.filter(F.array(*[F.lit(s) for s in starts]), lambda s: s <= F.col("cell")))
-    for k, c in enumerate(alone):
+    for c, k in hot:
         shard = F.when(F.col("cell") == c, k).otherwise(shard)
     placed = base.withColumn("shard", shard.cast("int")).withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int"))
     sizes = placed.groupBy("shard", "bucket").count().toArrow().to_pylist()  # at most shards * BUCKETS rows
