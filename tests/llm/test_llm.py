@@ -463,18 +463,19 @@ def test_op8_tree(spark):
     assert any(x["template"].startswith("/bad/x/deep/*/") for x in got.values())
 
 
-@pytest.mark.parametrize(("pivots", "block"), [(1024, 4096), (9, 5)])
-def test_op9(spark, monkeypatch, pivots, block):
+@pytest.mark.parametrize(("per_pivot", "block", "at_once"), [(10, 4096, 1 << 20), (1, 5, 7)])
+def test_op9(spark, monkeypatch, per_pivot, block, at_once):
     rng = np.random.default_rng(4)
-    monkeypatch.setattr(embed_dedup, "PER_PIVOT", 10)
+    monkeypatch.setattr(embed_dedup, "PER_PIVOT", per_pivot)
     monkeypatch.setattr(embed_dedup, "BLOCK", block)
+    monkeypatch.setattr(embed_dedup, "AT_ONCE", at_once)
     x = rng.normal(size=(150, 8))
     x[50:100] = x[:50] + rng.normal(0, 0.08, (50, 8))
     x[100:110] = x[0]
     rows = [(i, [float(v) for v in r], int(i % 2 if i < 50 else (i - 50) % 2)) for i, r in enumerate(x.astype(np.float32))]
     odd = [(900, None, 1), (901, [0.0] * 8, 1), (902, [float("nan")] * 8, 1), (903, [None, 1.0], 1), (904, [1.0] * 8, None), (905, [1.0, float("inf")], 1), (906, [], 1), (907, [1.0, 2.0], 1), (None, [1.0] * 8, 1)]
     df = spark.createDataFrame(rows + odd + [rows[3]], "vec_id long, embedding array<float>, label int").withColumns({"cell": F.lit(1), "rep": F.lit(2)})
-    got = embed_dedup.embedding_near_duplicates(df, max_pivots=pivots).toPandas()
+    got = embed_dedup.embedding_near_duplicates(df).toPandas()
     assert len(got) == len(rows) + len(odd) + 1
     all_rows = [*rows, rows[3]]
     u = np.array([r[1] for r in all_rows], np.float64)

@@ -7,9 +7,10 @@ and each pair meets in exactly one cell, that of the lower home. Cells join inde
 of many vectors is cut into blocks, and each pair of blocks is a task of bounded size.
 
 Equal vectors of a label are collapsed first and take part once, with their multiplicity. Pivots are the vectors of
-lowest hash, one for each PER_PIVOT distinct vectors and PIVOTS at most: in many dimensions most pivots are about as far
-from a vector as each other, so more of them means more replicas. They only steer the partition, every vector is
-compared with all it may link with.
+lowest hash: of n distinct vectors one for each PER_PIVOT, and beyond PER_PIVOT squared the root of n, where finding the
+nearest pivots and comparing within cells grow alike. In many dimensions most pivots are about as far from a vector as each
+other, so more of them means more replicas. They are broadcast, PIVOT_BYTES of each length at most, and only steer the
+partition: every vector is compared with all it may link with.
 
 Defined results: a vector with null label, null itself, empty, of zero norm, or with null, NaN or infinite
 components links with nothing; vectors of different length don't link; null vec_id: no links, null component, kept.
@@ -31,8 +32,9 @@ from .base import stash
 from .components import components
 from .kernels import labels
 
-#: Pivots at most, distinct vectors for each of them, vectors in a block, and what rounding may add to a distance.
-PIVOTS, PER_PIVOT, BLOCK, SLACK = 1024, 2048, 4096, 1e-7
+#: Distinct vectors for each pivot, bytes of the pivots of one length, distances held at once, vectors in a block, and what
+#: rounding may add to a distance.
+PER_PIVOT, PIVOT_BYTES, AT_ONCE, BLOCK, SLACK = 2048, 1 << 25, 1 << 20, 4096, 1e-7
 #: Vector lengths that have pivots of their own, the most common ones; the vectors of any other length are one cell.
 LENGTHS = 64
 OUT = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
@@ -56,19 +58,20 @@ def _place(pivots, radius: float):
             for d in np.unique(size):
                 own = np.flatnonzero(size == d)
                 p = by_size.get(int(d), np.eye(1, int(d)))
-                x = np.stack([unit[i] for i in own])
-                dist = np.sqrt(np.maximum(0, 2 - 2 * (x @ p.T)))
-                near = dist.argmin(axis=1)
-                least = dist[np.arange(len(own)), near]
-                gap = np.sqrt(np.maximum(0, 2 - 2 * (p @ p.T)))[near]
-                reach = dist - least[:, None] <= 2 * radius + SLACK
-                reach &= (dist**2 - least[:, None] ** 2) <= 2 * gap * (radius + SLACK) + SLACK
-                reach &= np.arange(len(p))[None, :] <= near[:, None]
-                reach[np.arange(len(own)), near] = True
-                i, c = np.nonzero(reach)
-                row.append(own[i])
-                cell.append(c)
-                home.append(near[i] == c)
+                for some in np.array_split(own, min(len(own), -(-len(own) * len(p) // AT_ONCE))):
+                    x = np.stack([unit[i] for i in some])
+                    dist = np.sqrt(np.maximum(0, 2 - 2 * (x @ p.T)))
+                    near = dist.argmin(axis=1)
+                    least = dist[np.arange(len(some)), near]
+                    gap = np.sqrt(np.maximum(0, 2 - 2 * (p[near] @ p.T)))
+                    reach = dist - least[:, None] <= 2 * radius + SLACK
+                    reach &= (dist**2 - least[:, None] ** 2) <= 2 * gap * (radius + SLACK) + SLACK
+                    reach &= np.arange(len(p))[None, :] <= near[:, None]
+                    reach[np.arange(len(some)), near] = True
+                    i, c = np.nonzero(reach)
+                    row.append(some[i])
+                    cell.append(c)
+                    home.append(near[i] == c)
             if not row:
                 continue
             row, cell, home = np.concatenate(row), np.concatenate(cell), np.concatenate(home)
@@ -106,7 +109,7 @@ def _join(cosine: float):
     return run
 
 
-def embedding_near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", max_pivots: int = PIVOTS) -> DataFrame:
+def embedding_near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept; see the module's text."""
     spark = vectors.sparkSession
     radius = math.sqrt(max(0.0, 2 - 2 * cosine))
@@ -121,11 +124,11 @@ def embedding_near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col:
     node = F.when(F.col("own").isNull() | (F.col("own") == F.col("hash")), F.col("least")).otherwise(F.col("hash"))
     same = stash(same.join(shared, "least", "left").withColumn("rep", node).drop("own", "sets", "hash"))
     n = same.count()
-    top = min(max_pivots, max(1, n // PER_PIVOT))
+    top = max(1, min(n // PER_PIVOT, math.isqrt(n)))
     pivots: dict[int, np.ndarray] = {}
     sizes = [r["d"] for r in same.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(LENGTHS).collect()]
     for d in sizes:
-        got = same.where(F.size("embedding") == d).select("embedding", F.xxhash64("embedding").alias("h")).orderBy("h").limit(top).toArrow()
+        got = same.where(F.size("embedding") == d).select("embedding", F.xxhash64("embedding").alias("h")).orderBy("h").limit(max(1, min(top, PIVOT_BYTES // (8 * d)))).toArrow()
         pivots[d] = np.stack(_unit(got["embedding"].combine_chunks()))
     cells = same.mapInArrow(_place(spark.sparkContext.broadcast(pivots), radius), "rep long, mult long, label " + same.schema["label"].dataType.simpleString() + ", embedding array<double>, size int, cell int, home boolean")
     cells = stash(cells)
