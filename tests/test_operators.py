@@ -215,3 +215,14 @@ def test_apply_canonical(spark):
     mapping = spark.createDataFrame([("scifi", "science fiction"), ("noise", "")], "keyword string, label string")
     got = {r["id"]: r["canonical"] for r in keywords.apply_canonical(rows, "id", "words", mapping).collect()}
     assert got == {1: ["science fiction"], 2: ["war"]}
+
+
+def test_cluster_map_blocks(spark, tmp_path):
+    from tomeworks.plans import catalog
+
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(0, 0.05, 4) + np.eye(4)[i % 2]], 7 if i < 900 else None) for i in range(930)]
+    spark.createDataFrame([*rows, (1000, None, 7)], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = catalog.QUERIES["cluster_map"](spark, str(tmp_path)).toPandas()
+    assert sorted(got.vec_id) == list(range(930))
+    assert got.groupby("block").size().to_dict() == {"7-0": 900, "none-0": 30}

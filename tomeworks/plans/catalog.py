@@ -557,15 +557,10 @@ def normalise_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cluster_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layout and density clusters of each label's vectors; those without a label are laid out together."""
     e = t(spark, sf_dir, "embeddings").where("embedding is not null")
-    return projection.cluster_map(_blocks(e), "block", "vec_id", "embedding", min_cluster_size=10)
-
-
-def _blocks(e: DataFrame, most: int = 400) -> DataFrame:
-    """A label's vectors in blocks of about `most` by hash; those without a label are parted likewise."""
-    sizes = e.groupBy("label").agg(F.ceil(F.count("*") / most).alias("parts"))
-    got = e.join(sizes.withColumnRenamed("label", "_l"), F.col("label").eqNullSafe(F.col("_l")))
-    return got.withColumn("block", F.concat_ws("-", F.coalesce(F.col("label").cast("string"), F.lit("none")), F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("string")))
+    e = e.withColumn("label", F.coalesce(F.col("label").cast("string"), F.lit("none")))
+    return projection.cluster_map(_cells(e, 1, 2048), "block", "vec_id", "embedding", min_cluster_size=10)
 
 
 def _cells(e: DataFrame, clusters: int, most: int = 4096) -> DataFrame:
