@@ -4,7 +4,8 @@ Candidates are found in flat byte arrays: words that hold a digit, an assignment
 value and freed from the punctuation around them; the parts of words of any length, between quotes, commas, brackets, &, ;, ?, =, :, @ and
 non-ASCII characters (and between slashes in urls), are candidates too, and what holds another one is preferred to it. A forest trained from labelled findings judges each by its length,
 its character transitions (classes, and log probability of letter pairs against dictionary words), how much of it dictionary words cover,
-the path it comes from, and the words beside it. The dictionary is learned from all documents: the words that occur most, with their
+the path it comes from, and the words beside it (three before and two after, of which the nearest 200 characters count on each
+side, whatever the text). The dictionary is learned from all documents: the words that occur most, with their
 numbers, in a distributed count of which a bounded number is kept.
 
 The labelled findings are made by a fixed rule (`labelled_findings`): keys, tokens and passwords in the formats in
