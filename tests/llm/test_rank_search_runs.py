@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import uuid
 import zlib
 from array import array
 
@@ -153,10 +154,11 @@ def test_op12(spark, monkeypatch, block, span, segment, words):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(clash()).repartition(3)
     items = spark.createDataFrame(queries, "item_id long, text string").withColumns(clash("item_id"))
     want_of = list(dict.fromkeys(queries))
-    index = lexical_search.build_index(docs, f"{lexical_search.shared_dir(spark)}/test-{block}-{span}")
+    index = lexical_search.build_index(docs, f"{lexical_search.shared_dir(spark)}/test-{uuid.uuid4().hex}")
     for k in (3, 50):
         got = lexical_search.search(index, items, k, block_words=words).collect()
         assert sorted(map(tuple, got), key=str) == plain_ranking(rows, want_of, k)
+    lexical_search.discard(index)
     assert lexical_search.rank_documents(docs.where("false"), items).count() == 0
     assert lexical_search.rank_documents(docs, items.where("false")).count() == 0
 
