@@ -226,3 +226,56 @@ def test_cluster_map_blocks(spark, tmp_path):
     got = catalog.QUERIES["cluster_map"](spark, str(tmp_path)).toPandas()
     assert sorted(got.vec_id) == list(range(930))
     assert got.groupby("block").size().to_dict() == {"7-0": 900, "none-0": 30}
+
+
+def test_free_names_among_taken(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, f"d/n{rng.integers(4)}.pdf") for i in range(60)] + [(100, "d/n1_2.pdf"), (101, "plain"), (102, "plain"), (103, "d/n2_7.pdf")]
+    taken = ["d/n0.pdf", "d/n1_1.pdf", "d/n1_5.pdf", "d/n1_1_1.pdf", "e/n0_1.pdf", "plain_1", "d/n2_01.pdf", *(f"d/n3_{k}.pdf" for k in range(1, 9))]
+    got = dedupe.free_names(spark.createDataFrame(rows, "id int, target string"), "target", "id", spark.createDataFrame([(p,) for p in taken], "path string"))
+    used, want = set(taken) | {t for _, t in rows}, {}
+    first = {}
+    for i, t in rows:  # one after the other, names that others want as they are aside
+        stem, dot, ext = t.rpartition(".") if "." in t else (t, "", "")
+        name, k = t, 0
+        while name in used and not (k == 0 and t not in taken and first.setdefault(t, i) == i):
+            k += 1
+            name = f"{stem}_{k}{dot}{ext}"
+        used.add(name)
+        want[i] = name
+    assert {r["id"]: r["dest"] for r in got.collect()} == want
+    assert len(set(want.values())) == len(rows)
+
+
+def test_file_actions(spark, tmp_path):
+    """An aborted or repeated attempt changes nothing; the commit places what counts, once, where nothing lies."""
+    from tomeworks.sources.actions import FileActionsWriter
+
+    for n in ("a", "b", "c"):
+        (tmp_path / n).write_text(n)
+    (tmp_path / "there").write_text("old")
+    rows = [{"source": f"file:{tmp_path}/{a}", "dest": f"file:{tmp_path}/{b}"} for a, b in (("a", "out/a"), ("b", "there"), ("c", "out/a"), ("none", "x"))]
+    rows.append({"source": None, "dest": "y"})
+    look = lambda: {str(p.relative_to(tmp_path)): p.read_text() for p in tmp_path.rglob("*") if p.is_file() and ".job" not in str(p)}
+    before = look()
+    job = tmp_path / ".job"
+    writer = FileActionsWriter({"job": str(job)})
+    writer.abort([writer.write(iter(rows)), None])
+    assert look() == before and not job.exists()
+    writer.write(iter(rows))  # an attempt whose task was lost
+    writer.commit([None, writer.write(iter(rows))])
+    after = look()
+    assert sorted(after.values()) == ["a", "b", "c", "old"] or sorted(after.values()) == ["b", "c", "c", "old"]
+    assert after["there"] == "old" and after["b"] == "b"
+    assert {after["out/a"]} | {after.get("a"), after.get("c")} >= {"a", "c"}  # one of the two moved, the other stayed
+    status = sorted(line.split('"status": "')[1].split('"')[0].split(":")[0] for line in (job / "status-0.json").read_text().splitlines())
+    assert status == ["done", "exists", "exists", "failed", "failed"]
+    plan = spark.createDataFrame([(f"{tmp_path}/b", f"{tmp_path}/new/b"), (f"{tmp_path}/there", f"{tmp_path}/there")], "path string, dest string")
+    for _ in range(2):
+        assert [r["status"] for r in files.move_files(plan).collect()] == ["done", "done"]
+    assert look()["new/b"] == "b" and look()["there"] == "old" and "b" not in look()
+    assert files.move_files(plan.where("false")).count() == 0
+    copied = files.move_files(spark.createDataFrame([(f"{tmp_path}/there", f"{tmp_path}/new/b")], "path string, dest string"), copy=True, overwrite=True)
+    assert [r["status"] for r in copied.collect()] == ["done"]
+    assert look()["new/b"] == look()["there"] == "old"
+    assert not list(tmp_path.rglob(".tomeworks*"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import images, metadata, xmp
-from .functions.text import file_name, path_allowed
+from .functions.text import file_name, moved_below, path_allowed, plain_path
 from .operators import dedupe, pages
 from .plans import books, normalise
 from .providers.base import ContextLimits, PipelineConfig, ask
@@ -40,7 +40,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--dest", required=True)
     c.add_argument("--prefix", help="a folder on the path must begin with this")
     c.add_argument("--deduplicate", action="store_true")
-    c.add_argument("--overwrite", action="store_true", help="replace files of the same name instead of numbering")
+    c.add_argument("--overwrite", action="store_true", help="replace files of the same name instead of leaving them")
     c.add_argument("--max-files", type=_count)
     c.add_argument("--dry-run", action="store_true")
     f = sub.add_parser("flatten", help="move files to the parent of their folder as <folder>_<file>")
@@ -101,11 +101,57 @@ def content_keys(found: DataFrame) -> DataFrame:
     return found.select("path").join(keys, "path", "left").select("path", F.sha2(F.to_json("signature"), 256).alias("content_hash"))
 
 
+def there(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """path of the files of a folder, none if it isn't there."""
+    if not os.path.isdir(folder):
+        return spark.createDataFrame([], "path string")
+    return files.discover(spark, folder, pattern).select(plain_path(F.col("path")).alias("path"))
+
+
 def duplicates_plan(found: DataFrame, root: str, dest: str, by_content: bool = False) -> DataFrame:
-    """path, dest of the files whose content was seen before; their places below root stay, taken names get a number."""
+    """path, dest of the files whose content was seen before; their places below root stay, names that are taken in dest get a number."""
     keys = content_keys(found) if by_content else files.with_hash(found)
     gone = dedupe.first_seen(keys, F.col("content_hash"), "path").where("status = 'duplicate'")
-    return dedupe.free_names(gone.withColumn("target", F.replace("path", F.lit(os.path.abspath(root)), F.lit(os.path.abspath(dest)))), "target", "path").select("path", "dest")
+    target = moved_below(F.col("path"), os.path.abspath(root), os.path.abspath(dest))
+    return dedupe.free_names(gone.select("path", target.alias("target")), "target", "path", there(found.sparkSession, dest)).select("path", "dest")
+
+
+def copies_plan(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """path, dest, status of the files to copy: their places below their roots stay, the roots follow each other. Status is `exists` where
+    something lies already, else `planned`; with --overwrite the last of equal names is taken, else the first."""
+    plan = None
+    for n, root in enumerate(files.expand_paths(a.sources)):
+        found = files.discover(spark, root)
+        own = found.select("path", F.struct(F.lit(n).alias("root"), "path").alias("order"), moved_below(F.col("path"), os.path.abspath(root), os.path.abspath(a.dest)).alias("dest"), *([F.sha2("content", 256).alias("content_hash")] if a.deduplicate else []))
+        plan = own if plan is None else plan.unionByName(own)
+    if plan is None:
+        raise SystemExit("no sources")
+    if a.prefix:
+        plan = plan.where(path_allowed(F.col("path"), a.prefix))
+    if a.deduplicate:
+        old = files.with_hash(files.discover(spark, a.dest)) if os.path.isdir(a.dest) else plan.where("false")
+        plan = dedupe.copy_plan(plan, old, "content_hash", "order").drop("content_hash")
+    plan = staged(plan)
+    chosen = dedupe.one_per_dest(plan, "order", last=a.overwrite)
+    if not a.overwrite:
+        chosen = chosen.join(there(spark, a.dest).withColumnRenamed("path", "dest"), "dest", "left_anti")
+    if a.max_files is not None:
+        chosen = chosen.orderBy("order").limit(a.max_files)
+    chosen = staged(chosen.select("path", "dest", F.lit("planned").alias("status")))
+    rest = plan.join(chosen, ["path", "dest"], "left_anti").select("path", "dest", F.lit("exists").alias("status"))
+    return chosen if a.overwrite or a.max_files is not None else chosen.unionByName(rest)
+
+
+def flatten_moves(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """path, dest, status of the files below the roots: names that are taken stay, and of files that would get one name the first moves."""
+    found = staged(files.discover(spark, roots, "*").select("path"))
+    plan = dedupe.flatten_plan(found, "path")
+    for r in (os.path.abspath(r).rstrip("/") for r in roots):
+        plan = plan.where(F.regexp_replace(plain_path(F.col("path")), r"/[^/]*$", "") != F.lit(r))
+    plan = staged(plan)
+    chosen = dedupe.one_per_dest(plan.join(found.select(F.col("path").alias("dest")), "dest", "left_anti").select("path", "dest"), "path")
+    chosen = staged(chosen.withColumn("status", F.lit("planned")))
+    return chosen.unionByName(plan.join(chosen, "path", "left_anti").select("path", "dest", F.lit("exists").alias("status")))
 
 
 def run_pages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -186,23 +232,9 @@ def main(argv: list[str] | None = None) -> int:
             print(f"removed {gone.where(~F.col('status').startswith('failed')).count()}")
             return 0
     elif a.command == "copy":
-        plan = files.discover(spark, a.sources).select("path", F.sha2("content", 256).alias("content_hash"))
-        if a.prefix:
-            plan = plan.where(path_allowed(F.col("path"), a.prefix))
-        if a.deduplicate:
-            old = files.with_hash(files.discover(spark, a.dest)) if os.path.isdir(a.dest) else plan.where("false")
-            plan = dedupe.copy_plan(plan, old, "content_hash", "path")
-        if a.max_files is not None:
-            plan = plan.orderBy("path").limit(a.max_files)
-        target = F.concat(F.lit(f"file:{os.path.abspath(a.dest)}/"), file_name(F.col("path")))
-        plan = plan.withColumn("dest", target) if a.overwrite else dedupe.free_names(plan.withColumn("target", target), "target", "path")
+        plan = copies_plan(spark, a)
     elif a.command == "flatten":
-        found = files.discover(spark, a.roots, "*").select("path")
-        plan = dedupe.flatten_plan(found, "path")
-        plan = plan.join(found.select(F.col("path").alias("dest")), "dest", "left_anti")  # existing files stay
-        roots = [os.path.abspath(r).rstrip("/") for r in a.roots]
-        for r in roots:
-            plan = plan.where(~F.regexp_replace("path", r"/[^/]*$", "").endswith(F.lit(r)))
+        plan = flatten_moves(spark, a.roots)
     elif a.command == "check":
         for r in files.discover(spark, a.folder, case_insensitive=True).where(~files.looks_valid(F.col("content"))).select("path").orderBy("path").toLocalIterator():
             print(r["path"])
@@ -211,7 +243,11 @@ def main(argv: list[str] | None = None) -> int:
         for r in archives.members(files.discover(spark, a.folder, "*")).select("archive", "member", "error").orderBy("archive", "member").toLocalIterator():
             print(r["archive"], r["member"] or r["error"])
         return 0
-    for r in files.move_files(plan, copy=a.command == "copy", dry_run=a.dry_run).toLocalIterator():
+    if "status" not in plan.columns:
+        plan = plan.withColumn("status", F.lit("planned"))
+    plan = staged(plan)
+    done = files.move_files(plan.where("status = 'planned'"), copy=a.command == "copy", dry_run=a.dry_run, overwrite=a.command == "copy" and a.overwrite)
+    for r in done.unionByName(plan.where("status <> 'planned'")).orderBy("path").toLocalIterator():
         print(r["status"], r["path"], "->", r["dest"])
     return 0
 

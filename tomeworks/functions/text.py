@@ -101,6 +101,18 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def plain_path(path: Column) -> Column:
+    """The path without the scheme of the local file system."""
+    return F.regexp_replace(path, "^file:/*", "/")
+
+
+def moved_below(path: Column, root: str, target: str) -> Column:
+    """Where a path below root lies below target: only the beginning is replaced. A path outside root goes to target itself."""
+    root, target, own = root.rstrip("/"), target.rstrip("/"), plain_path(path)
+    inside = own.startswith(F.lit(root + "/"))
+    return F.when(inside, F.concat(F.lit(target), own.substr(F.lit(len(root) + 1), F.length(own)))).otherwise(F.concat(F.lit(target + "/"), file_name(path)))
+
+
 def stem(name: Column) -> Column:
     return F.regexp_replace(name, r"(.)\.[^.]*$", "$1")
 

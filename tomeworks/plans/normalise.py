@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.metadata import to_info
-from ..functions.text import normalize_keyword
+from ..functions.text import moved_below, normalize_keyword
 from ..functions.xmp import differs, write_xmp
 from ..operators import keywords as K
 from ..operators import lookup, publishers
@@ -97,7 +97,7 @@ def write_sidecars(files: DataFrame, meta: DataFrame, root: str, target: str, no
     found = lookup.metadata_lookup(files, meta, "order")
     e = lookup.writer_payload(F.col("entity"))
     packet = write_xmp({k: e[k] for k in ("title", "description", "publisher", "isbn13", "isbn10", "authors", "categories")}, now if now is not None else F.current_timestamp())
-    dest = F.replace(F.regexp_replace("path", "^file:/*", "/"), F.lit(root), F.lit(target))
+    dest = moved_below(F.col("path"), root, target)
     rows = found.select("path", dest.alias("dest"), F.when(F.col("entity").isNotNull(), F.to_json(e)).alias("payload"), packet.alias("packet"))
 
     def put(path: str, text: str) -> None:
@@ -135,7 +135,7 @@ def write_pdfs(content: DataFrame, files: DataFrame, meta: DataFrame, root: str,
         target = os.path.join(target, "__normalized__")
     e = lookup.writer_payload(F.col("entity"))
     packet = write_xmp({k: e[k] for k in ("title", "description", "publisher", "isbn13", "isbn10", "authors", "categories")}, now if now is not None else F.current_timestamp())
-    dest = F.replace(F.regexp_replace("path", "^file:/*", "/"), F.lit(root), F.lit(target))
+    dest = moved_below(F.col("path"), root, target)
     known = lookup.metadata_lookup(files, meta, "order").select("path", dest.alias("dest"), "entity")
     old = pdf.documents(content).select("path", F.col("xmp").alias("old"))
     told = known.join(old, "path").select("path", "dest", F.col("entity").isNotNull().alias("known"), to_info(e).alias("info"), packet.alias("packet"), differs(F.col("old"), packet).alias("changed"))

@@ -9,6 +9,8 @@ import warnings
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import actions
+
 
 def expand_paths(patterns: list[str]) -> list[str]:
     """Globs and ~ expanded; a pattern without a match is warned about, plain paths and URIs pass through."""
@@ -74,31 +76,8 @@ def remove_files(plan: DataFrame, path: str = "path", dry_run: bool = False) ->
     return plan.select(path).mapInPandas(run, f"{path} string, status string")
 
 
-def move_files(plan: DataFrame, source: str = "path", dest: str = "dest", copy: bool = False, dry_run: bool = False, overwrite: bool = True) -> DataFrame:
-    """source, dest, status of each planned move: done, planned, or failed with the reason. Runs where the files are
-    mounted; a move that was made before counts as done, so a repeated task does no harm. Without overwrite, a file that is
-    there stays: `exists`."""
-
-    def run(batches):
-        import shutil
-
-        for pdf in batches:
-            status = []
-            for a, b in zip(pdf[source], pdf[dest], strict=True):
-                a, b = a.removeprefix("file:"), b.removeprefix("file:")
-                try:
-                    if dry_run:
-                        status.append("planned")
-                        continue
-                    if not overwrite and os.path.exists(b) and os.path.exists(a):
-                        status.append("exists")
-                        continue
-                    if not (os.path.exists(b) and not os.path.exists(a)):
-                        os.makedirs(os.path.dirname(b), exist_ok=True)
-                        (shutil.copy2 if copy else shutil.move)(a, b)
-                    status.append("done")
-                except OSError as e:
-                    status.append(f"failed: {e}")
-            yield pdf[[source, dest]].assign(status=status)
-
-    return plan.select(source, dest).mapInPandas(run, f"{source} string, {dest} string, status string")
+def move_files(plan: DataFrame, source: str = "path", dest: str = "dest", copy: bool = False, dry_run: bool = False, overwrite: bool = False) -> DataFrame:
+    """source, dest, status of each planned move: done, planned, exists, or failed with the reason; see actions.perform."""
+    if dry_run:
+        return plan.select(source, dest, F.lit("planned").alias("status"))
+    return actions.perform(plan, source, dest, copy, overwrite)
