@@ -279,3 +279,43 @@ def test_file_actions(spark, tmp_path):
     assert [r["status"] for r in copied.collect()] == ["done"]
     assert look()["new/b"] == look()["there"] == "old"
     assert not list(tmp_path.rglob(".tomeworks*"))
+
+
+@pytest.mark.parametrize("last", [100_000, 40, 0])
+def test_greedy_groups_in_rounds(spark, monkeypatch, last):
+    """Founders and their groups against taking the names one after the other, by rounds and in one task."""
+    monkeypatch.setattr(publishers, "LAST", last)
+    rng = np.random.default_rng(6)
+    n = 120
+    pos = rng.integers(0, 60, n).tolist()  # ties go by name
+    pairs = {tuple(sorted((f"n{x:03d}", f"n{y:03d}"))) for x, y in rng.integers(0, n, (260, 2)).tolist()} | {(f"n{k:03d}", "n000") for k in range(1, 40)} | {("n005", "n005")}
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    seed = {}
+    for p, norm in sorted((p, f"n{i:03d}") for i, p in enumerate(pos)):
+        if norm not in seed:
+            seed[norm] = norm
+            for other in near.get(norm, ()):
+                seed.setdefault(other, norm)
+    names = spark.createDataFrame([(f"n{i:03d}", f"n{i:03d}", p) for i, p in enumerate(pos)], "name string, norm string, pos int")
+    got = {r["norm"]: r["seed"] for r in publishers.greedy_groups(names, spark.createDataFrame(sorted(pairs), "a string, b string")).collect()}
+    assert got == seed
+
+
+@pytest.mark.parametrize("n,last,order", [(20_000, 100_000, "falling"), (60_000, 1000, "mixed")])
+def test_greedy_groups_of_a_long_chain(spark, monkeypatch, n, last, order):
+    """Each name matches the next: in falling order one bounded task decides, in a mixed one the rounds leave it no more than `last`."""
+    monkeypatch.setattr(publishers, "LAST", last)
+    pos = {i: n - i if order == "falling" else i * 7919 % n for i in range(n)}
+    names = spark.createDataFrame([(f"c{i:06d}", f"c{i:06d}", p) for i, p in pos.items()], "name string, norm string, pos int")
+    pairs = spark.range(n - 1).selectExpr("format_string('c%06d', id) AS a", "format_string('c%06d', id + 1) AS b")
+    seed = {}
+    for i in sorted(pos, key=pos.get):
+        if i not in seed:
+            seed[i] = i
+            for k in (i - 1, i + 1):
+                seed.setdefault(k, i)
+    got = publishers.greedy_groups(names, pairs).toPandas()
+    assert dict(zip(got.norm, got.seed, strict=True)) == {f"c{i:06d}": f"c{seed[i]:06d}" for i in range(n)}

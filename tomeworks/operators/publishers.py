@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import numpy as np
+from collections.abc import Iterator
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,36 +54,54 @@ def fuzzy_pairs(names: DataFrame, threshold: float = 75.0) -> DataFrame:
     return ratio.unionByName(begun).dropDuplicates(["a", "b"]).withColumn("ratio", F.round("ratio", 4))
 
 
-def greedy_groups(names: DataFrame, pairs: DataFrame) -> DataFrame:
-    """name, seed: in order of appearance, a name that has no group yet founds one and takes all later ones that match it.
-
-    Only connected names can influence each other, so each connected part of the match graph is one small task; the
-    parts come from propagating the least name over the pairs."""
-    norms = names.groupBy("norm").agg(F.min("pos").alias("pos"))
-    edges = staged(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    label = norms.select("norm", F.col("norm").alias("part"))
-    while True:  # least names only fall, so this ends
-        step = edges.join(label, edges["b"] == label["norm"]).groupBy("a").agg(F.min("part").alias("best"))
-        new = label.join(step, label["norm"] == step["a"], "left").select("norm", F.least("part", F.coalesce("best", "part")).alias("part"))
-        new = staged(new)
-        if not new.alias("n").join(label.alias("o"), "norm").where("n.part <> o.part").limit(1).count():
-            break
-        label = new
-    near = edges.groupBy("a").agg(F.collect_set("b").alias("near"))
-    parts = norms.join(label, "norm").join(near, norms["norm"] == near["a"], "left").select("norm", "pos", "part", "near")
+#: Matches between undecided names that one task decides at the end.
+LAST = 100_000
+
+
+def _out(edges: DataFrame) -> DataFrame:
+    """norm of the names that an earlier one takes, from all matches (early, late) between undecided names, at most LAST."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        seed: dict[str, str] = {}
-        pdf = pdf.sort_values(["pos", "norm"])
-        for norm, near in zip(pdf["norm"], pdf["near"], strict=True):
-            if norm not in seed:
-                seed[norm] = norm
-                for other in np.atleast_1d(near) if near is not None else ():
-                    seed.setdefault(other, norm)
-        return pd.DataFrame({"norm": pdf["norm"], "seed": [seed[n] for n in pdf["norm"]]})
-
-    seeds = parts.groupBy("part").applyInPandas(run, "norm string, seed string")
-    return names.join(seeds, "norm").select("name", "norm", "pos", "seed")
+        out: set[str] = set()
+        for early, late in zip(pdf["early"], pdf["late"], strict=True):  # in the order of the earlier name
+            if early not in out:
+                out.add(late)
+        return pd.DataFrame({"norm": sorted(out)}, dtype=object)
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        if parts:
+            yield run(pd.concat(parts).sort_values(["early_pos", "early"], kind="stable"))
+
+    return edges.coalesce(1).mapInPandas(decide, "norm string")
+
+
+def greedy_groups(names: DataFrame, pairs: DataFrame) -> DataFrame:
+    """name, norm, pos, seed: in order of appearance, a name that has no group yet founds one and takes all later ones that match it.
+
+    Founders are the first maximal independent set of the match graph in that order, found in rounds: a name that no
+    earlier undecided one matches founds a group, and what matches it is decided with it. A round is a few joins over the matches between
+    undecided names, whose number falls from round to round; once they are LAST or fewer, one task decides the rest in order,
+    since a chain of names would take as many rounds as it is long. Then each name that isn't a founder goes to the first founder that matches it."""
+    order = names.groupBy("norm").agg(F.min("pos").alias("pos"))
+    a, b = order.select(F.col("norm").alias("a"), F.col("pos").alias("pa")), order.select(F.col("norm").alias("b"), F.col("pos").alias("pb"))
+    first = F.struct("pa", "a") < F.struct("pb", "b")
+    early, late = F.when(first, F.struct("a", "pa")).otherwise(F.struct(F.col("b").alias("a"), F.col("pb").alias("pa"))), F.when(first, F.col("b")).otherwise(F.col("a"))
+    matches = staged(pairs.select("a", "b").where("a <> b").distinct().join(a, "a").join(b, "b").select(early["a"].alias("early"), early["pa"].alias("early_pos"), late.alias("late")).distinct())
+    left, out = matches, []
+    while (n := left.count()) > LAST:
+        founders = left.select(F.col("early").alias("norm")).distinct().join(left.select(F.col("late").alias("norm")).distinct(), "norm", "left_anti")
+        gone = staged(left.join(founders.withColumnRenamed("norm", "early"), "early", "left_semi").select(F.col("late").alias("norm")).distinct())
+        out.append(gone)
+        left = staged(left.join(gone.withColumnRenamed("norm", "early"), "early", "left_anti").join(gone.withColumnRenamed("norm", "late"), "late", "left_anti"))
+    if n:
+        out.append(staged(_out(left)))
+    if not out:
+        return names.select("name", "norm", "pos", F.col("norm").alias("seed"))
+    taken = staged(reduce(DataFrame.unionByName, out).distinct())
+    founded = matches.join(taken.withColumnRenamed("norm", "early"), "early", "left_anti")
+    seeds = founded.groupBy("late").agg(F.min(F.struct("early_pos", "early"))["early"].alias("seed")).withColumnRenamed("late", "norm")
+    return names.join(seeds, "norm", "left").select("name", "norm", "pos", F.coalesce("seed", "norm").alias("seed"))
 
 
 def canonical_names(groups: DataFrame) -> DataFrame:
