@@ -58,32 +58,24 @@ def cluster_points(embeddings: DataFrame, clusters: DataFrame, item: str) -> Dat
 
 
 def silhouette_by_k(df: DataFrame, item: str, vector: str, ks: list[int]) -> list[tuple[int, float]]:
-    """(k, mean silhouette) of agglomerative clusterings of one bounded set of items."""
-    out = []
+    """(k, mean silhouette) of the cuts of one agglomerative clustering."""
+    from .agglomerate import cuts, dendrogram
+
+    known = df.where(f"{item} is not null and {vector} is not null").select(F.col(item).alias("item"), F.col(vector).alias("vector"))
+    cut, out = staged(cuts(known.select("item"), dendrogram(known, "item", "vector"), ks)), []
     for k in ks:
-        one = staged(cluster_within(df.withColumn("_all", F.lit(0)), "_all", item, vector, clusters=k).join(df.select(item, vector), item))
+        one = staged(cut.where(F.col("k") == k).select("item", F.col("cluster").alias("cluster_id")).join(known, "item").select(F.col("item").alias(item), F.col("vector").alias(vector), "cluster_id"))
         sizes = one.groupBy("cluster_id").agg(F.count("*").alias("n"))
         mean = silhouette(one, item, vector, "cluster_id").join(sizes, "cluster_id").agg(F.sum(F.col("silhouette") * F.col("n")) / F.sum("n")).first()[0]
         out.append((k, mean))
     return out
 
 
-def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance: float | None = None, linkage: str = "average") -> np.ndarray:
-    """Agglomerative clustering under cosine distance (Euclidean for ward) by nearest-neighbour chains; ties go to the
-    lower index.
-
-    Exactly one of clusters and distance must be given. Clusters are numbered by their first member."""
-    if (clusters is None) == (distance is None):
-        raise ValueError("give either a number of clusters or a distance")
-    n = len(vectors)
-    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    d = 1 - unit @ unit.T
-    if linkage == "ward":
-        x = np.asarray(vectors, float)
-        squares = (x * x).sum(1)
-        d = np.maximum(squares[:, None] + squares - 2 * x @ x.T, 0)
+def merge_order(d: np.ndarray, size: np.ndarray, linkage: str = "average") -> list[tuple[float, int, int]]:
+    """(height, a, b) of all merges of b into a < b, lowest first, from the distances (which are overwritten) and sizes of clusters."""
     np.fill_diagonal(d, np.inf)
-    size, live, merges, chain = np.ones(n), np.ones(n, bool), [], []
+    n = len(d)
+    size, live, merges, chain = size.copy(), np.ones(n, bool), [], []
     for _ in range(n - 1):
         if not chain:
             chain.append(int(np.flatnonzero(live)[0]))
@@ -113,9 +105,26 @@ def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance:
         d[hi] = d[:, hi] = np.inf
         size[lo] += size[hi]
         live[hi] = False
+    return sorted(merges, key=lambda m: m[0])
+
+
+def average_linkage(vectors: np.ndarray, clusters: int | None = None, distance: float | None = None, linkage: str = "average") -> np.ndarray:
+    """Agglomerative clustering under cosine distance (Euclidean for ward) by nearest-neighbour chains; ties go to the
+    lower index.
+
+    Exactly one of clusters and distance must be given. Clusters are numbered by their first member."""
+    if (clusters is None) == (distance is None):
+        raise ValueError("give either a number of clusters or a distance")
+    n = len(vectors)
+    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    d = 1 - unit @ unit.T
+    if linkage == "ward":
+        x = np.asarray(vectors, float)
+        squares = (x * x).sum(1)
+        d = np.maximum(squares[:, None] + squares - 2 * x @ x.T, 0)
+    merges = merge_order(d, np.ones(n), linkage)
     if linkage == "ward":
         merges = [(m[0] ** 0.5, *m[1:]) for m in merges]
-    merges.sort(key=lambda m: m[0])
     keep = n - min(clusters, n) if clusters is not None else sum(m[0] < distance for m in merges)
     up = np.arange(n)
 
