@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import xmp
-from ..operators import dedupe, keywords, lookup, pages, projection, publishers
+from ..operators import agglomerate, dedupe, keywords, lookup, pages, projection, publishers
 from ..providers.base import ContextLimits, PipelineConfig
 from ..sources import run_log
 from ..sources.staging import local_dir, staged
@@ -310,8 +310,36 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cluster_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _cells(t(spark, sf_dir, "embeddings").where("embedding is not null and label is not null"), 8)
-    return keywords.cluster_within(e, "block", "vec_id", "embedding", clusters="share")
+    return normalise.clusters_of_labels(t(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 8)
+
+
+@query("""
+WITH RECURSIVE c AS (SELECT c_custkey AS item, CASE WHEN c_custkey > 1 THEN c_custkey // 2 END AS parent, row_number() OVER (ORDER BY c_custkey DESC) - 1 AS rank, count(*) OVER () AS n FROM customer),
+f AS (SELECT item, k, n - k AS most, item AS cluster FROM c, (SELECT unnest([5, 50, 500, 100000]) AS k)
+  UNION ALL SELECT f.item, f.k, f.most, c.parent FROM f JOIN c ON c.item = f.cluster AND c.parent IS NOT NULL AND c.rank < f.most)
+SELECT item, k, min(cluster) AS cluster FROM f GROUP BY item, k""")
+def dendrogram_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cuts of one tree for several numbers of clusters: customers, each absorbed by the one of half its number, the highest first."""
+    c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("item"))
+    tree = c.where("item > 1").select("item", F.expr("item div 2").alias("parent"), (1 / F.col("item")).alias("height"), F.lit(0).alias("step"))
+    return agglomerate.cuts(c, tree, [5, 50, 500, 100000]).select("item", "k", "cluster")
+
+
+@query("""
+WITH n AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN p_name || '_' || (p_partkey % 5) || '.pdf' ELSE p_name || '.pdf' END AS target FROM part),
+h AS (SELECT DISTINCT p_name || CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE '_' || s_suppkey % 13 END || '.pdf' AS path FROM part JOIN supplier ON p_partkey = s_suppkey),
+w AS (SELECT DISTINCT target FROM n), a AS (SELECT path FROM h UNION SELECT target FROM w),
+x AS (SELECT path AS target, 0 AS k FROM h UNION SELECT regexp_extract(path, '^(.*)_([1-9][0-9]{0,8})(\.[^./]*)?$', 1) || regexp_extract(path, '^(.*)_([1-9][0-9]{0,8})(\.[^./]*)?$', 3), try_cast(regexp_extract(path, '^(.*)_([1-9][0-9]{0,8})(\.[^./]*)?$', 2) AS INT) FROM a),
+r AS (SELECT p_partkey, target, row_number() OVER (PARTITION BY target ORDER BY p_partkey) AS r FROM n),
+s AS (SELECT target, max(r) AS m FROM r GROUP BY 1), c AS (SELECT target, unnest(range(m + (SELECT count(*) FROM x WHERE x.target = s.target))) AS k FROM s),
+o AS (SELECT target, k, row_number() OVER (PARTITION BY target ORDER BY k) AS r FROM c WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.target = c.target AND x.k = c.k))
+SELECT p_partkey, CASE WHEN k = 0 THEN target ELSE regexp_replace(target, '\.pdf$', '') || '_' || k || '.pdf' END AS dest FROM r JOIN o USING (target, r)""")
+def move_plan_taken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free names beside those that lie in the destination."""
+    p, u = t(spark, sf_dir, "part"), t(spark, sf_dir, "supplier")
+    name = F.when(F.col("p_partkey") % 7 == 0, F.concat("p_name", F.lit("_"), (F.col("p_partkey") % 5).cast("string"))).otherwise(F.col("p_name"))
+    taken = p.join(u, F.col("p_partkey") == F.col("s_suppkey")).select(F.concat("p_name", F.when(F.col("s_suppkey") % 4 == 0, "").otherwise(F.concat(F.lit("_"), (F.col("s_suppkey") % 13).cast("string"))), F.lit(".pdf")).alias("path"))
+    return dedupe.free_names(p.select("p_partkey", F.concat(name, F.lit(".pdf")).alias("target")), "target", "p_partkey", taken).select("p_partkey", "dest")
 
 
 @query("""

@@ -111,7 +111,7 @@ def book_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     answer = F.to_json(F.struct(F.struct(F.array(book).alias("books")).alias("data"), F.when(n % 5 == 0, F.array(F.lit("bad"))).alias("errors")))
     got, null = catalogues.simple_books(answer), F.lit(None).cast("string")
     ask = catalogues.books_request(F.when(n % 3 > 0, F.col("p_name")), F.when(n % 3 == 1, F.col("p_brand")), F.lit(None).cast("array<string>"), null)
-    return p.select("p_partkey", F.size(got).alias("n"), F.try_element_at(F.try_element_at(got, F.lit(1))["authors"], F.lit(1)).alias("author"), F.contains(ask["query"], F.lit("$author")).alias("by_author"), ask["variables"]["title"].alias("asked"))
+    return p.select("p_partkey", F.size(got).alias("n"), F.try_element_at(F.try_element_at(got, F.lit(1))["authors"], F.lit(1)).alias("author"), F.when(ask.isNotNull(), ask["variables"]["known"]["contributions"].isNotNull()).alias("by_author"), ask["variables"]["known"]["title"]["_eq"].alias("asked"))
 
 
 @query("""

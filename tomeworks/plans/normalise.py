@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.metadata import to_info
@@ -17,6 +17,7 @@ from ..functions.text import moved_below, normalize_keyword
 from ..functions.xmp import differs, write_xmp
 from ..operators import keywords as K
 from ..operators import lookup, publishers
+from ..operators.agglomerate import clusters_below, cuts, dendrogram
 from ..providers.base import ask
 from ..sources import pdf
 from ..sources.staging import staged
@@ -45,12 +46,12 @@ def cells(vectors: DataFrame, n: int, most: int, seed: int = 7, item: str = "key
 def canonical_keywords(words: DataFrame, clusters: int | None = None, distance: float | None = None, linkage: str = "average", embed: Embed = K.hashing_embedding, labeller: str | None = None, most: int = 4096) -> DataFrame:
     """keyword, label: every keyword with the label of its cluster.
 
-    words: keyword. Clusters are agglomerative under cosine distance within cells of at most `most` keywords; a number of
-    clusters is shared out by the cells' sizes. The label is the shortest keyword, or the first line that the
+    words: keyword. Clusters are agglomerative under cosine distance. Up to `most` keywords are one task; more are clustered in
+    rounds by average linkage, with the same clusters but for ties, and by other linkages within k-means cells of at most that many, where a
+    number of clusters is shared out by the cells' sizes. The label is the shortest keyword, or the first line that the
     provider `labeller` gives for the list of them, normalised; keywords of a cluster it gives none for stay."""
     v = staged(words.select("keyword", embed(F.col("keyword")).alias("embedding")))
     n = v.count()
-    parted = cells(v, n, most)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
@@ -60,7 +61,13 @@ def canonical_keywords(words: DataFrame, clusters: int | None = None, distance:
         ids = K.average_linkage(np.stack(pdf["embedding"].map(np.asarray)).astype(float), share, distance, linkage)
         return pd.DataFrame({"keyword": pdf["keyword"], "cluster_id": [f"{c}/{i}" for c, i in zip(pdf["cell"], ids, strict=True)]})
 
-    got = staged(parted.groupBy("cell").applyInPandas(run, "keyword string, cluster_id string"))
+    if n > most and linkage == "average":
+        items = v.select(F.col("keyword").alias("item"))
+        tree = dendrogram(v, "keyword", "embedding", distance, clusters or 1)
+        cut = clusters_below(items, tree) if clusters is None else cuts(items, tree, [clusters])
+        got = staged(cut.select(F.col("item").alias("keyword"), F.col("cluster").alias("cluster_id")))
+    else:
+        got = staged(cells(v, n, most).groupBy("cell").applyInPandas(run, "keyword string, cluster_id string"))
     if labeller is None:
         labels = K.label_clusters(got)
     else:
@@ -70,6 +77,22 @@ def canonical_keywords(words: DataFrame, clusters: int | None = None, distance:
     return got.join(labels, "cluster_id", "left").select("keyword", F.coalesce("label", "keyword").alias("label"), "cluster_id")
 
 
+def clusters_of_labels(df: DataFrame, label: str, item: str, vector: str, clusters: int, most: int = 4096) -> DataFrame:
+    """block, item, cluster_id: `clusters` average-linkage clusters of each label's vectors, numbered by their smallest item.
+
+    Labels of up to `most` vectors are a task each, larger ones are clustered in rounds one after the other."""
+    df = staged(df.select(label, item, vector).where(f"{label} is not null and {item} is not null and {vector} is not null"))
+    sizes = staged(df.groupBy(label).agg(F.count("*").alias("n")))
+    block = F.concat(F.col(label).cast("string"), F.lit("-0")).alias("block")
+    out = K.cluster_within(df.join(sizes.where(F.col("n") <= most), label).select(block, item, vector), "block", item, vector, clusters=clusters)
+    for (value,) in sizes.where(F.col("n") > most).select(label).sort(label).toLocalIterator():
+        own = df.where(F.col(label) == F.lit(value))
+        cut = staged(cuts(own.select(F.col(item).alias("item")), dendrogram(own, item, vector, clusters=clusters), [clusters]))
+        number = cut.select("cluster").distinct().withColumn("cluster_id", (F.row_number().over(Window.orderBy("cluster")) - 1).cast("int"))  # as many rows as clusters
+        out = out.unionByName(cut.join(F.broadcast(number), "cluster").select(F.lit(f"{value}-0").alias("block"), F.col("item").alias(item), "cluster_id"))
+    return out
+
+
 def normalised(runs: DataFrame, mapping: DataFrame, threshold: float = 75.0) -> DataFrame:
     """The rows of `runs` (parsed run log) with canonical_keywords, canonical_publisher and entity."""
     runs = runs.withColumn("_row", F.xxhash64("pdf_hash", "run_timestamp", "result"))
