@@ -55,6 +55,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--selector", default="first")
     r.add_argument("--search", nargs="*", default=[], help="search methods in order")
     r.add_argument("--search-max-results", type=_count, default=3)
+    r.add_argument("--cache", help="a folder that keeps the answers of providers for later runs")
     r.add_argument("--num-front-ocr-pages", type=_count, default=5)
     r.add_argument("--num-back-ocr-pages", type=_count, default=3)
     r.add_argument("--max-pdfs", type=_count)
@@ -156,7 +157,7 @@ def flatten_moves(spark: SparkSession, roots: list[str]) -> DataFrame:
 
 def run_pages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     """pdf_hash, status, error of the documents in the table a.pages: its first and last pages that aren't blank are read."""
-    config = PipelineConfig(a.num_front_ocr_pages, a.num_back_ocr_pages, a.extractor, a.selector, tuple(a.search), a.search_max_results, ContextLimits(first_pages=a.context_first_ocr_pages, last_pages=a.context_last_ocr_pages))
+    config = PipelineConfig(a.num_front_ocr_pages, a.num_back_ocr_pages, a.extractor, a.selector, tuple(a.search), a.search_max_results, ContextLimits(first_pages=a.context_first_ocr_pages, last_pages=a.context_last_ocr_pages), cache=a.cache)
     table = spark.read.parquet(a.pages)
     if a.max_pdfs is not None:
         table = table.join(table.select("pdf_hash").distinct().orderBy("pdf_hash").limit(a.max_pdfs), "pdf_hash", "left_semi")

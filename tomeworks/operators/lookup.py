@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import isbn_digits, keyword_set, title_case
+from ..sources import keyed
+from ..sources.staging import staged
 
 
 def metadata_lookup(files: DataFrame, meta: DataFrame, order: str, by_hash: str = "file_hash", by_name: str = "file_name", value: str = "entity") -> DataFrame:
@@ -42,15 +46,15 @@ def cache_misses(requests: DataFrame, cache: DataFrame, key: str = "cache_key")
     return requests.dropDuplicates([key]).join(cache.select(key), key, "left_anti")
 
 
-def through_cache(requests: DataFrame, cache_path: str, respond, key: str = "cache_key") -> DataFrame:
-    """Answer requests from the cache table at cache_path; what it lacks goes through `respond` (DataFrame to key,
-    response) once and is appended."""
-    spark, kind = requests.sparkSession, f"{key} string, response string"
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache_path)
-    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-    cache = spark.read.schema(kind).parquet(cache_path) if there else spark.createDataFrame([], kind)
-    respond(cache_misses(requests, cache, key)).select(key, "response").write.mode("append").parquet(cache_path)
-    return requests.join(spark.read.schema(kind).parquet(cache_path), key)
+def through_cache(requests: DataFrame, path: str, respond: Callable[[DataFrame], DataFrame], key: str = "cache_key") -> DataFrame:
+    """key, response, error of the requests, one for each key: from the cache at `path`, which is read in the buckets of the
+    keys only; what it lacks goes through `respond` (requests to key, response, error) once. Answers without an error are added to it."""
+    requests = staged(requests.dropDuplicates([key]))
+    held = staged(keyed.lookup(requests, path, key, "answered_at", f"{key} string, response string, answered_at timestamp").select(key, "response", F.lit(None).cast("string").alias("error")))
+    fresh = staged(respond(cache_misses(requests, held, key)).select(key, "response", "error"))
+    good = fresh.where("error is null and response is not null").select(key, "response", F.current_timestamp().alias("answered_at"))
+    keyed.append(good, path, key)
+    return held.unionByName(fresh)
 
 
 def book_entity(author: Column, title: Column, subtitle: Column, publisher: Column, canonical: Column, keywords: Column, categories: Column, description: Column, ids: Column) -> Column:

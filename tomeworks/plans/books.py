@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import metadata_lines, split_authors, strip_code_fences
 from ..operators import pages as P
+from ..operators.lookup import through_cache
 from ..providers import offline  # noqa: F401  (registers the offline providers)
 from ..providers.base import PipelineConfig, ask, factory, retrying
 from ..sources import run_log
@@ -86,17 +87,18 @@ def block_text(blocks: Column) -> Column:
     return F.array_join(F.filter(F.concat(F.array(blocks["prompt"], blocks["path"], blocks["metadata"]), blocks["ocr"]), lambda x: F.trim(x) != ""), "\n\n")
 
 
-def _asked(df: DataFrame, request: Column, name: str, attempts: int, columns: list[str]) -> DataFrame:
-    """df's columns with response and failure: equal requests are asked once."""
-    df = staged(df.select(*columns, F.to_json(request).alias("_request")).withColumn("_key", F.sha2("_request", 256)))
-    answers = staged(ask(df.select("_key", "_request").dropDuplicates(["_key"]), "_key", "_request", name, attempts))
+def _asked(df: DataFrame, request: Column, name: str, attempts: int, columns: list[str], cache: str | None = None) -> DataFrame:
+    """df's columns with response and failure: equal requests are asked once, and not at all if the cache holds an answer."""
+    df = staged(df.select(*columns, F.to_json(request).alias("_request")).withColumn("_key", F.sha2(F.concat(F.lit(name + "\n"), "_request"), 256)))
+    requests, respond = df.select("_key", "_request").dropDuplicates(["_key"]), lambda some: ask(some, "_key", "_request", name, attempts)
+    answers = staged(respond(requests) if cache is None else through_cache(requests, cache, respond, "_key"))
     return df.join(answers.withColumnRenamed("error", "failure"), "_key").drop("_key", "_request")
 
 
 def extract(docs: DataFrame, config: PipelineConfig, attempts: int = 3, prompt: str = "default") -> DataFrame:
     """docs with info_reply (the record read from the blocks, confidences 0 where none is given) and error. Documents
     without text, and replies that aren't a JSON object, have a null record and an error."""
-    told = _asked(blocks(docs.where("has_text"), PROMPTS.get(prompt, prompt), config), F.col("blocks"), config.extractor, attempts, ["doc", "blocks"])
+    told = _asked(blocks(docs.where("has_text"), PROMPTS.get(prompt, prompt), config), F.col("blocks"), config.extractor, attempts, ["doc", "blocks"], config.cache)
     r = F.from_json(strip_code_fences(F.col("response")), REPLY)
     sound = F.schema_of_variant(F.try_parse_json(strip_code_fences(F.col("response")))).startswith("OBJECT")
     reply = F.when(sound, F.struct(*[r[c].alias(c) for c in ("author", "title", "subtitle", "publisher", "keywords", "description")], *[F.coalesce(r[c], F.lit(0.0)).alias(c) for c in ("author_confidence", "title_confidence")]))
@@ -111,7 +113,7 @@ def search(infos: DataFrame, config: PipelineConfig, attempts: int = 3) -> DataF
     and items."""
     found = None
     for i, name in enumerate(config.search_methods):
-        got = _asked(infos.where("info_reply is not null"), F.struct(F.col("info_reply").alias("info"), F.lit(config.max_results).alias("max_results")), name, attempts, ["doc"])
+        got = _asked(infos.where("info_reply is not null"), F.struct(F.col("info_reply").alias("info"), F.lit(config.max_results).alias("max_results")), name, attempts, ["doc"], config.cache)
         got = got.where(F.trim("response") != "").select("doc", F.struct(F.lit(i).alias("i"), F.lit(name).alias("method"), F.col("response").alias("payload")).alias("c"))
         found = got if found is None else found.unionByName(got)
     kind = "array<struct<method:string,payload:string>>"
@@ -125,7 +127,7 @@ def select_best(found: DataFrame, config: PipelineConfig, attempts: int = 3) ->
     """found with `result`, the final record as JSON, from the blocks, the first record and the candidates that are JSON."""
     sound = F.filter(F.transform("candidates", lambda c: c["payload"]), lambda c: F.try_parse_json(c).isNotNull())
     request = F.struct(F.struct(F.lit(PROMPTS["selection"]).alias("prompt"), F.col("blocks.path").alias("path"), F.col("blocks.metadata").alias("metadata"), F.col("blocks.ocr").alias("ocr")).alias("blocks"), F.col("info_reply").alias("info"), sound.alias("candidates"))
-    told = _asked(found.where("info_reply is not null"), request, config.selector, attempts, ["doc"])
+    told = _asked(found.where("info_reply is not null"), request, config.selector, attempts, ["doc"], config.cache)
     record = strip_code_fences(F.col("response"))
     sound = F.coalesce(F.schema_of_variant(F.try_parse_json(record)).startswith("OBJECT"), F.lit(False))
     told = told.select("doc", F.when(sound, record).alias("result"), F.coalesce("failure", F.when(~sound, F.lit("the selection is not a record"))).alias("_error"))

@@ -69,12 +69,14 @@ class PipelineConfig:
     max_results: int = 3
     limits: ContextLimits = ContextLimits()
     client: dict[str, str | None] = field(default_factory=dict)
+    #: Where answers of providers are kept for later runs; not part of what a run is known by.
+    cache: str | None = None
 
     def to_json(self) -> str:
         """The config as JSON, with secrets redacted and nulls left out."""
         hide = lambda k, v: "<redacted>" if any(s in k.lower() for s in ("key", "secret", "token")) else v
         client = {k: hide(k, v) for k, v in self.client.items() if v is not None}
-        return json.dumps({**{k: v for k, v in self.__dict__.items() if k not in ("client", "limits")}, "limits": self.limits.__dict__, "client": client}, sort_keys=True)
+        return json.dumps({**{k: v for k, v in self.__dict__.items() if k not in ("client", "limits", "cache")}, "limits": self.limits.__dict__, "client": client}, sort_keys=True)
 
 
 REGISTRY: dict[str, Callable[[], TextProvider]] = {}

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import timedelta
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..sources import keyed
 
 
 def listen_folder(spark: SparkSession, root: str, pattern: str = "*.pdf", delay: str = "1 day") -> DataFrame:
@@ -17,6 +24,47 @@ def distinct_events(events: DataFrame, key: str = "event_id", delay: str = "1 ho
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
 
+def latest_rows(stream: DataFrame, key: str, order: str, kept: timedelta = timedelta(days=7)) -> DataFrame:
+    """The rows of a stream that are later, by the timestamp `order`, than all of their key before; late and repeated ones, and those without a key or
+    order, are left out. A key's state goes when nothing of it was seen for the time given; the table behind (see keep_latest) still decides rightly."""
+    kind, wait = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields), int(kept.total_seconds() * 1000)
+
+    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = None
+        for pdf in frames:
+            top = pdf.sort_values([order, *(c for c in pdf.columns if c != order)]).iloc[[-1]]
+            if best is None or top[order].iloc[0] > best[order].iloc[0]:
+                best = top
+        if best is not None:
+            at = best[order].iloc[0].to_pydatetime()
+            later = not state.exists or at > state.get[0]
+            if later:
+                state.update((at,))
+            state.setTimeoutDuration(wait)
+            if later:
+                yield best
+
+    rows = stream.where(F.col(key).isNotNull() & F.col(order).isNotNull())
+    return rows.groupBy(key).applyInPandasWithState(step, kind, "at timestamp", "update", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def keep_latest(stream: DataFrame, path: str, checkpoint: str, key: str, order: str, kept: timedelta = timedelta(days=7)) -> None:
+    """Process what is there, so that the table at `path` (see sources.keyed) holds the latest row of each key, and stop. A batch that is repeated after a fault changes nothing."""
+    writer = latest_rows(stream, key, order, kept).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    # timeouts by the clock would make batches without data for ever; the query keeps the setting that it was started with
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        q = writer.foreachBatch(lambda batch, _: keyed.append(batch, path, key)).start()
+    finally:
+        conf.set(name, before)
+    q.awaitTermination()
+
+
 def window_counts(events: DataFrame, size: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """window_start, event_type, n, total: tumbling windows, given out once the watermark has passed them."""
     w = F.window("ts", size)
