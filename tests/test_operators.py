@@ -319,3 +319,50 @@ def test_greedy_groups_of_a_long_chain(spark, monkeypatch, n, last, order):
                 seed.setdefault(k, i)
     got = publishers.greedy_groups(names, pairs).toPandas()
     assert dict(zip(got.norm, got.seed, strict=True)) == {f"c{i:06d}": f"c{seed[i]:06d}" for i in range(n)}
+
+
+def test_sqlite_filters_reach_the_statement(spark, tmp_path):
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull, StringStartsWith
+
+    path = str(tmp_path / "runs.db")
+    with sqlite3.connect(path) as c:
+        c.execute("CREATE TABLE runs (id INTEGER, name TEXT, score REAL)")
+        c.executemany("INSERT INTO runs VALUES (?, ?, ?)", [(i, None if i % 7 == 0 else f"n{i % 5}", i / 2) for i in range(100)])
+    sqlite.register(spark)
+    table = spark.read.format("sqlite_table").option("path", path).option("table", "runs").load()
+    reader = sqlite.SqliteTable({"path": path, "table": "runs", "filters": "true"}).reader(table.schema)
+    given = [EqualTo(("name",), "n1"), GreaterThan(("id",), 5), GreaterThan(("score",), 1.0), In(("id",), (1, 2, 61)), IsNotNull(("name",)), StringStartsWith(("name",), "n"), EqualTo(("id",), "5")]
+    assert list(reader.pushFilters(given)) == [given[2], given[5], given[6]]
+    sql, values = reader.statement(sqlite.Range(1, 101))
+    assert sql.endswith('WHERE rowid >= ? AND rowid < ? AND "name" = ? AND "id" > ? AND "id" IN (?, ?, ?) AND "name" IS NOT NULL')
+    assert values == [1, 101, "n1", 5, 1, 2, 61]
+    for condition in ("id = 61", "name = 'n1' AND id > 50", "name IS NULL", "id IN (3, 4, 700)", "score > 30 AND id <= 70", "name >= 'n3' OR id = 1", "name LIKE 'n2%'", "NOT name = 'n1'"):
+        got = sqlite.rows_where(spark, path, "runs", condition)
+        want = spark.createDataFrame(table.collect(), table.schema).where(condition)
+        assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in want.collect()), condition
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    plan = sqlite.filtered(spark, path, "runs").where("name = 'n1' AND id > 50")._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan" in plan and "Filter (" not in plan  # the scan does it all
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    assert table.where("name >= 'n3' OR id = 1").count() == sqlite.rows_where(spark, path, "runs", "name >= 'n3' OR id = 1").count()
+
+
+def test_archive_members_laterally(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x/one.txt", "1")
+        z.writestr("../out.txt", "2")
+    with tarfile.open(tmp_path / "b.tar.gz", "w:gz") as t:
+        info = tarfile.TarInfo("two.txt")
+        info.size = 1
+        t.addfile(info, io.BytesIO(b"2"))
+    (tmp_path / "c.zip").write_bytes(b"broken")
+    (tmp_path / "d.txt").write_bytes(b"no archive")
+    found = files.discover(spark, str(tmp_path), "*")
+    found.createOrReplaceTempView("found_files")
+    archives.register(spark)
+    want = {(r["archive"], r["member"], bytes(r["content"] or b""), r["error"]) for r in archives.members(found).collect()}
+    got = {(r["path"], r["member"], bytes(r["content"] or b""), r["error"]) for r in spark.sql("SELECT path, m.* FROM found_files, LATERAL archive_members(path, content) m").collect()}
+    assert got == want and len(want) == 4
+    assert spark.sql("SELECT m.* FROM found_files, LATERAL archive_members(path, content, false) m").columns == ["member", "below", "error"]
+    with pytest.raises(Exception, match="path and its content"):
+        spark.sql("SELECT * FROM archive_members(1, 2)").collect()

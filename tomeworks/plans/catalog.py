@@ -11,7 +11,7 @@ from ..functions import text as X
 from ..functions import xmp
 from ..operators import agglomerate, dedupe, keywords, lookup, pages, projection, publishers
 from ..providers.base import ContextLimits, PipelineConfig
-from ..sources import run_log
+from ..sources import keyed, run_log
 from ..sources.staging import local_dir, staged
 from ..streaming import listen
 from . import books, normalise
@@ -549,6 +549,15 @@ def _records(done: DataFrame) -> DataFrame:
     return done.select("doc", F.get_json_object("result", "$.title").alias("title"), j(words).alias("keywords"), "error")
 
 
+@query("SELECT user_id, ts, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def listen_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest event of each user, kept up by a stream."""
+    out, events = run_dir(spark), listen.table_stream(spark, sf_dir, "events")
+    listen.keep_latest(events.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id"), f"{out}/latest", f"{out}/state", "user_id", "ts")
+    got = keyed.lookup(t(spark, sf_dir, "events").select("user_id"), f"{out}/latest", "user_id", "ts", "user_id long, ts timestamp, event_id long")
+    return got.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query(_S_RECORDS)
 def books_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(books.run(_books(spark, sf_dir), CONFIG))
