@@ -155,7 +155,7 @@ def run(docs: DataFrame, config: PipelineConfig, mode: str = "full", attempts: i
 
 def run_batch(docs: DataFrame, config: PipelineConfig, log: str, mode: str = "full", attempts: int = 3, prompt: str = "default") -> DataFrame:
     """pdf_hash, status, error of each distinct content: `cached` if the log holds a run of it with this config and mode,
-    else `processed` or `failed`. Processed ones are appended to the log."""
+    else `processed` or `failed`. Processed ones are appended to the log; where it can't be written they are `not logged`."""
     spark = docs.sparkSession
     signature = json.dumps({"mode": mode, "prompt": PROMPTS.get(prompt, prompt), "config": json.loads(config.to_json())}, sort_keys=True)
     known = run_log.read_runs(spark, log).where(F.col("pipeline_config") == signature).select("pdf_hash").distinct()
@@ -164,6 +164,6 @@ def run_batch(docs: DataFrame, config: PipelineConfig, log: str, mode: str = "fu
     done = staged(run(docs.join(old, "pdf_hash", "left_anti"), config, mode, attempts, prompt))
     good = done.where("result is not null")
     rows = good.select(F.element_at(F.split("path", "/"), -1).alias("pdf_name"), "pdf_hash", F.lit(signature).alias("pipeline_config"), "result", F.current_timestamp().alias("run_timestamp"))
-    run_log.append_runs(rows, log)
-    fresh = done.select("pdf_hash", F.when(F.col("result").isNotNull(), "processed").otherwise("failed").alias("status"), "error")
+    logged = run_log.append_runs(rows, log)
+    fresh = done.select("pdf_hash", F.when(F.col("result").isNotNull(), "processed" if logged else "not logged").otherwise("failed").alias("status"), "error")
     return fresh.unionByName(old.select("pdf_hash", F.lit("cached").alias("status"), F.lit(None).cast("string").alias("error")))

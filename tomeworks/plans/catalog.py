@@ -325,7 +325,7 @@ def dendrogram_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agglomerate.cuts(c, tree, [5, 50, 500, 100000]).select("item", "k", "cluster")
 
 
-@query("""
+@query(r"""
 WITH n AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN p_name || '_' || (p_partkey % 5) || '.pdf' ELSE p_name || '.pdf' END AS target FROM part),
 h AS (SELECT DISTINCT p_name || CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE '_' || s_suppkey % 13 END || '.pdf' AS path FROM part JOIN supplier ON p_partkey = s_suppkey),
 w AS (SELECT DISTINCT target FROM n), a AS (SELECT path FROM h UNION SELECT target FROM w),
