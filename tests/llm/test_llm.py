@@ -418,28 +418,53 @@ def plain_templates(urls, rules):
         for k in {rows[i][1][depth] for i in longer}:
             grow([i for i in longer if rows[i][1][depth] == k], depth + 1)
 
-    def judge(own, depth, purity):
-        n = sum(rows[i][2] is not None for i in own)
-        b = sum(rows[i][2] == "block" for i in own)
+    def count(own):
+        return sum(rows[i][2] is not None for i in own), sum(rows[i][2] == "block" for i in own)
+
+    def share(own):
+        n, b = count(own)
+        return (1000 * b + 500 * (len(own) - n)) // len(own) if n else None
+
+    def told(own, path):
+        """How many other hosts have labels at the branch, and the sum of their shares."""
+        got = [x for h, x in known[path].items() if path and x is not None and h != rows[own[0]][0]]
+        return len(got), sum(got) / 1000
+
+    def smooth(x, at, up):
+        return x if at == up else (at[1] + x * U.HOSTS) / (at[0] + U.HOSTS)
+
+    def judge(own, path, p, g):
+        n, b = count(own)
+        depth, up = len(path), told(own, path)
         for i in own:
             if len(rows[i][1]) == depth:
-                out[i] = (rows[i][2] or ("block" if purity >= U.PURITY else "allow"), "".join("/" + s for s in rows[i][1]))
+                out[i] = (rows[i][2] or ("block" if p >= U.PURITY else "allow"), "".join("/" + s for s in rows[i][1]))
         kids = {}
         for i in own:
             if len(rows[i][1]) > depth:
-                kids.setdefault(rows[i][1][depth], []).append(i)
-        size = {k: (sum(rows[i][2] is not None for i in v), sum(rows[i][2] == "block" for i in v)) for k, v in kids.items()}
-        alike = {k for k, (kn, kb) in size.items() if kn == 0 or abs(kb / kn - b / n) <= U.Z * math.sqrt(b / n * (1 - b / n) / kn)}
+                kids.setdefault((*path, rows[i][1][depth]), []).append(i)
+        size, others, alike = {k: count(v) for k, v in kids.items()}, {k: told(v, k) for k, v in kids.items()}, set()
+        for k, (kn, kb) in size.items():
+            hits, of = (kb, kn) if kn else others[k][::-1]
+            if n and of and abs(hits / of - b / n) <= U.Z * math.sqrt(b / n * (1 - b / n) / of):
+                alike.add(k)
         pool = tuple(sum(size[k][c] for k in alike) for c in (0, 1))
         for k, v in kids.items():
-            kn, kb = pool if k in alike else size[k]
-            judge(v, depth + 1, purity if kn in (0, n) else (kb + purity * U.WEIGHT) / (kn + U.WEIGHT))
+            shown, (kn, kb) = size[k][0] > 0 or k in alike, pool if k in alike else size[k]
+            new, q = smooth(g, others[k], up), smooth(p, others[k], up)
+            judge(v, k, q if n == 0 or shown and kn == n else (kb + q * U.WEIGHT) / (kn + U.WEIGHT) if shown else new, new)
 
-    for h in {r[0] for r in rows}:
-        own = [i for i, r in enumerate(rows) if r[0] == h]
+    hosts = {h: [i for i, r in enumerate(rows) if r[0] == h] for h in {r[0] for r in rows}}
+    known = {}
+    for h, own in hosts.items():
         grow(own, 0)
-        n, b = sum(rows[i][2] is not None for i in own), sum(rows[i][2] == "block" for i in own)
-        judge(own, 0, (b + U.PRIOR * U.WEIGHT) / (n + U.WEIGHT))
+        for i in own:
+            for d in range(len(rows[i][1]) + 1):
+                known.setdefault(tuple(rows[i][1][:d]), {}).setdefault(h, []).append(i)
+    known = {path: {h: share(own) for h, own in by.items()} for path, by in known.items()}
+    for own in hosts.values():
+        n, b = count(own)
+        judge(own, (), (b + U.PRIOR * U.WEIGHT) / (n + U.WEIGHT), U.PRIOR)
     return out
 
 
@@ -453,12 +478,21 @@ def test_op8_tree(spark):
     urls += [f"http://b.shop.example/{r.choice(['bad', 'bad', 'other'])}/{slug()}" for _ in range(120)]
     urls += [f"http://c.shop.example/{r.choice(['good/one', 'good/two', 'else'])}/{slug()}.html" for _ in range(90)]
     urls += ["http://b.shop.example/" + "/".join(["s"] * 400), "http://b.shop.example", "http://b.shop.example/", "http://b.shop.example//", None, "x" * 50_000, ""] + urls[:5]
-    rules = (("block", "shop.example", "/bad/"), ("allow", "shop.example", "/good/"))
+    # what many hosts show of a branch reaches hosts without a rule, and branches of one host that are like it
+    urls += [f"http://h{h}.shop.example/bad/{k}" for h in range(30) for k in range(3)]
+    urls += [f"http://t{h}.free.example/{s}/{k}" for h in range(30) for s in ("trap", "bad") for k in range(2)]
+    urls += [f"http://other.test/{s}/{k}" for s in ("bad", "good", "trap", "new") for k in range(40)] + [f"http://d.shop.example/{s}/{k}" for s in ("bad", "trap", "new") for k in range(50)]
+    rules = (("block", "shop.example", "/bad/"), ("allow", "shop.example", "/good/"), ("block", "free.example", "/trap/"))
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = {x["page_id"]: x for x in url_filter.filter_urls(df, rules).collect()}
     assert [(got[i]["verdict"], got[i]["template"]) for i in range(len(urls))] == plain_templates(urls, rules)
-    only_method = [i for i, x in got.items() if x["rule"] is None and x["verdict"] == "block"]
-    assert only_method and all(urls[i].startswith("http://b.shop.example") for i in only_method)
+    by = collections.defaultdict(set)
+    for i, x in got.items():
+        by[x["host"], x["path"][: 1 + x["path"].find("/", 1)]].add(x["verdict"])
+    assert by["other.test", "/bad/"] == by["other.test", "/trap/"] == by["d.shop.example", "/trap/"] == {"block"}
+    assert by["other.test", "/good/"] == by["other.test", "/new/"] == {"allow"}
+    # a host of one blocked branch loses no other, however many labels that has
+    assert by["d.shop.example", "/new/"] == by["b.shop.example", "/other/"] == {"allow"}
     assert {got[i]["verdict"] for i, u in enumerate(urls) if u and "c.shop" in u} == {"allow"}
     assert any(x["template"].startswith("/bad/x/deep/*/") for x in got.values())
 
