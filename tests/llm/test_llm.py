@@ -7,6 +7,7 @@ from itertools import combinations_with_replacement, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,51 @@ def test_op1(spark, docs, empty, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({w[2] for w in want})
 
 
+def test_op1_partial_overlaps(spark, docs, monkeypatch):
+    """Without patched bounds, each pair's overlap is counted in several fragments and summed."""
+    seen, whole = [], ngram_join._placed
+
+    def placed(*args):
+        out = whole(*args)
+        seen.append(out.agg(F.min("parts"), F.count("*")).first())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_placed", placed)
+    ngram_join.ngram_jaccard_join(docs).count()
+    assert seen[0][0] >= ngram_join.PARTS and seen[0][1] > 0
+    rng = np.random.default_rng(5)
+    common, *rest = (rng.integers(0, 1 << 64, n, np.uint64) for n in (200, 100, 100))
+    sets = [np.unique(np.concatenate([common, x])) for x in rest]
+    one = pa.RecordBatch.from_pylist(
+        [dict(g=1, i=0, j=0, parts=ngram_join.PARTS, block=0, family=7, doc_id=d, n=len(s), mult=1, items=s.tobytes()) for d, s in enumerate(sets)],
+        schema=pa.schema([("g", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("parts", pa.int32()), ("block", pa.int32()), ("family", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("mult", pa.int64()), ("items", pa.binary())]),
+    )
+    cut = pa.Table.from_batches(ngram_join._slices([one]))
+    counts = []
+    for v in range(ngram_join.PARTS):
+        part = cut.filter(pa.compute.equal(cut["v"], v))
+        got = ngram_join._partial(tuple(pa.scalar(x) for x in (1, 0, 0, v)), part)
+        counts.append(int(np.frombuffer(got["pairs"][0].as_py(), ngram_join.PAIR)["c"].sum()))
+    assert all(counts) and sum(counts) == len(np.intersect1d(*sets))
+
+
+def test_op1_block_pairs(spark):
+    """Lists of blocks unroll into the pairs that plain loops give."""
+    rng = np.random.default_rng(2)
+    rows = sorted({(int(rng.integers(0, 40)), int(rng.integers(0, 3)), int(rng.integers(0, 12)), int(rng.integers(1, 3))) for _ in range(300)})
+    want = {(f, b, b) for _, f, b, n in rows if n > 1}
+    for x, f, b, _ in rows:
+        want |= {(f, b, c) for y, g, c, _ in rows if (x, f) == (y, g) and b < c}
+    rows += rows[:20]
+    want |= {(f, b, b) for _, f, b, _ in rows[-20:]}
+    once = collections.Counter((x, f, b) for x, f, b, _ in rows)
+    want |= {(f, b, b) for (_, f, b), n in once.items() if n > 1}
+    cells = np.array(rows, dtype=[(c, "<i8") for c in "xfbn"]).astype(ngram_join.PLACE)
+    df = spark.createDataFrame([vertical.row(0, 0, cells[:200].tobytes()), vertical.row(0, 1, cells[200:].tobytes())], vertical.CELLS)
+    got = [tuple(r) for r in ngram_join.block_pairs(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_op1_one_id_of_two_texts(spark):
     """Documents similar to either text of an id are linked to it."""
     text = lambda c: [f"w{c}{k}" for k in range(60)]

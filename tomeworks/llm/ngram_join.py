@@ -8,9 +8,9 @@ fragments that are handled apart from each other:
 2. The others order the rest of their shingles by frequency, rarest first; two sets with similarity t share one of
    their first n - ceil(t n) + 1 shingles (prefix filter, which holds for any global order). Fragments of those
    prefixes link documents into families, and say which pairs of a family's blocks hold candidate pairs.
-3. The shingles of a pair of blocks are cut into fragments of bounded size; each counts the partial overlaps of the candidate
-   pairs (those that share a prefix shingle) by itself, and a second shuffle sums them per pair and holds the sums against the
-   threshold. Pairs travel as packed counts, one row for each pair of blocks and fragment, and what comes out are numbers
+3. The shingles of a pair of blocks are cut into fragments, PARTS at least and of bounded size; each counts the partial overlaps
+   of the pairs of sets in it by itself, and a second shuffle sums them per pair and holds the sums against the threshold.
+   Pairs travel as packed counts, one row for each pair of blocks and fragment, and what comes out are numbers
    of links and a spanning forest, so that a group of thousands of near copies gives no row for each pair.
 
 A block has the sets of a family whose rarest shared shingle is the same, as far as they fit, so that a family of many small groups
@@ -41,6 +41,8 @@ from .kernels import labels, lower_ascii, mix, shingles
 BLOCK, CLUMP = 128, 32
 #: Shingles of a pair of blocks in one fragment.
 PART_ITEMS = 1_000_000
+#: Fragments of a pair of blocks at least.
+PARTS = 4
 #: Shingles of a family that more sets than this have are counted by matrix products, others by listing pairs.
 DENSE_DF, DENSE_SETS = 12, 64
 DOC = "row long, doc_id long, n int, d1 long, d2 long, lead long, items binary, prefix binary"
@@ -263,27 +265,40 @@ def _places(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-PAIR_SCHEMA = pa.schema([("family", pa.int64()), ("i", pa.int32()), ("j", pa.int32())])
+BLOCKS_SCHEMA = pa.schema([("family", pa.int64()), ("blocks", pa.list_(pa.int32())), ("twice", pa.list_(pa.int32()))])
 
 
-def _block_pairs(t: pa.Table) -> pa.Table:
-    """The pairs of a family's blocks in which two sets share a prefix item of this fragment."""
+def _block_lists(t: pa.Table) -> pa.Table:
+    """Of this fragment, each different list of a family's blocks that share a prefix item, and the blocks that hold an item twice."""
     rows = _places(np.concatenate(V.arrays(t["items"], PLACE)))
     edge = np.flatnonzero(np.concatenate(([True], (rows["item"][1:] != rows["item"][:-1]) | (rows["family"][1:] != rows["family"][:-1]), [True]))) if len(rows) else np.zeros(0, np.int64)
     seen: set[tuple[int, bytes]] = set()
-    out = set()
+    got: list[tuple[int, list, list]] = []
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         family, block = int(rows["family"][a]), rows["block"][a:b]
-        out.update((family, x, x) for x in block[rows["sets"][a:b] > 1].tolist())
         if b - a > 1 and (key := (family, block.tobytes())) not in seen:
             seen.add(key)
-            own = block.tolist()
-            out.update((family, x, y) for n, x in enumerate(own) for y in own[n + 1 :])
-    got = sorted(out)
-    return pa.table([pa.array([x[c] for x in got], kind) for c, kind in enumerate(PAIR_SCHEMA.types)], schema=PAIR_SCHEMA)
-
-
-SLICE = "g long, i int, j int, v int, block int, family long, doc_id long, n int, mult long, items binary, prefix binary"
+            got.append((family, block.tolist(), []))
+    many = rows[rows["sets"] > 1]
+    own = np.unique(np.stack([many["family"], many["block"].astype(np.int64)], 1), axis=0)
+    got += [(int(part[0, 0]), [], part[:, 1].tolist()) for part in np.split(own, np.flatnonzero(np.diff(own[:, 0])) + 1) if len(part)]
+    return pa.table([pa.array([x[c] for x in got], kind) for c, kind in enumerate(BLOCKS_SCHEMA.types)], schema=BLOCKS_SCHEMA)
+
+
+def block_pairs(cells: DataFrame) -> DataFrame:
+    """family, i, j: the pairs of a family's blocks in which two sets share a prefix item. Spark unrolls the lists row by row,
+    so that no task holds the pairs of a family."""
+    lists = cells.groupBy("frag").applyInArrow(_block_lists, "family long, blocks array<int>, twice array<int>").distinct()
+    lists = stash(lists)
+    same = lists.select("family", F.explode("twice").alias("i")).withColumn("j", F.col("i"))
+    left = lists.select("family", "blocks", F.posexplode("blocks").alias("at", "i"))
+    cross = left.select("family", "i", F.explode(F.slice("blocks", F.col("at") + 2, F.size("blocks"))).alias("j"))
+    pairs = stash(same.unionByName(cross).distinct())
+    discard(lists)
+    return pairs
+
+
+SLICE = "g long, i int, j int, v int, block int, family long, doc_id long, n int, mult long, items binary"
 SLICE_NAMES = [c.split()[0] for c in SLICE.split(", ")]
 
 
@@ -293,7 +308,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         at, v, items = [], [], []
         for r, (parts, x) in enumerate(zip(b.column("parts").to_pylist(), V.arrays(b.column("items"), np.uint64), strict=True)):
-            edge = np.searchsorted(V.fragment_of(x, parts), np.arange(parts + 1)) if parts > 1 else np.array([0, len(x)])
+            edge = np.searchsorted(V.fragment_of(x, parts), np.arange(parts + 1))
             at += [r] * parts
             v += range(parts)
             items += [blob(x[p:q]) for p, q in zip(edge[:-1], edge[1:], strict=True)]
@@ -343,25 +358,23 @@ PAIR = np.dtype([("p", "<u4"), ("q", "<u4"), ("c", "<u4")])
 
 
 def _partial(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-    """One fragment of a pair of blocks: the partial overlaps of its candidate pairs, sets numbered in order of their ids."""
+    """One fragment of a pair of blocks: the partial overlaps of its pairs, sets numbered in order of their ids."""
     g, i, j, v = (k.as_py() for k in key)
     t = t.take(pa.array(np.argsort(t["doc_id"].to_numpy(), kind="stable")))
     fam, block = t["family"].to_numpy(), t["block"].to_numpy()
     docs = np.zeros(len(t), SET)
     docs["id"], docs["n"], docs["mult"] = t["doc_id"].to_numpy(), t["n"].to_numpy(), t["mult"].to_numpy()
-    items, prefix = V.arrays(t["items"], np.uint64), V.arrays(t["prefix"], np.uint64)
+    items = V.arrays(t["items"], np.uint64)
     out = [np.zeros(0, PAIR)]
     order = np.argsort(fam, kind="stable")
     for own in np.split(order, np.flatnonzero(np.diff(fam[order])) + 1):
         if len(own) < 2:
             continue
-        flat = lambda parts: overlaps(np.concatenate([parts[k] for k in own]), np.repeat(np.arange(len(own)), [len(parts[k]) for k in own]), len(own))  # noqa: B023, E731
-        pairs, count = flat(items)
-        some = np.isin(pairs, flat(prefix)[0], assume_unique=True)
-        p, q = own[pairs[some] // len(own)], own[pairs[some] % len(own)]
+        pairs, count = overlaps(np.concatenate([items[k] for k in own]), np.repeat(np.arange(len(own)), [len(items[k]) for k in own]), len(own))
+        p, q = own[pairs // len(own)], own[pairs % len(own)]
         cross = block[p] != block[q] if i != j else np.ones(len(p), bool)
         part = np.zeros(int(cross.sum()), PAIR)
-        part["p"], part["q"], part["c"] = p[cross], q[cross], count[some][cross]
+        part["p"], part["q"], part["c"] = p[cross], q[cross], count[cross]
         out.append(part)
     return pa.table([pa.array([x], kind) for x, kind in zip((g, i, j, v, docs.tobytes() if v == 0 else None, np.concatenate(out).tobytes()), SUM_SCHEMA.types, strict=True)], schema=SUM_SCHEMA)
 
@@ -402,7 +415,7 @@ def _placed(sets: DataFrame, family: DataFrame, frags: int) -> DataFrame:
     sizes = member.groupBy("family").agg(F.count("*").alias("members"), F.sum("size").alias("size"))
     sizes = sizes.withColumn("big", (F.col("members") > BLOCK) | (F.col("size") > PART_ITEMS))
     sizes = sizes.withColumn("blocks", F.when(F.col("big"), F.ceil(F.col("members") / BLOCK)).otherwise(1).cast("int"))
-    sizes = stash(sizes.withColumn("parts", F.when(F.col("big"), _pow2(F.col("size") / F.col("members") * F.least(F.col("members"), F.lit(2.0 * BLOCK)) / PART_ITEMS)).otherwise(1)))
+    sizes = stash(sizes.withColumn("parts", F.when(F.col("big"), _pow2(F.col("size") / F.col("members") * F.least(F.col("members"), F.lit(2.0 * BLOCK)) / PART_ITEMS)).otherwise(1)).withColumn("parts", F.greatest("parts", F.lit(PARTS))))
     small = sizes.where("not big").agg(F.coalesce(F.sum("members") / (2 * BLOCK), F.lit(0)).alias("n"), F.coalesce(F.sum("size") / PART_ITEMS, F.lit(0)).alias("s")).first()
     packs = max(1, int(max(small["n"], small["s"])))
     member = member.drop("size").join(sizes.select("family", "big", "blocks", "parts"), "family")
@@ -414,10 +427,10 @@ def _placed(sets: DataFrame, family: DataFrame, frags: int) -> DataFrame:
     big = big.join(clumps, ["family", "lead"]).withColumn("block", F.pmod(F.xxhash64("lead", F.pmod(F.xxhash64("node"), F.col("clumps"))), F.col("blocks")).cast("int"))
     big = stash(big.select(F.col("node").alias("doc_id"), "family", "block", "parts"))
     shared = sets.select("doc_id", "prefix").join(big, "doc_id").select("family", "block", "prefix").mapInArrow(_block_cells(frags), V.CELLS)
-    pairs = stash(shared.groupBy("frag").applyInArrow(_block_pairs, "family long, i int, j int").distinct())
+    pairs = block_pairs(shared)
     each = pairs.select("family", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
     many = big.join(each, ["family", "block"]).select("doc_id", "family", F.col("family").alias("g"), "block", "i", "j", "parts")
-    return sets.select("doc_id", "n", "mult", "items", "prefix").join(few.unionByName(many), "doc_id")
+    return sets.select("doc_id", "n", "mult", "items").join(few.unionByName(many), "doc_id")
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
