@@ -16,6 +16,16 @@ CASES = [
     (X.normalize_keyword, "Sci-Fi", "scifi"),
     (X.normalize_keyword, "", ""),
     (X.normalize_keyword, None, None),
+    (X.normalize_keyword, "CAFÃ‰ Noir", "café noir"),
+    (X.repair_unicode, "Les MisÃ©rables", "Les Misérables"),
+    (X.repair_unicode, "donâ€™t â€” ðŸ˜€", "don’t — 😀"),
+    (X.repair_unicode, "ÐœÐ¾ÑÐºÐ²Ð°".replace("ÑÐ", "Ñ\x81Ð"), "Москва"),
+    (X.repair_unicode, "CAFÉ™ naïve", "CAFÉ™ naïve"),
+    (X.repair_unicode, "Ã© 日本", "Ã© 日本"),
+    (X.repair_unicode, "Ã", "Ã"),
+    (X.repair_unicode, "", ""),
+    (X.repair_unicode, None, None),
+    (lambda x: X.repair_unicode(x, rounds=2), "ÃƒÂ©tÃƒÂ©", "été"),
     (X.normalize_keyword, " A\nB   C ", "a b c"),
     (X.normalize_keyword, "see http://a.b/c?d now", "see <url> now"),
     (X.normalize_publisher, "A Foo Bar Publishing", "foo bar"),

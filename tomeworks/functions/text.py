@@ -12,6 +12,11 @@ URL, EMAIL, PHONE = r"(https?://|www\.)\S+", r"[\w.+-]+@[\w-]+(\.[\w-]+)+", r"\+
 #: Phrases after which a publisher's name ends, and company suffixes.
 LICENSE = r"(under license|produced under license|published under|distributed by|in association with).*$"
 SUFFIX = r"\b(incorporated|inc|llc|ltd|limited|ltda|ab|srl|sas|company|co|gmbh|sa|bv|oy|kg|kk|publishing|press|productions|production|entertainment)\.?\b"
+#: What Windows-1252 has at the bytes 80 to 9F, but for the five that it leaves free, and those bytes.
+CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+CP1252_BYTES = "".join(c.encode("cp1252").decode("latin-1") for c in CP1252)
+#: The first two bytes of a Latin, Greek or Cyrillic letter or of a longer sequence, read one by one.
+MISREAD = rf"[\x{{C2}}-\x{{C5}}\x{{CE}}-\x{{D1}}\x{{E2}}-\x{{F0}}][\x{{80}}-\x{{BF}}{CP1252}]"
 ARCHIVE = r"(?i)\.(tar\.gz|tgz|tar\.bz2|tbz2|tbz|tar|zip|7z)$"
 
 
@@ -19,9 +24,21 @@ def blank_to_null(x: Column) -> Column:
     return F.nullif(F.trim(x), F.lit(""))
 
 
+def repair_unicode(x: Column, rounds: int = 1) -> Column:
+    """UTF-8 that was read as Windows-1252 (or Latin-1) as what it was; `rounds` times over.
+
+    Only where the whole text, taken back to bytes, is UTF-8 again; other text stays, also where parts of it look misread. Two-byte
+    letters beyond Latin, Greek and Cyrillic aren't repaired by themselves, so that a capital before a sign (CAFÉ™) stays."""
+    for _ in range(rounds):
+        latin = F.translate(x, CP1252, CP1252_BYTES)
+        back = F.try_validate_utf8(F.encode(latin, "ISO-8859-1").cast("string"))
+        x = F.when(x.rlike(MISREAD) & latin.rlike(r"^[\x{0}-\x{FF}]*$"), F.coalesce(back, x)).otherwise(x)
+    return x
+
+
 def normalize_keyword(x: Column) -> Column:
-    """Lower case on one line; URLs, addresses and phone numbers as tokens; no punctuation; single spaces."""
-    plain = x = F.lower(x)
+    """Misread UTF-8 repaired; lower case on one line; URLs, addresses and phone numbers as tokens; no punctuation; single spaces."""
+    plain = x = F.lower(repair_unicode(x))
     for pattern, token in ((URL, "<url>"), (EMAIL, "<email>"), (PHONE, "<phone>"), (r"\p{P}", ""), (r"\s+", " ")):
         x = F.regexp_replace(x, pattern, token)
     return F.when(plain.rlike(r"^\p{L}+$"), plain).otherwise(F.trim(x))  # most words are letters only

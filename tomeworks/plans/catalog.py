@@ -81,6 +81,21 @@ def normalize_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "part").select("p_partkey", F.expr(_RAW).alias("raw")).select("p_partkey", X.normalize_keyword(F.col("raw")).alias("keyword"))
 
 
+_MISREAD = "CASE p_partkey % 7 WHEN 0 THEN replace(p_name, 'e', 'Ã©') WHEN 1 THEN replace(p_name, 'a', 'ÃƒÂ¡') WHEN 2 THEN p_name || ' itâ€™s â€œnewâ€\x9d' WHEN 3 THEN p_name || ' CAFÉ™ naïve' WHEN 4 THEN replace(p_name, 'o', 'Ã¶') || ' 日' WHEN 5 THEN replace(p_name, 'i', 'Ð¸') ELSE p_name END"
+
+
+def s_repaired(x: str) -> str:
+    latin = f"translate({x}, '{X.CP1252}', '{X.CP1252_BYTES}')"
+    back = f"decode(unhex(array_to_string(list_transform(string_split({latin}, ''), lambda c: printf('%02X', unicode(c))), '')))"
+    return f"CASE WHEN regexp_matches({x}, '{X.MISREAD}') AND regexp_full_match({latin}, '[\\x{{0}}-\\x{{FF}}]*') THEN coalesce(TRY({back}), {x}) ELSE {x} END"
+
+
+@query(f"SELECT p_partkey, repaired, {s_repaired('repaired')} AS twice FROM (SELECT p_partkey, {s_repaired('raw')} AS repaired FROM (SELECT p_partkey, {_MISREAD} AS raw FROM part))")
+def repaired_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = t(spark, sf_dir, "part").select("p_partkey", F.expr(_MISREAD).alias("raw"))
+    return raw.select("p_partkey", X.repair_unicode(F.col("raw")).alias("repaired"), X.repair_unicode(F.col("raw"), rounds=2).alias("twice"))
+
+
 _PUB = "CASE p_partkey % 7 WHEN 0 THEN 'A ' || p_name || ' Publishing' WHEN 1 THEN p_name || ', Inc.' WHEN 2 THEN p_name || ' LLC Games' WHEN 3 THEN p_name || ' distributed by ' || p_brand WHEN 4 THEN 'Press' WHEN 5 THEN upper(p_name) || ' GmbH & Co. KG' ELSE p_name END"
 
 
