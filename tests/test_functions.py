@@ -118,6 +118,25 @@ def test_xmp_round_trip(spark):
     assert tuple(got) == ('a < b & "c"', ["A", "B & C"], "0306406152", "S", 2.5, None, [])
 
 
+def test_xmp_of_other_writers(spark):
+    names = " ".join(f'xmlns:{k}="{v}"' for k, v in xmp.SPACES.items())
+    one = "<rdf:Description><dc:title><rdf:Alt><rdf:li> </rdf:li><rdf:li xml:lang='de'> A &amp; B </rdf:li></rdf:Alt></dc:title><dc:subject><rdf:Bag><rdf:li>x</rdf:li><rdf:li/><rdf:li>y</rdf:li><rdf:li>x</rdf:li></rdf:Bag></dc:subject><xmp:CreateDate>unknown</xmp:CreateDate></rdf:Description>"
+    item = lambda scheme, v: f"<rdf:li rdf:parseType='Resource'><xmpidq:Scheme>{scheme}</xmpidq:Scheme>{v}</rdf:li>"
+    two = "<rdf:Description><xmp:Identifier><rdf:Bag>" + item("ISBN", "<rdf:value>0-306-40615-x</rdf:value>") + item("google", "<rdf:value>g1</rdf:value>") + item("Google", "<rdf:value>g2</rdf:value>") + item("google", "") + "<rdf:li><rdf:Description><xmpidq:Scheme>amazon</xmpidq:Scheme><rdf:value>B0</rdf:value></rdf:Description></rdf:li></rdf:Bag></xmp:Identifier><calibre:series rdf:parseType='Resource'><rdf:value>S</rdf:value><calibre:series_index>two</calibre:series_index></calibre:series></rdf:Description>"
+    whole = f'<?xpacket begin="" id="W5M0MpCehiHzreSzNTczkc9d"?><x:xmpmeta xmlns:x="adobe:ns:meta/"><rdf:RDF {names}>{one}{two}</rdf:RDF></x:xmpmeta><?xpacket end="w"?>'
+    bare = f"<rdf:RDF {names}>{one}</rdf:RDF>"
+    plain = f"<rdf:RDF {names}><rdf:Description><dc:title>no list</dc:title><xmp:CreatorTool>tool</xmp:CreatorTool></rdf:Description></rdf:RDF>"
+    texts = [whole, bare, plain, "<a/>", "", "no xml", whole[: len(whole) // 2], None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string").select("i", xmp.record(F.col("x")).alias("r")).orderBy("i").collect()
+    got = [x["r"].asDict() for x in rows]
+    assert (got[0]["title"], got[0]["categories"], got[0]["authors"], got[0]["create_date"]) == ("A & B", ["x", "y"], [], None)
+    assert (got[0]["isbn"], got[0]["isbn10"], got[0]["isbn13"], got[0]["google_id"], got[0]["asin"]) == ("0-306-40615-x", "030640615x", None, "g2", "B0")
+    assert (got[0]["series_name"], got[0]["series_number"]) == ("S", None)
+    assert (got[1]["title"], got[1]["isbn"], got[2]["title"], got[2]["creator_tool"]) == ("A & B", None, None, "tool")
+    nothing = {k: [] if k in ("authors", "categories") else None for k in xmp.FIELDS}
+    assert got[3:] == [nothing] * 5
+
+
 def test_candidates(spark):
     assert value(spark, lookup.candidates_text(F.array().cast("array<string>"))) == "No candidates provided"
     assert value(spark, lookup.candidates_text(F.array(F.lit("{bad"), F.lit('{"a":1}')))) == 'CANDIDATE 1:\n{"a":1}'

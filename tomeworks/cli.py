@@ -204,7 +204,7 @@ def main(argv: list[str] | None = None) -> int:
             print(r["status"], r["count"])
         return 0
     if a.command == "inspect":
-        record = F.struct("path", "page_count", "error", metadata.from_info(F.coalesce("info", F.create_map().cast("map<string,string>")), F.col("path")).alias("record"), F.struct(*[v.alias(k) for k, v in xmp.read_xmp(F.col("xmp")).items()]).alias("xmp"))
+        record = F.struct("path", "page_count", "error", metadata.from_info(F.coalesce("info", F.create_map().cast("map<string,string>")), F.col("path")).alias("record"), xmp.record(F.col("xmp")).alias("xmp"))
         for r in pdf.documents(files.discover(spark, a.folder)).select(F.to_json(record).alias("line")).orderBy("line").toLocalIterator():
             print(r["line"])
         return 0

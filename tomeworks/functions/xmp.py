@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank_to_null
+from .text import blank_to_null, drop_blank, isbn_with_x
 
 #: Namespaces, and the schemes of identifiers with the columns that fill them.
 SPACES = {
@@ -17,6 +17,8 @@ SPACES = {
     "calibreSI": "http://calibre-ebook.com/xmp-namespace-series-index",
 }
 SCHEMES = (("google", "google_id"), ("goodreads", "goodreads_id"), ("comicvine", "comicvine_id"), ("hardcover", "hardcover_id"), ("amazon", "asin"), ("isbn", "isbn"))
+#: What is read of a packet.
+FIELDS = ("title", "description", "publisher", "language", "authors", "categories", *(c for _, c in SCHEMES), "isbn10", "isbn13", "series_name", "series_number", "creator_tool", "create_date")
 
 
 def escape(x: Column) -> Column:
@@ -66,24 +68,57 @@ def write_xmp(m: dict[str, Column], now: Column, creator_tool: str = "tomeworks"
     )
 
 
-def _path(name: str) -> str:
-    # prefixed names find nothing in Spark's xpath functions, so elements are told by name()
-    return f"//*[name()='{name}']"
+_ITEMS = "struct<`rdf:li`:array<string>>"
+_BOX = f"struct<`rdf:Alt`:{_ITEMS},`rdf:Bag`:{_ITEMS},`rdf:Seq`:{_ITEMS}>"
+_PAIR = "`xmpidq:Scheme`:string,`rdf:value`:string"
+_INDEX = ("calibreSI:series_index", "calibre:series_index", "series_index", "calibreSI:seriesIndex", "calibre:seriesIndex")
+_BLOCKS = "array<struct<{}>>".format(
+    ",".join(
+        [f"`dc:{n}`:{_BOX}" for n in ("title", "description", "publisher", "language", "creator", "subject")]
+        + [f"`xmp:Identifier`:struct<`rdf:Bag`:struct<`rdf:li`:array<struct<{_PAIR},`rdf:Description`:struct<{_PAIR}>>>>>"]
+        + ["`calibre:series`:struct<`rdf:value`:string,{}>".format(",".join(f"`{n}`:string" for n in _INDEX)), "`xmp:CreatorTool`:string", "`xmp:CreateDate`:string"]
+    )
+)
+#: What is read of a packet; its root is x:xmpmeta or rdf:RDF itself.
+PACKET = f"struct<`rdf:RDF`:struct<`rdf:Description`:{_BLOCKS}>,`rdf:Description`:{_BLOCKS}>"
+
+
+def _record(r: Column) -> Column:
+    blocks = F.coalesce(r["rdf:RDF"]["rdf:Description"], r["rdf:Description"])
+    first = lambda values: F.try_element_at(F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: blank_to_null(v).isNotNull()), F.lit(1))
+
+    def listed(name: str) -> Column:
+        none = F.array().cast("array<string>")
+        each = F.transform(blocks, lambda d: F.concat(*[F.coalesce(d[f"dc:{name}"][f"rdf:{kind}"]["rdf:li"], none) for kind in ("Alt", "Bag", "Seq")]))
+        return F.coalesce(drop_blank(F.flatten(each)), none)
+
+    within = F.flatten(F.transform(blocks, lambda d: F.coalesce(d["xmp:Identifier"]["rdf:Bag"]["rdf:li"], F.array())))
+    pairs = F.transform(within, lambda p: F.struct(F.lower(F.trim(F.coalesce(p["xmpidq:Scheme"], p["rdf:Description"]["xmpidq:Scheme"]))).alias("scheme"), blank_to_null(F.coalesce(p["rdf:value"], p["rdf:Description"]["rdf:value"])).alias("value")))
+    named = lambda scheme: F.try_element_at(F.filter(pairs, lambda p: (p["scheme"] == scheme) & p["value"].isNotNull()), F.lit(-1))["value"]
+    isbn = isbn_with_x(named("isbn"))
+    index = first(F.transform(blocks, lambda d: F.coalesce(*[blank_to_null(d["calibre:series"][n]) for n in _INDEX])))
+    out = {n: F.try_element_at(listed(n), F.lit(1)) for n in ("title", "description", "publisher", "language")}
+    out |= {"authors": F.array_distinct(listed("creator")), "categories": F.array_distinct(listed("subject"))}
+    out |= {column: named(scheme) for scheme, column in SCHEMES}
+    out |= {"isbn10": isbn["isbn10"], "isbn13": isbn["isbn13"]}
+    out["series_name"] = first(F.transform(blocks, lambda d: d["calibre:series"]["rdf:value"]))
+    out["series_number"] = index.try_cast("float")
+    out["creator_tool"] = first(F.transform(blocks, lambda d: d["xmp:CreatorTool"]))
+    out["create_date"] = F.try_to_date(F.substring(first(F.transform(blocks, lambda d: d["xmp:CreateDate"])), 1, 10), "yyyy-MM-dd")
+    return F.struct(*[v.alias(k) for k, v in out.items()])
+
+
+def record(x: Column) -> Column:
+    """A packet as one struct, of one parse. Absent values are null, absent lists empty, as all are in a null, empty or broken
+    packet; of two identifiers of one scheme the last counts."""
+    # a lambda binds what was parsed, so that no optimizer rule can copy the parse into each field
+    return F.element_at(F.transform(F.array(F.from_xml(x, PACKET)), _record), 1)
 
 
 def read_xmp(x: Column) -> dict[str, Column]:
-    """Columns of a packet; absent values are null, absent lists empty."""
-    one = lambda p: blank_to_null(F.xpath_string(x, F.lit(p)))
-    many = lambda n: F.xpath(x, F.lit(f"{_path(n)}//*[name()='rdf:li']/text()"))
-    ident = lambda s: one(f"//*[local-name()='Scheme' and translate(text(), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')='{s}']/../*[local-name()='value']")
-    out = {k: one(f"{_path('dc:' + k)}//*[name()='rdf:li']") for k in ("title", "description", "publisher", "language")}
-    out |= {"authors": F.array_distinct(many("dc:creator")), "categories": F.array_distinct(many("dc:subject"))}
-    out |= {column: ident(scheme) for scheme, column in SCHEMES}
-    out["series_name"] = one("//*[name()='calibre:series']/*[local-name()='value']")
-    out["series_number"] = F.try_to_number(one("//*[local-name()='series_index' or local-name()='seriesIndex']"), F.lit("999999.99")).cast("float")
-    out["creator_tool"] = one(_path("xmp:CreatorTool"))
-    out["create_date"] = F.to_date(F.substring(one(_path("xmp:CreateDate")), 1, 10))
-    return out
+    """record's fields as columns by name."""
+    r = record(x)
+    return {k: r[k] for k in FIELDS}
 
 
 def differs(a: Column, b: Column) -> Column:

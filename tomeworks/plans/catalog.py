@@ -380,8 +380,8 @@ def _packet(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p_partkey, p_name || ' <&> ' || p_type AS title, p_brand AS publisher, p_brand || '|' || p_name AS authors, p_type AS categories, 'g' || p_partkey AS google_id, NULL::VARCHAR AS asin, '978' || lpad(p_partkey::VARCHAR, 10, '0') AS isbn,
   CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS series_name, CASE WHEN p_partkey % 2 = 0 THEN round(p_size / 4, 2) END AS series_number, (date '2001-01-01' + p_size)::DATE AS create_date, 'tomeworks' AS creator_tool FROM part""")
 def xmp_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = xmp.read_xmp(F.col("packet"))
-    return _packet(spark, sf_dir).select("p_partkey", r["title"].alias("title"), r["publisher"].alias("publisher"), j(r["authors"]).alias("authors"), j(r["categories"]).alias("categories"), r["google_id"].alias("google_id"), r["asin"].alias("asin"), r["isbn"].alias("isbn"), r["series_name"].alias("series_name"), F.round(r["series_number"].cast("double"), 2).alias("series_number"), r["create_date"].alias("create_date"), r["creator_tool"].alias("creator_tool"))
+    r = _packet(spark, sf_dir).select("p_partkey", xmp.record(F.col("packet")).alias("r")).select("p_partkey", "r.*")
+    return r.select("p_partkey", "title", "publisher", j(F.col("authors")).alias("authors"), j(F.col("categories")).alias("categories"), "google_id", "asin", "isbn", "series_name", F.round(F.col("series_number").cast("double"), 2).alias("series_number"), "create_date", "creator_tool")
 
 
 @query("SELECT p_partkey, false AS same, p_partkey % 3 = 0 AS changed, true AS unknown FROM part")
