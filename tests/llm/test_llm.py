@@ -704,6 +704,19 @@ def test_pipeline_ids(spark, tmp_path):
     assert sorted(r["text"] for r in decontaminate.clean(df, bench, block_words=20).collect()) == sorted(r[1] for r in rows if r[1] not in [text(i) for i in range(4)])
 
 
+def test_rows_of_one_key(spark, monkeypatch):
+    """Rows whose first hash is equal are told apart by the second: no text is lost, and equal rows are still one."""
+    text = lambda i: " ".join(f"word{chr(97 + i)}{chr(97 + k)}" for k in range(20))
+    rows = [(i, text(i)) for i in range(12)] + [(20 + i, text(i) + " more") for i in range(4)] + [(i, text(i)) for i in range(3)] + [(None, text(1)), (None, text(13)), (None, text(13)), (30, ""), (31, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted([(i, text(i)) for i in range(12)] + [(None, text(13)), (30, ""), (31, None)], key=str)
+    for few in (1, 3):
+        monkeypatch.setattr(ngram_join, "row_key", lambda i, t, few=few: F.pmod(F.xxhash64(i, t), F.lit(few)))
+        assert sorted(((r["doc_id"], r["text"]) for r in ngram_join.one_row_of_each(df).collect()), key=str) == want
+        monkeypatch.undo()
+    assert sorted(((r["doc_id"], r["text"]) for r in ngram_join.one_row_of_each(df).collect()), key=str) == want
+
+
 def test_pipeline_columns(spark, tmp_path):
     """Further columns, whatever their names, and empty tables go through every stage."""
     import corpus_pipeline

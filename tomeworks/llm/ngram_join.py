@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vertical as V
@@ -480,17 +480,33 @@ def _only_sizes(k: int):
     return run
 
 
+def row_key(id: Column, text: Column) -> Column:
+    """64 bits of a row, of which some rows among 10^10 share theirs with another."""
+    return F.xxhash64(id, text)
+
+
+def with_row_keys(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame:
+    """docs with the column `key`, equal where id and text are. Where rows of one row_key differ in a second hash, all but those
+    of its least value go by both; the few such keys are a table of their own."""
+    check, least = free_name(docs, "row_check"), free_name(docs, "row_least")
+    keyed = docs.withColumns({key: row_key(F.col(id_col), F.col(text_col)), check: F.xxhash64(F.lit(1), F.col(text_col), F.col(id_col))})
+    shared = stash(keyed.groupBy(key).agg(F.min(check).alias(least), F.max(check).alias("most")).where(F.col(least) != F.col("most")).drop("most"))
+    own = F.when(F.col(least) != F.col(check), F.xxhash64(check, key)).otherwise(F.col(key))
+    return keyed.join(shared, key, "left").withColumn(key, own).select(*docs.columns, key)
+
+
 def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near copies, the one of smallest id, null ones last.
 
-    Rows are told apart by a 64-bit hash of id and text, so neither null ids nor an id that different texts have lose
+    Rows are told apart by two 64-bit hashes of id and text, so neither null ids nor an id that different texts have lose
     rows; rows of equal id and text are one."""
     key = free_name(docs, "row_key")
-    keyed = docs.withColumn(key, F.xxhash64(id_col, text_col))
+    keyed = with_row_keys(docs, key, id_col, text_col)
     ids = keyed.select(F.col(key).alias("key"), F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key")).alias("rank"))
     joined = stash(ngram_jaccard_join(keyed, id_col=key, text_col=text_col).select(F.col("doc_id").alias("key"), "component_id").distinct())
     first = ids.join(joined, "key").groupBy("component_id").agg(F.min("rank").alias("rank"))
     keep = stash(first.select(F.col("rank.key").alias(key)))
+    discard(joined)
     return keyed.dropDuplicates([key]).join(keep, key, "left_semi").select(*docs.columns)
 
 
