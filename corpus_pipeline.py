@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeworks.llm import bpe, decontaminate, langid, ngram_join, secrets
-from tomeworks.llm.base import stash, table
+from tomeworks.llm.base import discard, stash, table
 from tomeworks.llm.registry import BPE_FILE, tokenizer_path
 
 
@@ -50,6 +50,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = stash(stage(spark, docs, sf_dir), "snappy")
+    for n, (_, stage) in enumerate(STAGES[:-1]):
+        docs, read = stash(stage(spark, docs, sf_dir), "snappy"), docs
+        if n:
+            discard(read)
     return STAGES[-1][1](spark, docs, sf_dir)
