@@ -76,3 +76,65 @@ def test_near_pairs(spark, monkeypatch):
         for limit in (0.02, 0.3):
             got = sorted((r["a"], r["b"]) for r in agglomerate.near_pairs(nodes, limit).collect())
             assert got == [(int(a), int(b)) for a, b in np.argwhere(d < limit) if a != b]
+
+
+def by_matrix(x, k):
+    """The cluster of each row, by the tree that merge_order gives from all distances."""
+    return partition(dict(enumerate(keywords.average_linkage(x, clusters=k))))
+
+
+@pytest.mark.parametrize("searches", [8, 1])
+def test_merges_without_distances(monkeypatch, searches):
+    monkeypatch.setattr(agglomerate, "SEARCHES", searches)
+    monkeypatch.setattr(agglomerate, "AT_ONCE", 1000)
+    hub = np.eye(60) + np.linspace(0, 0.5, 60)[:, None]  # one and the same is nearest to many
+    for x in (vectors(300), vectors(2), vectors(1), hub):
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        h, a, b = agglomerate.merge_sums(unit, np.ones(len(x)))
+        want = keywords.merge_order(1 - unit @ unit.T, np.ones(len(x)))
+        assert np.allclose(np.sort(h), [m[0] for m in want]) and len(h) == len(x) - 1
+        assert (a < b).all() and len(set(b)) == len(b)
+        for k in (1, 7, len(x)):
+            assert partition(dict(enumerate(agglomerate.cut_vectors(x, k)))) == by_matrix(x, k)
+
+
+@pytest.mark.parametrize("whole,tile,numbers", [(16384, 16384, 0), (100, 16384, 1 << 22), (60, 25, 0)])
+def test_label_clusters(spark, monkeypatch, whole, tile, numbers):
+    """Labels of one task and labels in rounds, of any sizes, at once; copies, zero vectors and broken ones."""
+    monkeypatch.setattr(agglomerate, "WHOLE", whole)
+    monkeypatch.setattr(agglomerate, "TILE", tile)
+    monkeypatch.setattr(agglomerate, "NUMBERS", numbers)
+    x = {"a": vectors(180, 1), "b": vectors(130, 2), "c": vectors(30, 3)}
+    x["b"] = np.concatenate([x["b"], x["b"][:20], np.zeros((3, 6))])
+    x["d"] = np.random.default_rng(6).normal(size=(110, 9))  # of another length
+    rows = [(i, [float(v) for v in r], label) for label, part in x.items() for i, r in enumerate(part)]
+    rows += [(900, None, "a"), (None, [1.0] * 6, "a"), (901, [1.0] * 6, None)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label string")
+    for k in (8,) if whole < 100 else (1, 8):
+        got = agglomerate.label_clusters(df, "label", "id", "v", k).collect()
+        assert len(got) == len(rows) - 3
+        for label, part in x.items():
+            own = {r["id"]: r["cluster_id"] for r in got if r["label"] == label}
+            assert partition(own) == by_matrix(part, k)
+            firsts = [min(i for i in own if own[i] == c) for c in range(len(set(own.values())))]
+            assert firsts == sorted(firsts)
+    odd = spark.createDataFrame([(1, [float("nan"), 1.0], 0), (2, [None, 1.0], 0), (3, [1.0, 0.0], 0), (4, [2.0, 0.0], 0)], "id long, v array<double>, label int")
+    got = {r["id"]: r["cluster_id"] for r in agglomerate.label_clusters(odd, "label", "id", "v", 3).collect()}
+    assert got == {1: 0, 2: 1, 3: 2, 4: 2}
+
+
+def test_large_labels_share_rounds(spark, tmp_path, monkeypatch):
+    """Six labels beyond one task take about as many Spark jobs as one of them."""
+    from tomeworks.plans import normalise
+
+    monkeypatch.setattr(agglomerate, "WHOLE", 60, raising=False)
+    jobs = []
+    for labels in (1, 6):
+        rows = [(i, [float(v) for v in r], n) for n in range(labels) for i, r in enumerate(vectors(90, 7))]
+        df = spark.createDataFrame(rows, "id long, v array<double>, label int")
+        spark.sparkContext.setJobGroup(f"labels-{labels}", "")
+        got = normalise.clusters_of_labels(df, "label", "id", "v", 8, 60)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"labels-{labels}")))
+        assert got.select("block", "cluster_id").distinct().count() == 8 * labels
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] < 1.3 * jobs[0]

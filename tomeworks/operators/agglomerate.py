@@ -8,6 +8,10 @@ graph of near pairs, made once by a range join, is kept from round to round by r
 for, the distance is raised from stage to stage. Once LAST clusters or fewer are left, one task does the rest.
 
 The tree is a table: each item but the first of a tree is absorbed once, by a smaller one, at a height.
+
+`label_clusters` cuts the trees of many labels to a number of clusters each. A label of up to WHOLE vectors is one task, which keeps
+sums of vectors and no distances; the larger ones share their rounds, whatever their number, in which clusters whose nearest one is gone look for it among all
+of their label, in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -18,10 +22,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import staged
+from ..sources.staging import staged, unstaged
 from .dedupe import ranked
 from .keywords import merge_order
 
@@ -29,6 +34,9 @@ from .keywords import merge_order
 LAST, SIDE, CELL, PIVOTS = 4096, 2048, 1024, 1024
 #: Distances of the stages where a number of clusters is asked for; the last is above any distance.
 STAGES = (0.05, 0.1, 0.2, 0.4, 0.8, 1.6, 2.1)
+#: Clusters of a label that one task takes where it keeps no distances, and numbers in those it takes once few of them search; clusters of
+#: one side of a tile, products held at once, and searches a cluster after which chains take over.
+WHOLE, NUMBERS, TILE, AT_ONCE, SEARCHES = 16384, 1 << 22, 16384, 1 << 22, 8
 
 
 def _product(a: Column, b: Column) -> Column:
@@ -202,3 +210,252 @@ def cuts(items: DataFrame, tree: DataFrame, ks: list[int]) -> DataFrame:
 def clusters_below(items: DataFrame, tree: DataFrame) -> DataFrame:
     """item, cluster: the clusters that all merges of the tree give."""
     return cuts(items, tree, [0]).select("item", "cluster")
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """A list column, whose lists must be of one length, as rows; null components are NaN."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    widths = np.unique(flat.value_lengths().to_numpy(zero_copy_only=False))
+    if len(widths) > 1:
+        raise ValueError(f"vectors of different lengths: {widths[:5].tolist()}")
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(flat), int(widths[0]) if len(widths) else 0)
+
+
+def _unit_rows(x: np.ndarray) -> np.ndarray:
+    """Unit vectors; zero ones, and those with components that are null or not finite, become zero vectors."""
+    x = np.where(np.isfinite(x).all(1)[:, None], x, 0.0)
+    most = np.abs(x).max(axis=1, initial=0)[:, None]
+    x = x / np.where(most > 0, most, 1)
+    norm = np.sqrt((x * x).sum(1))[:, None]
+    return x / np.where(norm > 0, norm, 1)
+
+
+def _mutual(near: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """a, b, d of the pairs that are the nearest ones of both ends, a < b.
+
+    A pair counts at its lower distance for either end, so the nearest pair of all is among them even if rounding tells its ends apart."""
+    k, at = len(near), np.arange(len(near))
+    key = np.minimum(at, near) * k + np.maximum(at, near)
+    order = np.lexsort((key, d))
+    a, b = np.divmod(key[order], k)
+    best = np.full(k, k)
+    np.minimum.at(best, a, at)
+    np.minimum.at(best, b, at)
+    ok = (best[a] == at) & (best[b] == at)
+    return a[ok], b[ok], d[order][ok]
+
+
+def _chain(s: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """height, a, b of all merges by a chain of nearest neighbours: three searches a cluster at most."""
+    s, size, m = s.copy(), size.copy(), s / size[:, None]
+    live, first, chain, merges = np.ones(len(s), bool), 0, [], []
+    for _ in range(len(s) - 1):
+        while not chain:
+            chain, first = ([first] if live[first] else []), first + (not live[first])
+        while True:
+            d = 1 - m @ m[chain[-1]]
+            d[~live] = d[chain[-1]] = np.inf
+            b = int(d.argmin())
+            # each step is nearer by more than rounding, else a chain might run in a circle
+            if len(chain) > 1 and d[chain[-2]] <= d[b] + 1e-12:
+                break
+            chain.append(b)
+        height = float(d[chain[-2]])
+        lo, hi = sorted((chain.pop(), chain.pop()))
+        merges.append((height, lo, hi))
+        s[lo] += s[hi]
+        size[lo] += size[hi]
+        m[lo], live[hi] = s[lo] / size[lo], False
+    h, a, b = zip(*merges, strict=True) if merges else ((), (), ())
+    return np.array(h, float), np.array(a, np.int64), np.array(b, np.int64)
+
+
+def merge_sums(s: np.ndarray, size: np.ndarray, near: np.ndarray | None = None, d: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """height, a, b of all merges of b into a < b, from the sums of unit vectors and the sizes of clusters; what merge_order gives, in
+    memory that is linear in the clusters. near, d: the nearest one of each cluster so far as it is known (else below 0), and its distance.
+
+    Pairs that are nearest to each other merge all at once, and only clusters whose nearest one is gone search again. Many that have one
+    and the same nearest would search each time it grows, so chains do the rest after SEARCHES searches a cluster."""
+    s, size, ids, out, left = s.copy(), size.astype(float), np.arange(len(s)), [], SEARCHES * len(s)
+    near, d = (np.full(len(s), -1), np.zeros(len(s))) if near is None else (near.copy(), d.copy())
+    stale = near < 0
+    while (k := len(ids)) > 1:
+        if left < 0:
+            h, a, b = _chain(s, size)
+            out.append((h, ids[a], ids[b]))
+            break
+        m, rows = s / size[:, None], np.flatnonzero(stale)
+        left -= len(rows) + 16  # what a round takes besides
+        for at in range(0, len(rows), step := max(1, AT_ONCE // k)):
+            r = rows[at : at + step]
+            p = m[r] @ m.T
+            p[np.arange(len(r)), r] = -np.inf
+            near[r] = p.argmax(1)
+            d[r] = 1 - p[np.arange(len(r)), near[r]]
+        a, b, h = _mutual(near, d)
+        out.append((h, ids[a], ids[b]))
+        s[a] += s[b]
+        size[a] += size[b]
+        touched, kept = np.zeros(k, bool), np.ones(k, bool)
+        touched[a] = touched[b] = True
+        kept[b] = False
+        stale, place = (touched | touched[near])[kept], np.cumsum(kept) - 1
+        s, size, ids, d, near = s[kept], size[kept], ids[kept], d[kept], place[near[kept]]
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def cut_vectors(x: np.ndarray, clusters: int) -> np.ndarray:
+    """The cluster of each of the rows, named by its first row: the lowest merges until `clusters` are left. Equal vectors merge
+    first, but for zero vectors, which are at distance 1 from each other too."""
+    unit, n = _unit_rows(x), len(x)
+    own = np.where(unit.any(1), 0, np.arange(1, n + 1))
+    _, first, same, size = np.unique(np.c_[unit, own], axis=0, return_index=True, return_inverse=True, return_counts=True)
+    rep = first[same]
+    more, order = np.flatnonzero(rep != np.arange(n)), np.argsort(first)
+    first, size = first[order], size[order]
+    h, a, b = merge_sums(unit[first] * size[:, None], size)
+    h, a, b = np.concatenate((np.zeros(len(more)), h)), np.concatenate((rep[more], first[a])), np.concatenate((more, first[b]))
+    low = np.argsort(h, kind="stable")[: max(0, n - clusters)]
+    up = np.arange(n)
+    up[b[low]] = a[low]
+    while (up != up[up]).any():
+        up = up[up]
+    return up
+
+
+def _by_label(df: DataFrame, labels: int) -> DataFrame:
+    """df in so many partitions that labels seldom share one; sizes in bytes don't tell how long a label takes."""
+    return df.repartition(min(4096, max(4 * labels, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "label")
+
+
+def _search(nodes: DataFrame, sizes: DataFrame, tiles: int) -> DataFrame:
+    """nodes with near and d where they had none: each one's nearest of its label, the smaller id if there are several.
+
+    Those that search meet all of their label in tiles; a row travels once for each of the tiles that it is in."""
+    side = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    met = nodes.select("label", "id", "near", F.transform("s", lambda x: x / F.col("n")).alias("m")).join(sizes.where("asking > 0"), "label")
+    left = met.where("near is null").select("label", side("asking").alias("i"), each("tiles").alias("j"), "id", "m").repartition(tiles, "label", "i", "j")
+    right = met.select(F.col("label").alias("l2"), each("asking").alias("i2"), side("tiles").alias("j2"), F.col("id").alias("id2"), F.col("m").alias("m2")).repartition(tiles, "l2", "i2", "j2")
+    kind = pa.schema([("id", pa.int64()), ("near", pa.int64()), ("d", pa.float64())])
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not len(a) or not len(b):
+            return kind.empty_table()
+        b = b.sort_by("id2")
+        x, y, ids, others = _matrix(a["m"]), _matrix(b["m2"]), a["id"].to_numpy(), b["id2"].to_numpy()
+        own = np.minimum(np.searchsorted(others, ids), len(others) - 1)
+        self, near, d = others[own] == ids, np.zeros(len(ids), np.int64), np.zeros(len(ids))
+        for at in range(0, len(ids), step := max(1, AT_ONCE // len(others))):
+            r = slice(at, at + step)
+            p = x[r] @ y.T
+            p[np.flatnonzero(self[r]), own[r][self[r]]] = -np.inf
+            at_most = p.argmax(1)
+            near[r], d[r] = others[at_most], 1 - p[np.arange(len(p)), at_most]
+        found = np.isfinite(d)
+        return pa.table([ids[found], near[found], d[found]], schema=kind)
+
+    got = left.groupBy("label", "i", "j").cogroup(right.groupBy("l2", "i2", "j2")).applyInArrow(meet, "id long, near long, d double")
+    got = got.groupBy("id").agg(F.min(F.struct("d", "near")).alias("e")).select("id", F.col("e.d").alias("d2"), F.col("e.near").alias("near2"))
+    return staged(nodes.join(got, "id", "left").select("label", "id", "n", "s", F.coalesce("near", "near2").alias("near"), F.coalesce("d", "d2").alias("d")))
+
+
+def _merge(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Merges of all that are nearest to each other, and the nodes after it; those whose nearest one is gone or has grown have none."""
+    edges = nodes.groupBy(F.least("id", "near").alias("lo"), F.greatest("id", "near").alias("hi")).agg(F.min("d").alias("d"), F.first("label").alias("label"))
+    ends = edges.select(F.explode(F.array("lo", "hi")).alias("end"), F.struct("d", "lo", "hi", "label").alias("e")).groupBy("end").agg(F.min("e").alias("e"))
+    both = ends.groupBy("e").count().where("count = 2").select("e.*")
+    merges = staged(both.select("label", F.col("hi").alias("item"), F.col("lo").alias("parent"), F.col("d").alias("height")))
+    gone = nodes.join(merges.select(F.col("item").alias("id"), "parent"), "id").select(F.col("parent").alias("id"), F.col("n").alias("n2"), F.col("s").alias("s2"))
+    touched = merges.select(F.explode(F.array("item", "parent")).alias("near"), F.lit(True).alias("hit"))
+    kept = nodes.join(merges.select(F.col("item").alias("id")), "id", "left_anti").join(gone, "id", "left").join(touched, "near", "left")
+    fresh = F.col("n2").isNull() & F.col("hit").isNull()
+    total = F.when(F.col("s2").isNull(), F.col("s")).otherwise(F.zip_with("s", "s2", lambda x, y: x + y))
+    return merges, staged(kept.select("label", "id", (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"), total.alias("s"), F.when(fresh, F.col("near")).alias("near"), F.when(fresh, F.col("d")).alias("d")))
+
+
+def _large_labels(df: DataFrame, clusters: int) -> DataFrame:
+    """label, item, root: of labels of any size; df: label, item, vector."""
+    kind, what = df.schema["label"].dataType.simpleString(), df.schema["item"].dataType.simpleString()
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            widths = batch.column("vector").value_lengths().to_numpy(zero_copy_only=False)
+            for w in np.unique(widths):  # each label has its own
+                b = batch.take(pa.array(np.flatnonzero(widths == w)))
+                u = _unit_rows(_matrix(b.column("vector")))
+                flat = pa.ListArray.from_arrays(np.arange(len(u) + 1, dtype=np.int32) * u.shape[1], u.ravel())
+                yield pa.RecordBatch.from_arrays([b.column("label"), b.column("item"), b.column("id"), flat], names=["label", "item", "id", "s"])
+
+    numbered = staged(df.orderBy("label", "item").withColumn("id", F.monotonically_increasing_id()))
+    base = staged(numbered.select("label", "item", "id", "vector").mapInArrow(units, f"label {kind}, item {what}, id long, s array<double>").withColumn("own", F.when(~F.exists("s", lambda v: v != 0), F.col("id")).otherwise(-1)))
+    unstaged(numbered)
+    reps = staged(base.groupBy("label", "s", "own").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+    equal = base.join(reps, ["label", "s", "own"]).where("id <> rep").select("label", F.col("id").alias("item"), F.col("rep").alias("parent"), F.lit(0.0).alias("height"))
+    nodes = staged(reps.select("label", F.col("rep").alias("id"), "n", F.transform("s", lambda x: x * F.col("n")).alias("s"), F.lit(None).cast("long").alias("near"), F.lit(None).cast("double").alias("d")))
+    found, small = [equal], []
+    while True:
+        sizes = nodes.groupBy("label").agg(F.count("*").alias("live"), F.ceil(F.count("*") / TILE).cast("int").alias("tiles"), F.count_if(F.col("near").isNull()).alias("asking"), F.max(F.size("s")).alias("width"))
+        few = (F.col("live") * F.col("asking") <= WHOLE * WHOLE) & (F.col("live") * F.col("width") <= NUMBERS)
+        sizes = staged(sizes.select("label", "tiles", F.ceil(F.col("asking") / TILE).cast("int").alias("asking"), ((F.col("live") <= WHOLE) | few).alias("whole")))
+        wholes, tiles = sizes.agg(F.count_if("whole"), F.sum(F.when(~F.col("whole"), F.col("tiles") * F.col("asking")))).first()
+        if wholes:
+            small.append(staged(nodes.join(sizes.where("whole"), "label", "left_semi")))
+        if tiles is None:
+            break
+        large = sizes.where("not whole").drop("whole")
+        searched = _search(nodes.join(large, "label", "left_semi"), large, max(1, min(4096, tiles)))
+        unstaged(nodes)
+        merges, nodes = _merge(searched)
+        unstaged(searched)
+        found.append(merges)
+    width = f"label {kind}, item long, parent long, height double"
+
+    def finish(t: pa.Table) -> pa.Table:
+        t = t.sort_by("id")
+        ids = t["id"].to_numpy()
+        near = np.where(t["near"].is_null().to_numpy(), -1, np.searchsorted(ids, t["near"].fill_null(-1).to_numpy()))
+        h, a, b = merge_sums(_matrix(t["s"]), t["n"].to_numpy(), near, t["d"].fill_null(0.0).to_numpy())
+        return pa.table({"label": t["label"].take(pa.array(b)), "item": ids[b], "parent": ids[a], "height": h})
+
+    rest = reduce(DataFrame.unionByName, small)
+    found.append(_by_label(rest, rest.select("label").distinct().count()).groupBy("label").applyInArrow(finish, width))
+    tree = staged(reduce(DataFrame.unionByName, [f.withColumn("step", F.lit(n)) for n, f in enumerate(found)]))
+    # all but the highest merges, each label's last
+    last = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("height"), F.desc("step"), F.desc("item")))
+    high = tree.withColumn("last", last).where(F.col("last") <= clusters - 1).select("item")
+    up = staged(tree.join(high, "item", "left_anti").select("item", "parent"))
+    while True:
+        nxt = up.select(F.col("item").alias("parent"), F.col("parent").alias("further"))
+        nxt = staged(up.join(nxt, "parent", "left").select("item", F.coalesce("further", "parent").alias("parent"), F.col("further").isNotNull().alias("moved")))
+        up = nxt.select("item", "parent")
+        if not nxt.where("moved").limit(1).count():
+            break
+    root = up.select(F.col("item").alias("id"), F.col("parent").alias("root"))
+    return base.select("label", "item", "id").join(root, "id", "left").select("label", "item", F.coalesce("root", "id").alias("root"))
+
+
+def label_clusters(df: DataFrame, label: str, item: str, vector: str, clusters: int, most: int | None = None) -> DataFrame:
+    """label, item, cluster_id: `clusters` average-linkage clusters of each label's vectors under cosine distance, numbered by their smallest item.
+
+    Each row is an item of its own. Null labels, items and vectors play no part; zero vectors, and those with components that are null or not
+    finite, are at distance 1 from all. A label's vectors must be of one length. A label of up to `most` vectors (WHOLE) is one task."""
+    most = WHOLE if most is None else most
+    rows = staged(df.where(f"{label} is not null and {item} is not null and {vector} is not null").select(F.col(label).alias("label"), F.col(item).alias("item"), F.col(vector).alias("vector")))
+    sizes = staged(rows.groupBy("label").agg(F.count("*").alias("live")))
+    kind, what = rows.schema["label"].dataType.simpleString(), rows.schema["item"].dataType.simpleString()
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("item")
+        got = np.unique(cut_vectors(_matrix(t["vector"]), clusters), return_inverse=True)[1]
+        return pa.table({"label": t["label"], "item": t["item"], "cluster_id": got.astype(np.int32)})
+
+    whole = sizes.where(F.col("live") <= most)
+    out = _by_label(rows.join(whole, "label", "left_semi"), whole.count()).groupBy("label").applyInArrow(run, f"label {kind}, item {what}, cluster_id int")
+    large = sizes.where(F.col("live") > most)
+    if large.limit(1).count():
+        got = staged(_large_labels(rows.join(large, "label", "left_semi"), clusters))
+        number = F.row_number().over(Window.partitionBy("label").orderBy("root")) - 1  # as many rows as clusters
+        got = got.join(got.select("label", "root").distinct().withColumn("cluster_id", number.cast("int")), ["label", "root"])
+        out = out.unionByName(got.select("label", "item", "cluster_id"))
+    return out.select(F.col("label").alias(label), F.col("item").alias(item), "cluster_id")

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.metadata import to_info
@@ -17,7 +17,7 @@ from ..functions.text import moved_below, normalize_keyword
 from ..functions.xmp import differs, write_xmp
 from ..operators import keywords as K
 from ..operators import lookup, publishers
-from ..operators.agglomerate import clusters_below, cuts, dendrogram
+from ..operators.agglomerate import clusters_below, cuts, dendrogram, label_clusters
 from ..providers.base import ask
 from ..sources import pdf
 from ..sources.staging import staged
@@ -77,20 +77,12 @@ def canonical_keywords(words: DataFrame, clusters: int | None = None, distance:
     return got.join(labels, "cluster_id", "left").select("keyword", F.coalesce("label", "keyword").alias("label"), "cluster_id")
 
 
-def clusters_of_labels(df: DataFrame, label: str, item: str, vector: str, clusters: int, most: int = 4096) -> DataFrame:
+def clusters_of_labels(df: DataFrame, label: str, item: str, vector: str, clusters: int, most: int | None = None) -> DataFrame:
     """block, item, cluster_id: `clusters` average-linkage clusters of each label's vectors, numbered by their smallest item.
 
-    Labels of up to `most` vectors are a task each, larger ones are clustered in rounds one after the other."""
-    df = staged(df.select(label, item, vector).where(f"{label} is not null and {item} is not null and {vector} is not null"))
-    sizes = staged(df.groupBy(label).agg(F.count("*").alias("n")))
-    block = F.concat(F.col(label).cast("string"), F.lit("-0")).alias("block")
-    out = K.cluster_within(df.join(sizes.where(F.col("n") <= most), label).select(block, item, vector), "block", item, vector, clusters=clusters)
-    for (value,) in sizes.where(F.col("n") > most).select(label).sort(label).toLocalIterator():
-        own = df.where(F.col(label) == F.lit(value))
-        cut = staged(cuts(own.select(F.col(item).alias("item")), dendrogram(own, item, vector, clusters=clusters), [clusters]))
-        number = cut.select("cluster").distinct().withColumn("cluster_id", (F.row_number().over(Window.orderBy("cluster")) - 1).cast("int"))  # as many rows as clusters
-        out = out.unionByName(cut.join(F.broadcast(number), "cluster").select(F.lit(f"{value}-0").alias("block"), F.col("item").alias(item), "cluster_id"))
-    return out
+    Labels of up to `most` vectors are a task each, larger ones are clustered together in rounds; see `label_clusters`."""
+    got = label_clusters(df, label, item, vector, clusters, most)
+    return got.select(F.concat(F.col(label).cast("string"), F.lit("-0")).alias("block"), item, "cluster_id")
 
 
 def normalised(runs: DataFrame, mapping: DataFrame, threshold: float = 75.0) -> DataFrame:

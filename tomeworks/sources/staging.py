@@ -28,4 +28,13 @@ def staged(df: DataFrame) -> DataFrame:
     root = df.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir", None)
     path = f"{root or local_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def unstaged(df: DataFrame) -> None:
+    """Delete what staged wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._staged)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
